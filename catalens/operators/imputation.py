@@ -63,10 +63,14 @@ def impute_medians(df: DataFrame, columns: tuple[str, ...] = MEASURES) -> DataFr
     return filled.withColumns({c: F.coalesce(F.col(c), fill.getField(c), F.lit(FALLBACK)) for c in present})
 
 
-def clean_measures(df: DataFrame, preserve_flags: bool = False) -> DataFrame:
-    """Flags from the raw values, invalid to null, imputation, rating bounded to [0, 10]."""
-    prepared = stage(invalid_to_null(observed_flags(df, preserve_flags)))
-    imputed = impute_medians(prepared)
+def impute_measures(df: DataFrame) -> DataFrame:
+    """Imputation of all measures present, then the rating bounded to [0, 10]."""
+    imputed = impute_medians(df)
     if "vote_average" in imputed.columns:
         imputed = imputed.withColumn("vote_average", clipped(F.col("vote_average"), 0, 10))
     return imputed
+
+
+def clean_measures(df: DataFrame, preserve_flags: bool = False) -> DataFrame:
+    """Flags from the raw values, invalid to null, imputation."""
+    return impute_measures(stage(invalid_to_null(observed_flags(df, preserve_flags))))
