@@ -24,13 +24,17 @@ QUALITY_COLUMNS = (
 RANKING_MEASURES = ("vote_count", "popularity", "revenue", "runtime", "budget")
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
-    """The row with the smallest ``order`` per key; null keys form a group of their own."""
-    return (
-        df.groupBy(*[(F.col(k) if isinstance(k, str) else k).alias(f"_key{i}") for i, k in enumerate(keys)])
-        .agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
-        .select("_row.*")
-    )
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The row with the smallest ``order`` per key columns; null keys form a group of their own.
+
+    The key columns come from the grouping itself, so what follows on the same key (a join, another
+    grouping) finds the rows partitioned already.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    best = F.min_by(F.struct(*rest), F.struct(*order))
+    return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -126,7 +130,7 @@ def disambiguate_titles(keyed: DataFrame) -> DataFrame:
     """
     df = keyed
     ranked = ranking(df.drop("_title_key", "_original_key", "_language_key"))
-    groups = collision_groups(df).select("_title_key", "year")
+    groups = stage(collision_groups(df).select("_title_key", "year"))
     rivals = df.join(groups, ["_title_key", "year"], "left_semi")
     options = title_candidates(df)
     state = stage(

@@ -52,7 +52,7 @@ def impute_medians(df: DataFrame, columns: tuple[str, ...] = MEASURES) -> DataFr
     if grouped:
         narrow = df.select("primary_genre", *grouped).filter(F.col("primary_genre").isNotNull())
         medians = exact_medians(narrow, ["primary_genre"], {c: c for c in grouped})
-        medians = medians.select("primary_genre", F.struct(*grouped).alias("_category_median"))
+        medians = stage(medians.select("primary_genre", F.struct(*grouped).alias("_category_median")))
         filled = (
             df.join(medians, "primary_genre", "left")
             .withColumns({c: F.coalesce(F.col(c), F.col("_category_median")[c]) for c in grouped})

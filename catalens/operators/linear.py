@@ -54,23 +54,28 @@ def _later_folds(folds: list[int]):
     return F.filter(years, lambda f: f > F.col("year")).alias("later")
 
 
+def with_regressors(rows: DataFrame) -> DataFrame:
+    """Add the unfilled regressors as ``x_<name>``."""
+    return rows.select("*", *[c.alias(f"x_{n}") for n, c in base_features().items()])
+
+
 def moment_blocks(train: DataFrame, centre: Centre) -> DataFrame:
     """Sums of all regressor products per (year, category): the only full pass over the data."""
-    x = base_features()
-    u = F.coalesce(x["log_budget"] - centre.log_budget, F.lit(0.0))
-    v = F.coalesce(x["runtime"] - centre.runtime, F.lit(0.0))
     parts = {
-        "no_budget": F.col("budget").isNull().cast("double"),
-        "u": u, "uu": u * u,
-        "no_runtime": F.col("runtime").isNull().cast("double"),
-        "v": v, "vv": v * v,
-        "t": (F.col("year") - centre.year).cast("double"),
-        "ms": x["month_sin"], "mc": x["month_cos"], "en": x["is_english"], "us": x["is_us_production"],
-        "bo": x["budget_observed"], "ro": x["runtime_observed"],
-        "y": F.log1p("revenue"),
+        "one": "1.0D",
+        "no_budget": "double(budget is null)",
+        "u": f"coalesce(x_log_budget - {centre.log_budget!r}D, 0.0D)",
+        "uu": f"coalesce(pow(x_log_budget - {centre.log_budget!r}D, 2), 0.0D)",
+        "no_runtime": "double(runtime is null)",
+        "v": f"coalesce(x_runtime - {centre.runtime!r}D, 0.0D)",
+        "vv": f"coalesce(pow(x_runtime - {centre.runtime!r}D, 2), 0.0D)",
+        "t": f"double(year - {int(centre.year)})",
+        "ms": "x_month_sin", "mc": "x_month_cos", "en": "x_is_english", "us": "x_is_us_production",
+        "bo": "x_budget_observed", "ro": "x_runtime_observed",
+        "y": "log1p(revenue)",
     }
-    rows = train.select("year", "primary_genre", F.lit(1.0).alias("one"), *[c.alias(n) for n, c in parts.items()])
-    sums = [F.sum(F.col(_SUMS[i]) * F.col(_SUMS[j])).alias(f"s{k}") for k, (i, j) in enumerate(_PAIRS)]
+    rows = with_regressors(train).selectExpr("year", "primary_genre", *[f"{e} as {n}" for n, e in parts.items()])
+    sums = [F.expr(f"sum({_SUMS[i]} * {_SUMS[j]}) as s{k}") for k, (i, j) in enumerate(_PAIRS)]
     return rows.groupBy("year", "primary_genre").agg(*sums)
 
 
@@ -84,7 +89,7 @@ def fit_linear(train: DataFrame, folds: list[int], centre: Centre, alphas: dict[
         blocks.withColumn("later", _later_folds(folds))
         .withColumn("validation_year", F.explode("later"))
         .groupBy("validation_year", "primary_genre")
-        .agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(len(_PAIRS))])
+        .agg(*[F.expr(f"sum(s{k}) as s{k}") for k in range(len(_PAIRS))])
     )
     fills = fold_medians(train.filter(F.col("year") < max(folds)), folds)
     solvable = per_fold.join(fills, "validation_year", "left").fillna(0.0, list(FILLS))
@@ -182,19 +187,17 @@ def _solver(centre: Centre, alphas: dict[str, float]):
 
 
 def linear_prediction(model: str, centre: Centre):
-    """Uncalibrated prediction of a prepared row joined with its (fold, category) coefficients."""
-    x = base_features()
-    c = {name: F.col(model)[name] for name in COEFFICIENTS}
-    score = (
-        c["intercept"]
-        + c["c_lb"] * F.coalesce(x["log_budget"], "fill_lb")
-        + c["c_lb2"] * F.coalesce(x["log_budget_sq"], "fill_lb2")
-        + c["c_rt"] * F.coalesce(x["runtime"], "fill_rt")
-        + c["c_rt2"] * F.coalesce(x["runtime_sq"], "fill_rt2")
-        + c["c_year"] * (F.col("year") - centre.year)
-        + c["c_ms"] * x["month_sin"] + c["c_mc"] * x["month_cos"]
-        + c["c_en"] * x["is_english"] + c["c_us"] * x["is_us_production"]
-        + c["c_bo"] * x["budget_observed"] + c["c_ro"] * x["runtime_observed"]
-        + c["c_lbx"] * F.coalesce(x["log_budget"], F.lit(0.0))
-    )
-    return F.greatest(F.expm1(score), F.lit(0.0))
+    """Uncalibrated prediction of a row with regressors, joined with its (fold, category) coefficients."""
+    terms = [f"{model}.intercept"]
+    for c, x, fill in (
+        ("c_lb", "log_budget", "fill_lb"), ("c_lb2", "log_budget_sq", "fill_lb2"), ("c_rt", "runtime", "fill_rt"),
+        ("c_rt2", "runtime_sq", "fill_rt2"), ("c_lbx", "log_budget", "0.0D"),
+    ):
+        terms.append(f"{model}.{c} * coalesce(x_{x}, {fill})")
+    for c, x in (
+        ("c_ms", "month_sin"), ("c_mc", "month_cos"), ("c_en", "is_english"), ("c_us", "is_us_production"),
+        ("c_bo", "budget_observed"), ("c_ro", "runtime_observed"),
+    ):
+        terms.append(f"{model}.{c} * x_{x}")
+    terms.append(f"{model}.c_year * (year - {int(centre.year)})")
+    return F.expr(f"greatest(expm1({' + '.join(terms)}), 0.0D)")

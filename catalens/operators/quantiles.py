@@ -4,6 +4,9 @@ Spark's exact ``percentile`` keeps a map of all distinct values of a group in on
 sketch first brackets each wanted rank, one more pass counts what lies below the bracket and the
 distinct values inside it (about 1/accuracy of the group), and a running count over these picks the
 order statistics. Both passes combine map-side; the answer is the exact linear-interpolated quantile.
+
+The brackets are staged: their file size is then known when the second pass is planned, so the rows are
+not shuffled to meet them unless there are too many groups to broadcast.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalens.staging import stage
+
 _MISSED = "quantile bracket missed its rank; raise the accuracy"
 
 
@@ -51,7 +56,7 @@ def exact_quantiles(
             for i, p in enumerate(probabilities)
         ]
     )
-    brackets = sketch.select(*group, "n", F.inline(wanted))
+    brackets = stage(sketch.select(*group, "n", F.inline(wanted)))
 
     right = brackets.select(*[F.col(k).alias(f"_{k}") for k in group], "n", "probability", "low", "high")
     same = F.lit(True)

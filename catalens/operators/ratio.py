@@ -6,41 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalens.operators.quantiles import exact_quantiles
+from catalens.staging import stage
 
 
 def fit_ratio(train: DataFrame, folds: list[int]) -> DataFrame:
     """One row per (validation_year, category): ratio and median target with fallbacks applied, and
     the number of training rows.
 
-    Rows count for every later fold, once under their category and once under the whole (null).
+    Rows count for every later fold. A category of a fold always has a median target; it lacks a ratio
+    only without any budget, and only folds with such a category need the overall ratio.
     """
     years = F.array(*[F.lit(int(f)) for f in folds])
-    spread = (
-        train.filter(F.col("year") < max(folds))
-        .select(
-            F.explode(F.filter(years, lambda f: f > F.col("year"))).alias("validation_year"),
-            "primary_genre",
-            F.when(F.col("budget") > 0, F.col("revenue") / F.col("budget")).alias("ratio"),
-            "revenue",
-        )
-        .withColumn("primary_genre", F.explode(F.array("primary_genre", F.lit(None).cast("string"))))
+    spread = train.filter(F.col("year") < max(folds)).select(
+        F.explode(F.filter(years, lambda f: f > F.col("year"))).alias("validation_year"),
+        "primary_genre",
+        F.when(F.col("budget") > 0, F.col("revenue") / F.col("budget")).alias("ratio"),
+        "revenue",
     )
     keys = ["validation_year", "primary_genre"]
     medians = exact_quantiles(spread, keys, {"ratio": "ratio", "revenue": "revenue"})
-    wide = medians.groupBy(*keys).agg(
-        F.max(F.when(F.col("measure") == "ratio", F.col("value"))).alias("ratio"),
-        F.max(F.when(F.col("measure") == "revenue", F.col("value"))).alias("usual"),
-        F.max(F.when(F.col("measure") == "revenue", F.col("n"))).alias("train_samples"),
-    )
-    whole = wide.filter("primary_genre is null").select(
-        "validation_year",
-        F.coalesce("ratio", F.lit(1.0)).alias("all_ratio"),
-        F.coalesce("usual", F.lit(0.0)).alias("all_usual"),
+    wide = stage(
+        medians.groupBy(*keys).agg(
+            F.max(F.when(F.col("measure") == "ratio", F.col("value"))).alias("ratio"),
+            F.max(F.when(F.col("measure") == "revenue", F.col("value"))).alias("usual"),
+            F.max(F.when(F.col("measure") == "revenue", F.col("n"))).alias("train_samples"),
+        )
     )
-    return wide.filter("primary_genre is not null").join(whole, "validation_year").select(
+    ratio = F.col("ratio")
+    lacking = wide.filter(ratio.isNull()).select("validation_year").distinct()
+    if not lacking.isEmpty():
+        overall = exact_quantiles(spread.join(lacking, "validation_year", "left_semi"), ["validation_year"], {"ratio": "ratio"})
+        wide = wide.join(overall.select("validation_year", F.col("value").alias("overall")), "validation_year", "left")
+        ratio = F.coalesce(ratio, F.col("overall"))
+    return wide.select(
         *keys,
         "train_samples",
-        F.struct(F.coalesce("ratio", "all_ratio").alias("ratio"), F.coalesce("usual", "all_usual").alias("usual")).alias(
+        F.struct(F.coalesce(ratio, F.lit(1.0)).alias("ratio"), F.coalesce("usual", F.lit(0.0)).alias("usual")).alias(
             "genre_budget_ratio"
         ),
     )

@@ -65,7 +65,7 @@ class Comprehensive:
     high_revenue_profile: Profile
 
 
-def comprehensive_analysis(df: DataFrame) -> Comprehensive:
+def comprehensive_analysis(df: DataFrame, unique_ids: bool = False) -> Comprehensive:
     rows = stage(typed_catalog(df))
     series = trends.yearly_series(rows)
     decades = summaries.decade_summary(rows)
@@ -78,7 +78,7 @@ def comprehensive_analysis(df: DataFrame) -> Comprehensive:
         decades,
         summaries.decade_leaders(decades),
         summaries.category_performance(rows),
-        high_revenue_profile(rows),
+        high_revenue_profile(rows, unique_ids=unique_ids),
     )
 
 

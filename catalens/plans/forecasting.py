@@ -74,7 +74,9 @@ def base_predictions(
     closed = [m for m in models if m != "random_forest"]
     if closed:
         fitted = fit_models(rows, folds, closed, alpha, centre).withColumnRenamed("primary_genre", "_genre")
-        met = rows.filter(F.col("year") <= max(folds)).join(
+        # regressors are worked out once per row, before the row meets its folds
+        ready = linear.with_regressors(rows.filter(F.col("year") <= max(folds)))
+        met = ready.join(
             fitted, (F.col("primary_genre") == F.col("_genre")) & (F.col("year") <= F.col("validation_year"))
         )
         scores: dict[str, Column] = {
@@ -113,6 +115,7 @@ def fold_predictions(
     lines = calibration.category_calibrations(
         base.filter(F.col("year") < F.col("validation_year")), ["model_name", "validation_year"]
     ).select("model_name", "validation_year", "primary_genre", "intercept", "slope")
+    lines = stage(lines)  # a row per model, fold and category: its size is known when it is joined
     held = base.filter(F.col("year") == F.col("validation_year"))
     predicted = calibration.calibrated(F.col("base_prediction"), F.col("intercept"), F.col("slope"))
     return held.join(lines, ["model_name", "validation_year", "primary_genre"]).select(
@@ -148,11 +151,14 @@ def _evaluate(
 def evaluate_holdout(
     df: DataFrame, validation_year: int = VALIDATION_YEAR, min_train_rows: int = MIN_TRAIN_ROWS, alpha: float = ALPHA,
     model_name: str = DEFAULT_MODEL, cutoff: str = DEFAULT_CUTOFF, digits: bool = True, forest_options: dict | None = None,
-    prepared: bool = False,
+    prepared: bool = False, unique_ids: bool = False,
 ) -> Forecast:
-    """Train on the years before ``validation_year`` and score the rows of that year per category."""
+    """Train on the years before ``validation_year`` and score the rows of that year per category.
+
+    ``prepared`` says that ``df`` is a modelling table already (staged, it is read several times);
+    ``unique_ids`` spares a catalog with unique ids the shuffle that would remove repeated ones."""
     models = checked_models([model_name])
-    table = df if prepared else stage(prepare_modelling(df, cutoff))
+    table = df if prepared else stage(prepare_modelling(df, cutoff, not unique_ids))
     profile = year_profile(table).collect()  # one row per calendar year
     if not any(r.year < validation_year for r in profile):
         return Forecast(error="No training rows are available before the validation year.")
@@ -168,6 +174,7 @@ def backtest(
     df: DataFrame, model_names: Sequence[str] = SUPPORTED_MODELS, start_year: int | None = None, end_year: int | None = None,
     min_validation_rows: int = 3, max_years: int = 15, min_train_rows: int = MIN_TRAIN_ROWS, alpha: float = ALPHA,
     cutoff: str = DEFAULT_CUTOFF, digits: bool = True, forest_options: dict | None = None, prepared: bool = False,
+    unique_ids: bool = False,
 ) -> Forecast:
     """Rolling holdout validation of several models: every fold trains on all years before it.
 
@@ -175,7 +182,7 @@ def backtest(
     per fold. The model summary compares models over the years, best first.
     """
     models = checked_models(model_names)
-    table = df if prepared else stage(prepare_modelling(df, cutoff))
+    table = df if prepared else stage(prepare_modelling(df, cutoff, not unique_ids))
     years = stage(year_profile(table))
     chosen = candidate_years(years, start_year, end_year, min_train_rows, min_validation_rows, max_years)
     folds = sorted(r.validation_year for r in chosen.collect())  # at most one per calendar year

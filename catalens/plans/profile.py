@@ -141,10 +141,10 @@ def top_features(coefficients: DataFrame, positive: bool, limit: int = 4) -> Dat
 def high_revenue_profile(
     df: DataFrame, min_rows: int = MIN_ROWS, holdout_fraction: float = HOLDOUT_FRACTION, min_train_rows: int = MIN_TRAIN_ROWS,
     min_holdout_rows: int = MIN_HOLDOUT_ROWS, threshold_quantile: float = THRESHOLD_QUANTILE, alpha: float = ALPHA,
-    cutoff: str = DEFAULT_CUTOFF, prepared: bool = False,
+    cutoff: str = DEFAULT_CUTOFF, prepared: bool = False, unique_ids: bool = False,
 ) -> Profile:
     """Evaluate the model on the latest rows, refit on all, and describe the rows predicted high."""
-    rows = stage(eligible_rows(df if prepared else prepare_modelling(df, cutoff)))
+    rows = stage(eligible_rows(df if prepared else prepare_modelling(df, cutoff, not unique_ids)))
     spark, n = rows.sparkSession, rows.count()
     if n < min_rows:
         return Profile(error=f"Need at least {min_rows} movies with genre and revenue data to build the ML revenue profile.")

@@ -22,7 +22,7 @@ CHART_YEARS = (2003, 2017)  # fixed value: validation years of the forecast char
 
 def saved_backtest(
     df: DataFrame, folder: str, models=SUPPORTED_MODELS, years: tuple[int, int] = CHART_YEARS, cutoff: str = DEFAULT_CUTOFF,
-    forest_options: dict | None = None,
+    forest_options: dict | None = None, unique_ids: bool = False,
 ) -> dict[str, DataFrame] | Forecast:
     """Overview and model summary of the multi-model backtest over ``years``, read back when they were
     saved for the same content and parameters."""
@@ -31,7 +31,7 @@ def saved_backtest(
     names = ["backtest_overview", "backtest_summary"]
     saved = read_frames(df.sparkSession, names, folder, key)
     if saved is None:
-        result = backtest(df, models, years[0], years[1], max_years=0, cutoff=cutoff, forest_options=forest_options)
+        result = backtest(df, models, years[0], years[1], max_years=0, cutoff=cutoff, forest_options=forest_options, unique_ids=unique_ids)
         if result.error:
             return result
         write_frames({names[0]: result.overview, names[1]: result.model_summary}, folder, key)
@@ -41,7 +41,7 @@ def saved_backtest(
 
 def write_chart_tables(
     selection: DataFrame, folder: str, catalog: DataFrame | None = None, include_forecast: bool = True, models=SUPPORTED_MODELS,
-    years: tuple[int, int] = CHART_YEARS, cutoff: str = DEFAULT_CUTOFF, forest_options: dict | None = None,
+    years: tuple[int, int] = CHART_YEARS, cutoff: str = DEFAULT_CUTOFF, forest_options: dict | None = None, unique_ids: bool = False,
 ) -> dict[str, str]:
     """Chart tables of a selection under ``chart=<name>``; the two forecast charts always cover the
     whole ``catalog``."""
@@ -55,7 +55,7 @@ def write_chart_tables(
         tables["budget_revenue_scatter"] = charts.budget_revenue_points(selection)
         tables["budget_revenue_trend_line"] = charts.budget_revenue_line(selection)
     if include_forecast:
-        saved = saved_backtest(catalog if catalog is not None else selection, folder, models, years, cutoff, forest_options)
+        saved = saved_backtest(catalog if catalog is not None else selection, folder, models, years, cutoff, forest_options, unique_ids)
         if isinstance(saved, dict):
             overview, summary = saved["backtest_overview"], saved["backtest_summary"]
             tables["forecast_backtest_yearly_comparison"] = charts.yearly_comparison(overview, summary, cutoff)
@@ -70,6 +70,7 @@ def write_chart_tables(
 def run_forecast(
     catalog: DataFrame, folder: str, validation_year: int = VALIDATION_YEAR, cutoff: str = DEFAULT_CUTOFF,
     min_train_rows: int = MIN_TRAIN_ROWS, alpha: float = ALPHA, model_name: str = DEFAULT_MODEL, forest_options: dict | None = None,
+    unique_ids: bool = False,
 ) -> Forecast:
     """Holdout forecast, saved; a saved one for the same content and parameters is returned as it is."""
     key = run_key(
@@ -80,7 +81,7 @@ def run_forecast(
     saved = read_forecast(catalog.sparkSession, folder, validation_year)
     if saved.error is None and matches(saved.overview, key):
         return saved
-    result = evaluate_holdout(catalog, validation_year, min_train_rows, alpha, model_name, cutoff, forest_options=forest_options)
+    result = evaluate_holdout(catalog, validation_year, min_train_rows, alpha, model_name, cutoff, forest_options=forest_options, unique_ids=unique_ids)
     if result.error:
         return result
     write_forecast(result, folder, validation_year, key)
@@ -106,7 +107,7 @@ def run_report(
     for f in fields(found):
         if f.name != "filtered":
             save(f"explore_{f.name}", getattr(found, f.name))
-    deep = comprehensive_analysis(catalog)
+    deep = comprehensive_analysis(catalog, unique_ids=True)  # cleaned ids are 1..n
     for f in fields(deep):
         if f.name != "high_revenue_profile":
             save(f"analysis_{f.name}", getattr(deep, f.name))
@@ -114,8 +115,10 @@ def run_report(
     if profile.error is None:
         for name in ("overview", "top_positive_features", "top_negative_features", "high_revenue_profile"):
             save(f"profile_{name}", getattr(profile, name))
-    written |= write_chart_tables(catalog, folder, models=models, years=years, cutoff=cutoff, forest_options=forest_options)
-    forecast = run_forecast(catalog, folder, validation_year, cutoff, forest_options=forest_options)
+    written |= write_chart_tables(
+        catalog, folder, models=models, years=years, cutoff=cutoff, forest_options=forest_options, unique_ids=True
+    )
+    forecast = run_forecast(catalog, folder, validation_year, cutoff, forest_options=forest_options, unique_ids=True)
     if forecast.error is None:
         written["forecast"] = f"{folder}/validation_year={validation_year}"
     return written

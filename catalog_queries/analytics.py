@@ -45,11 +45,11 @@ def yearly_summary(spark, sf):
 @query(
     "g3_dataset_overview",
     with_catalog("""SELECT count(*) AS movie_count, count(DISTINCT primary_genre) AS genre_count, round(avg(vote_average), 4) AS average_rating,
-    median(runtime) AS median_runtime, round(CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE), 0) AS total_revenue FROM catalog"""),
+    median(runtime) AS median_runtime, round(CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_revenue FROM catalog"""),
 )
 def dataset_overview(spark, sf):
     rows = order_catalog(spark, sf, "primary_genre", "vote_average", "runtime", "revenue")
-    return rounded(rounded(summaries.dataset_overview(rows, None), 4, "average_rating"), 0, "total_revenue")
+    return rounded(rounded(summaries.dataset_overview(rows, None), 4, "average_rating"), 2, "total_revenue")
 
 
 @query(
@@ -66,11 +66,11 @@ def category_performance(spark, sf):
 @query(
     "g5_decades",
     with_catalog("""SELECT CAST(year // 10 * 10 AS INTEGER) AS decade, count(title) AS movie_count, round(avg(vote_average), 4) AS avg_rating, round(avg(runtime), 4) AS avg_runtime,
-    round(CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE), 0) AS total_revenue FROM catalog GROUP BY decade"""),
+    round(CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_revenue FROM catalog GROUP BY decade"""),
 )
 def decades(spark, sf):
     out = summaries.decade_summary(order_catalog(spark, sf, "title", "year", "vote_average", "runtime", "revenue"), None)
-    return rounded(rounded(out, 4, "avg_rating", "avg_runtime"), 0, "total_revenue")
+    return rounded(rounded(out, 4, "avg_rating", "avg_runtime"), 2, "total_revenue")
 
 
 @query(
@@ -104,27 +104,27 @@ def production_trend(spark, sf):
 @query(
     "g7_w1_w2_time_series_summary",
     with_catalog("""SELECT min(year) || '-' || max(year) AS period, min(year) AS start_year, max(year) AS end_year, arg_min(year, -n * 10000 + year) AS peak_movie_count_year, max(n) AS peak_movie_count,
-    arg_max(year, rev) AS peak_revenue_year, round(max(rev), 0) AS peak_revenue, arg_max(year, r) AS highest_rating_year, round(max(r), 4) AS highest_rating,
+    arg_max(year, rev) AS peak_revenue_year, round(max(rev), 3) AS peak_revenue, arg_max(year, r) AS highest_rating_year, round(max(r), 4) AS highest_rating,
     CASE WHEN regr_slope(n, year) > 0 THEN 'increasing' WHEN regr_slope(n, year) < 0 THEN 'decreasing' ELSE 'stable' END AS movie_count_trend,
     CASE WHEN regr_slope(rev, year) > 0 THEN 'increasing' WHEN regr_slope(rev, year) < 0 THEN 'decreasing' ELSE 'stable' END AS revenue_trend,
     round(regr_slope(n, year), 4) AS movie_count_trend_slope, round(regr_slope(rev, year), 0) AS revenue_trend_slope, round(arg_max(n3, year), 4) AS latest_movie_count_ma3,
-    round(arg_max(rev3, year), 0) AS latest_revenue_ma3, arg_max(year, revy) AS strongest_revenue_growth_year FROM w""", _YEARS_SQL),
+    round(arg_max(rev3, year), 3) AS latest_revenue_ma3, arg_max(year, revy) AS strongest_revenue_growth_year FROM w""", _YEARS_SQL),
 )
 def time_series_summary(spark, sf):
     out = trends.time_series_summary(order_catalog(spark, sf, "title", "year", "vote_average", "revenue"), digits=False)
-    out = rounded(out, 0, "peak_revenue", "revenue_trend_slope", "latest_revenue_ma3")
+    out = rounded(rounded(out, 3, "peak_revenue", "latest_revenue_ma3"), 0, "revenue_trend_slope")
     return rounded(out, 4, "highest_rating", "movie_count_trend_slope", "latest_movie_count_ma3")
 
 
 @query(
     "w1_w2_yearly_series",
-    with_catalog("""SELECT year, n AS movie_count, round(r, 4) AS avg_rating, round(rev, 0) AS total_revenue, round(n3, 4) AS movie_count_ma3, round(ny, 4) AS movie_count_yoy_percent,
-    round(rev3, 0) AS total_revenue_ma3, round(revy, 4) AS revenue_yoy_percent FROM w""", _YEARS_SQL),
+    with_catalog("""SELECT year, n AS movie_count, round(r, 4) AS avg_rating, round(rev, 3) AS total_revenue, round(n3, 4) AS movie_count_ma3, round(ny, 4) AS movie_count_yoy_percent,
+    round(rev3, 3) AS total_revenue_ma3, round(revy, 4) AS revenue_yoy_percent FROM w""", _YEARS_SQL),
 )
 def yearly_series(spark, sf):
     out = trends.trend_columns(trends.yearly_series(order_catalog(spark, sf, "title", "year", "vote_average", "revenue")))
     out = rounded(out, 4, "avg_rating", "movie_count_ma3", "movie_count_yoy_percent", "revenue_yoy_percent")
-    return rounded(out, 0, "total_revenue", "total_revenue_ma3")
+    return rounded(out, 3, "total_revenue", "total_revenue_ma3")
 
 
 @query(
@@ -214,8 +214,8 @@ def category_levels(spark, sf):
 
 @query(
     "g20_exact_quantiles",
-    with_catalog("""SELECT primary_genre, measure, probability, count(v) AS n, round(CASE probability WHEN 0.1 THEN quantile_cont(v, 0.1) WHEN 0.5 THEN quantile_cont(v, 0.5) ELSE quantile_cont(v, 0.75) END, 4) AS value
-    FROM (SELECT primary_genre, 'budget' AS measure, budget AS v FROM catalog UNION ALL SELECT primary_genre, 'revenue', revenue FROM catalog), (VALUES (CAST(0.1 AS DOUBLE)), (0.5), (0.75)) p(probability) GROUP BY ALL"""),
+    with_catalog("""SELECT primary_genre, measure, CAST(p.probability AS DOUBLE) AS probability, n, round(q[p.k], 4) AS value FROM (SELECT primary_genre, measure, count(v) AS n, quantile_cont(v, [0.1, 0.5, 0.75]) AS q
+    FROM (SELECT primary_genre, 'budget' AS measure, budget AS v FROM catalog UNION ALL SELECT primary_genre, 'revenue', revenue FROM catalog) GROUP BY primary_genre, measure), (VALUES (0.1, 1), (0.5, 2), (0.75, 3)) p(probability, k)"""),
 )
 def quantiles(spark, sf):
     rows = order_catalog(spark, sf, "primary_genre", "budget", "revenue")

@@ -216,7 +216,7 @@ def search_texts(spark, sf):
 
 
 @query(
-    "p15_p21_p22_p24_p25_labels",
+    "p15_p21_p22_p24_p25_p27_labels",
     with_catalog("""SELECT id, CASE WHEN month <= 3 THEN 'Q1 (Jan-Mar)' WHEN month <= 6 THEN 'Q2 (Apr-Jun)' WHEN month <= 9 THEN 'Q3 (Jul-Sep)' ELSE 'Q4 (Oct-Dec)' END AS quarter,
     CAST(year // 10 * 10 AS INTEGER) AS decade, round((revenue - budget) / budget * 100, 4) AS roi,
     CASE WHEN revenue > budget THEN 'increasing' WHEN revenue < budget THEN 'decreasing' ELSE 'stable' END AS direction,
