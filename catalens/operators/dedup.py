@@ -150,11 +150,10 @@ def disambiguate_titles(keyed: DataFrame) -> DataFrame:
         slot = ["_title_key", "year", "_wish_key"]
         holders = asked.groupBy(*slot).agg(F.min("_rank").alias("_holder"))
         judged = asked.join(holders, slot).withColumn("_refused", F.col("_rank") != F.col("_holder"))
-        judged = stage(judged.drop("_holder"))
-        refused = judged.filter("_refused")
-        if refused.isEmpty():
+        judged = stage(judged.drop("_holder"))  # one table per round; the next round starts from it
+        if judged.filter("_refused").isEmpty():
             break
-        state = stage(_advance(judged))
+        state = _advance(judged)
     names = judged.select("_title_key", "year", "_original_key", "_language_key", F.col("_wish").alias("_new_title"))
     return (
         df.join(names, ["_title_key", "year", "_original_key", "_language_key"], "left")

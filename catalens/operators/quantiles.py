@@ -48,26 +48,23 @@ def exact_quantiles(
     )
     wanted = F.array(
         *[
-            F.struct(
-                F.lit(float(p)).alias("probability"),
-                F.col("edge")[2 * i].alias("low"),
-                F.col("edge")[2 * i + 1].alias("high"),
-            )
-            for i, p in enumerate(probabilities)
+            F.struct(F.lit(i).alias("at"), F.col("edge")[2 * i].alias("low"), F.col("edge")[2 * i + 1].alias("high"))
+            for i in range(len(probabilities))
         ]
     )
     brackets = stage(sketch.select(*group, "n", F.inline(wanted)))
 
-    right = brackets.select(*[F.col(k).alias(f"_{k}") for k in group], "n", "probability", "low", "high")
+    right = brackets.select(*[F.col(k).alias(f"_{k}") for k in group], "n", "at", "low", "high")
     same = F.lit(True)
     for k in group:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     below, above = F.col("v") < F.col("low"), F.col("v") > F.col("high")
-    slot = [*group, "probability", "n"]
+    slot = [*group, "at"]
     counted = (
         long.join(right, same)
         .groupBy(*slot, F.when(~below & ~above, F.col("v")).alias("inside"))
         .agg(
+            F.max("n").alias("n"),
             F.count("*").alias("copies"),
             F.count_if(below).alias("lesser"),
             F.max(F.when(below, F.col("v"))).alias("previous"),
@@ -77,9 +74,11 @@ def exact_quantiles(
     # ranks are 0-based; the outside row sorts first and brings the count below the bracket
     running = Window.partitionBy(*slot).orderBy(F.col("inside").asc_nulls_first())
     step = F.when(F.col("inside").isNull(), F.col("lesser")).otherwise(F.col("copies"))
-    rank = F.col("probability") * (F.col("n") - 1)
-    placed = counted.withColumn("upto", F.sum(step).over(running.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "start", F.col("upto") - step
+    share = F.array(*[F.lit(float(p)) for p in probabilities])[F.col("at")]
+    placed = (
+        counted.withColumn("upto", F.sum(step).over(running.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("start", F.col("upto") - step)
+        .withColumn("rank", share * (F.col("n") - 1))
     )
 
     def statistic(r: Column) -> Column:
@@ -93,11 +92,13 @@ def exact_quantiles(
             .otherwise(F.raise_error(F.lit(_MISSED)).cast("double"))
         )
 
-    return (
-        placed.groupBy(*slot)
-        .agg(statistic(F.floor(rank)).alias("lower"), statistic(F.ceil(rank)).alias("upper"))
-        .withColumn("value", F.col("lower") + (rank - F.floor(rank)) * (F.col("upper") - F.col("lower")))
+    rank = F.col("rank")
+    out = placed.groupBy(*slot).agg(
+        F.max("n").alias("n"), F.max(rank - F.floor(rank)).alias("part"),
+        statistic(F.floor(rank)).alias("lower"), statistic(F.ceil(rank)).alias("upper"),
     )
+    value = F.col("lower") + F.col("part") * (F.col("upper") - F.col("lower"))
+    return out.select(*group, share.alias("probability"), "n", "lower", "upper", value.alias("value"))
 
 
 def exact_medians(df: DataFrame, keys: Sequence[str], measures: dict[str, Column | str], **options) -> DataFrame:

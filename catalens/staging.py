@@ -20,6 +20,9 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[str] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
@@ -29,4 +32,15 @@ def stage(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/catalens-stage/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables staged by this process; results that still read them must be written before."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

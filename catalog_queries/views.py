@@ -26,8 +26,9 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_catalog(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """Orders in canonical roles; joins no more than the asked columns need."""
+def order_catalog(spark: SparkSession, sf: str, *columns: str, whole_days: bool = True) -> DataFrame:
+    """Orders in canonical roles; joins no more than the asked columns need. ``whole_days=False`` leaves the
+    date the timestamp it is stored as, which a filter on it can be pushed down to."""
     rows = table(spark, sf, "orders")
     need = set(columns)
     if need & {"title", "language", "keyword", "country"}:
@@ -39,7 +40,7 @@ def order_catalog(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
     known = {
         "id": "o_orderkey", "title": "c_name", "primary_genre": "o_orderpriority", "budget": "budget", "revenue": "o_totalprice",
-        "release_date": day, "year": F.year(day), "runtime": "runtime",
+        "release_date": day if whole_days else "o_orderdate", "year": F.year(day), "runtime": "runtime",
         "vote_average": (F.col("o_custkey") % 101).cast("double") / 10, "vote_count": F.col("o_custkey").cast("double"),
         "popularity": (F.col("o_orderkey") % 97).cast("double"), "language": F.lower("c_mktsegment"),
         "country": "n_name", "keyword": F.concat_ws("|", "c_mktsegment", "o_orderpriority"),
