@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalens.functions.casting import day_column, identifier_column
@@ -164,9 +164,8 @@ def disambiguate_titles(keyed: DataFrame) -> DataFrame:
 
 def _advance(judged: DataFrame) -> DataFrame:
     """Move refused rows to their next wish. A row that runs out of candidates starts at the number it
-    can have at best: one more than its place among the rows of its group that ran out."""
-    from pyspark.sql import Window
-
+    can have at best: one more than its place among the rows of its group that ran out. Candidates with
+    an id are unique, so only rows without an id of their own can run out, and the window sees few rows."""
     moved = judged.withColumn("_at", F.col("_at") + F.col("_refused").cast("int"))
     moved = moved.withColumn(
         "_extra", F.when(F.col("_refused") & (F.col("_extra") > 0), F.col("_extra") + 1).otherwise(F.col("_extra"))

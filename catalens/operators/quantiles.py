@@ -33,27 +33,29 @@ def exact_quantiles(
     Null and NaN values are left out; a group without values has no row. ``df`` is read twice, so an
     expensive input should be staged first.
     """
-    keys = list(keys)
-    items = [
-        F.struct(F.lit(name).alias("measure"), (F.col(c) if isinstance(c, str) else c).cast("double").alias("v"))
-        for name, c in measures.items()
-    ]
-    long = df.select(*keys, F.inline(F.array(*items))).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    keys, names = list(keys), list(measures)
+    cells = [(F.col(c) if isinstance(c, str) else c).cast("double") for c in measures.values()]
+    wide = df.select(*keys, *[F.when(~F.isnan(c), c).alias(f"_v{i}") for i, c in enumerate(cells)])
     group = [*keys, "measure"]
 
+    # one sketch per measure side by side, so the rows are not multiplied for the first pass
     slack = 2.0 / accuracy
     edges = [e for p in probabilities for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    sketch = long.groupBy(*group).agg(
-        F.count("*").alias("n"), F.percentile_approx("v", edges, accuracy).alias("edge")
-    )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("at"), F.col("edge")[2 * i].alias("low"), F.col("edge")[2 * i + 1].alias("high"))
-            for i in range(len(probabilities))
-        ]
-    )
-    brackets = stage(sketch.select(*group, "n", F.inline(wanted)))
+    sketches = []
+    for i in range(len(names)):
+        sketches += [F.count(f"_v{i}").alias(f"n{i}"), F.percentile_approx(f"_v{i}", edges, accuracy).alias(f"e{i}")]
+    entries = [
+        F.struct(
+            F.lit(name).alias("measure"), F.col(f"n{i}").alias("n"), F.lit(k).alias("at"),
+            F.col(f"e{i}")[2 * k].alias("low"), F.col(f"e{i}")[2 * k + 1].alias("high"),
+        )
+        for i, name in enumerate(names)
+        for k in range(len(probabilities))
+    ]
+    brackets = stage(wide.groupBy(*keys).agg(*sketches).select(*keys, F.inline(F.array(*entries))).filter("n > 0"))
 
+    pairs = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(f"_v{i}").alias("v")) for i, n in enumerate(names)])
+    long = wide.select(*keys, F.inline(pairs)).filter(F.col("v").isNotNull())
     right = brackets.select(*[F.col(k).alias(f"_{k}") for k in group], "n", "at", "low", "high")
     same = F.lit(True)
     for k in group:

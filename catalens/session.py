@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # quantile sketches of many groups: stay in the hash map instead of sorting the rows by group
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -11,7 +11,7 @@ from catalens.operators import calibration, charts, linear, ratio, scoring
 from catalens.operators.modelling import Centre, candidate_years, eligible_rows, prepare_modelling, year_profile
 from catalens.plans import profile as profiles
 from catalens.plans.forecasting import backtest, evaluate_holdout
-from catalens.plans.reports import run_forecast, saved_backtest
+from catalens.plans.reports import run_forecast, run_report, saved_backtest
 from catalens.staging import shared_folder, stage
 from catalog_queries.registry import query
 from catalog_queries.views import CUTOFF, order_catalog, rounded, with_catalog
@@ -317,3 +317,21 @@ def comprehensive(spark, sf):
         "decades": found.decade_leaders, "performance": found.genre_performance, "profile": found.high_revenue_profile.overview,
     }
     return reduce(lambda a, b: a.unionByName(b), [text(n, d) for n, d in parts.items()])
+
+
+@query("q3_q7_c9_batch_report")
+def batch_report(spark, sf):
+    """The whole report over the orders as a cleaned catalog; one row per table written."""
+    folder = f"{shared_folder(spark)}/catalens-export/{uuid.uuid4().hex}"
+    rows = order_catalog(
+        spark, sf, *_COLUMNS, "year", "vote_average", "vote_count", "popularity", "keyword"
+    ).withColumns({f"{c}_observed": F.col(c).isNotNull() for c in ("budget", "revenue", "runtime")})
+    rows.write.parquet(f"{folder}/input")
+    made = run_report(
+        spark, f"{folder}/report", f"{folder}/input", cutoff=CUTOFF, models=("genre_budget_ratio",), years=(1996, 2001), validation_year=2001
+    )
+    tables = [
+        spark.read.parquet(path).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name, path in made.items() if name != "forecast"
+    ]
+    return reduce(lambda a, b: a.unionByName(b), tables)
