@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalens.functions.text import trimmed
 from catalens.roles import MEASURES, OBSERVED, REQUIRED_CLEANED_COLUMNS, TEXTS, require
 
 
@@ -98,7 +99,7 @@ def restore_types(df: DataFrame) -> DataFrame:
         elif c == "release_date":
             casts[c] = day_column(df, c)
         elif c in TEXTS:
-            casts[c] = F.nullif(F.trim(F.col(c)), F.lit(""))
+            casts[c] = trimmed(F.col(c))
     return df.withColumns(casts)
 
 

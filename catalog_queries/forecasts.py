@@ -265,16 +265,21 @@ def three_model_backtest(spark, sf):
     return found.model_summary
 
 
-@query("c7_c8_c10_s8_saved_backtest_charts")
+@query(
+    "c7_c8_c10_s8_saved_backtest_charts",
+    with_catalog("""SELECT CAST(fold AS INTEGER) AS validation_year, 'best: Genre Budget Ratio' AS series, round(predicted, -1) AS total FROM err WHERE primary_genre IS NULL
+    UNION ALL SELECT CAST(fold AS INTEGER), 'Genre Budget Ratio', round(predicted, -1) FROM err WHERE primary_genre IS NULL
+    UNION ALL SELECT CAST(fold AS INTEGER), 'Actual Revenue', round(actual, -1) FROM err WHERE primary_genre IS NULL""", _all_folds_sql()),
+)
 def saved_backtest_charts(spark, sf):
     folder = f"{shared_folder(spark)}/catalens-export/{uuid.uuid4().hex}"
     rows = stage(order_catalog(spark, sf, *_COLUMNS))
-    saved = saved_backtest(rows, folder, ("ridge", "genre_budget_ratio"), (1996, 2001), CUTOFF, unique_ids=True)
+    saved = saved_backtest(rows, folder, ("genre_budget_ratio",), (1996, 2001), CUTOFF, unique_ids=True)
     bars = charts.yearly_comparison(saved["backtest_overview"], saved["backtest_summary"], CUTOFF).select(
         "validation_year", F.concat(F.lit("best: "), "model_label").alias("series"), F.col("predicted_total_revenue").alias("total")
     )
     lines = charts.model_lines(saved["backtest_overview"], saved["backtest_summary"]).select("validation_year", "series", "total")
-    return bars.unionByName(lines)
+    return rounded(bars.unionByName(lines), -1, "total")
 
 
 @query("m9_m10_random_forest_holdout")
@@ -285,12 +290,17 @@ def random_forest_holdout(spark, sf):
     return found.summary_by_genre.select("genre", "model_type", "train_samples", "validation_samples", "wape_percent", "r_squared")
 
 
-@query("m14_s6_s7_s8_saved_forecast")
+@query(
+    "m14_s6_s7_s8_saved_forecast",
+    with_catalog("""SELECT primary_genre AS genre, CASE WHEN train_samples >= 12 THEN 'genre_budget_ratio_calibrated' ELSE 'genre_budget_ratio_shared' END AS model_type,
+    n AS validation_samples, round(wape, 1) AS wape_percent FROM err WHERE fold = 2001 AND primary_genre IS NOT NULL""", RATIO_SQL),
+)
 def saved_forecast(spark, sf):
     folder = f"{shared_folder(spark)}/catalens-export/{uuid.uuid4().hex}"
     rows = stage(order_catalog(spark, sf, *_COLUMNS))
-    run_forecast(rows, folder, 2001, CUTOFF, unique_ids=True)
-    return run_forecast(rows, folder, 2001, CUTOFF).summary_by_genre.select("genre", "model_type", "validation_samples", "wape_percent")
+    run_forecast(rows, folder, 2001, CUTOFF, model_name="genre_budget_ratio", unique_ids=True)  # computes and saves
+    again = run_forecast(rows, folder, 2001, CUTOFF, model_name="genre_budget_ratio", unique_ids=True)  # reads back
+    return rounded(again.summary_by_genre.select("genre", "model_type", "validation_samples", "wape_percent"), 1, "wape_percent")
 
 
 @query("m15_m16_o7_revenue_profile")
@@ -300,6 +310,16 @@ def revenue_profile(spark, sf):
     return sign(found.top_positive_features, "+").unionByName(sign(found.top_negative_features, "-"))
 
 
+@query(
+    "m16_w12_g20_profile_split",
+    with_catalog("""SELECT count(*) AS sample_rows, CAST(count(*) - round(count(*) * 0.2) AS BIGINT) AS training_rows, CAST(round(count(*) * 0.2) AS BIGINT) AS evaluation_rows,
+    round(quantile_cont(revenue, 0.75), 1) AS high_revenue_threshold FROM m""", MODEL_SQL),
+)
+def profile_split(spark, sf):
+    found = profiles.high_revenue_profile(model_table(spark, sf), prepared=True).overview
+    return rounded(found.select("sample_rows", "training_rows", "evaluation_rows", "high_revenue_threshold"), 1, "high_revenue_threshold")
+
+
 @query("m16_profile_overview")
 def profile_overview(spark, sf):
     return profiles.high_revenue_profile(model_table(spark, sf), prepared=True).overview
