@@ -1,4 +1,7 @@
-"""Summaries, trends, statistics, quality, cleaning steps, charts and logs."""
+"""Summaries, trends, statistics, quality, cleaning steps, charts and logs.
+
+Inputs that an operator reads several times are staged: the joins behind the catalog then run once.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +15,7 @@ from catalens.operators.quantiles import exact_quantiles
 from catalens.plans import cleaning, exploration, reports
 from catalens.sources import tables
 from catalens.sources.events import parse_events
-from catalens.staging import shared_folder
+from catalens.staging import shared_folder, stage
 from catalog_queries.registry import query
 from catalog_queries.views import CUTOFF, PARTS_SQL, event_log, order_catalog, part_catalog, rounded, table, with_catalog
 
@@ -48,7 +51,7 @@ def yearly_summary(spark, sf):
     median(runtime) AS median_runtime, round(CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_revenue FROM catalog"""),
 )
 def dataset_overview(spark, sf):
-    rows = order_catalog(spark, sf, "primary_genre", "vote_average", "runtime", "revenue")
+    rows = stage(order_catalog(spark, sf, "primary_genre", "vote_average", "runtime", "revenue"))
     return rounded(rounded(summaries.dataset_overview(rows, None), 4, "average_rating"), 2, "total_revenue")
 
 
@@ -135,7 +138,7 @@ def yearly_series(spark, sf):
     round(max((revenue - budget) / budget * 100), 2) AS best_roi_value FROM catalog WHERE budget > 0"""),
 )
 def budget_revenue_correlation(spark, sf):
-    out = trends.budget_revenue_correlation(order_catalog(spark, sf, "id", "title", "budget", "revenue"), digits=False)
+    out = trends.budget_revenue_correlation(stage(order_catalog(spark, sf, "id", "title", "budget", "revenue")), digits=False)
     out = rounded(rounded(out, 6, "correlation", "r_squared", "regression_slope"), 1, "regression_intercept")
     return rounded(rounded(out, 2, "average_roi", "best_roi_value"), 4, "median_roi")
 
@@ -148,7 +151,7 @@ def budget_revenue_correlation(spark, sf):
     FROM catalog, b""", "b AS (SELECT avg(budget) AS m, stddev_pop(budget) AS s, quantile_cont(budget, 0.25) AS q1, quantile_cont(budget, 0.75) AS q3 FROM catalog)"),
 )
 def outliers(spark, sf):
-    rows = order_catalog(spark, sf, "id", "budget").withColumn("title", F.col("id").cast("string"))
+    rows = stage(order_catalog(spark, sf, "id", "budget").withColumn("title", F.col("id").cast("string")))
     out = trends.outlier_summary(rows, "budget", digits=False)
     out = rounded(rounded(out, 1, "mean", "std"), 4, "q1", "q3", "iqr")
     return out.withColumn("examples", F.nullif(F.array_join("example_titles", ","), F.lit(""))).drop("example_titles")
@@ -160,7 +163,7 @@ def outliers(spark, sf):
     "b AS (SELECT quantile_cont(runtime, 0.25) AS q1, quantile_cont(runtime, 0.75) AS q3 FROM catalog)"),
 )
 def outlier_rows(spark, sf):
-    return trends.outlier_rows(order_catalog(spark, sf, "id", "runtime"), "runtime").select("id", "runtime")
+    return trends.outlier_rows(stage(order_catalog(spark, sf, "id", "runtime")), "runtime").select("id", "runtime")
 
 
 @query(
@@ -178,7 +181,7 @@ def outlier_rows(spark, sf):
     UNION ALL SELECT 'release_date', 'cutoff', '2001-07-31' UNION ALL SELECT 'primary_genre', 'distinct', CAST(count(DISTINCT primary_genre) AS VARCHAR) FROM catalog)"""),
 )
 def quality_report(spark, sf):
-    rows = order_catalog(spark, sf, "id", "primary_genre", "release_date", "runtime")
+    rows = stage(order_catalog(spark, sf, "id", "primary_genre", "release_date", "runtime"))
     return quality.quality_report(rows, rows.select("release_date"), CUTOFF)
 
 
@@ -218,7 +221,7 @@ def category_levels(spark, sf):
     FROM (SELECT primary_genre, 'budget' AS measure, budget AS v FROM catalog UNION ALL SELECT primary_genre, 'revenue', revenue FROM catalog) GROUP BY primary_genre, measure), (VALUES (0.1, 1), (0.5, 2), (0.75, 3)) p(probability, k)"""),
 )
 def quantiles(spark, sf):
-    rows = order_catalog(spark, sf, "primary_genre", "budget", "revenue")
+    rows = stage(order_catalog(spark, sf, "primary_genre", "budget", "revenue"))
     out = exact_quantiles(rows, ["primary_genre"], {"budget": "budget", "revenue": "revenue"}, (0.1, 0.5, 0.75))
     return rounded(out, 4, "value").select("primary_genre", "measure", "probability", "n", "value")
 
@@ -300,8 +303,6 @@ three AS (SELECT *, row_number() OVER (PARTITION BY tk, first_original, first_da
     WHEN first_day THEN title || ' (' || strftime(release_date, '%Y-%m-%d') || ')' WHEN first_language THEN title || ' [' || upper(original_language) || ']' ELSE title || ' #' || id END AS title FROM three""",
 )
 def distinct_titles(spark, sf):
-    from catalens.staging import stage
-
     return dedup.disambiguate_titles(stage(dedup.deduplicate_signatures(part_catalog(spark, sf)))).select("id", "title")
 
 

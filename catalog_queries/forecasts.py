@@ -63,7 +63,7 @@ def fold_years(spark, sf):
     with_catalog("""SELECT CAST(f AS INTEGER) AS validation_year, primary_genre, count(*) AS train_samples FROM m, (VALUES (1997), (1999), (2001)) t(f) WHERE year < f GROUP BY ALL""", MODEL_SQL),
 )
 def fold_rows(spark, sf):
-    rows = eligible_rows(model_table(spark, sf)).select("year", "primary_genre", "budget", "revenue")
+    rows = stage(eligible_rows(model_table(spark, sf)).select("year", "primary_genre", "budget", "revenue"))
     return ratio.fit_ratio(rows, [1997, 1999, 2001]).select("validation_year", "primary_genre", "train_samples")
 
 
@@ -73,7 +73,7 @@ def fold_rows(spark, sf):
     FROM m, (VALUES (1997), (1999), (2001)) t(f) WHERE year < f GROUP BY f""", MODEL_SQL),
 )
 def fold_medians(spark, sf):
-    out = linear.fold_medians(eligible_rows(model_table(spark, sf)), [1997, 1999, 2001])
+    out = linear.fold_medians(stage(eligible_rows(model_table(spark, sf))), [1997, 1999, 2001])
     return rounded(rounded(out, 6, "fill_lb"), 5, "fill_lb2")
 
 
@@ -139,14 +139,14 @@ _FOLDS = [1997, 1999, 2001]
     with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, primary_genre, train_samples, round(ratio, 6) AS ratio, round(usual, 2) AS usual FROM g", RATIO_SQL),
 )
 def ratio_model(spark, sf):
-    fitted = ratio.fit_ratio(eligible_rows(model_table(spark, sf)), _FOLDS)
+    fitted = ratio.fit_ratio(stage(eligible_rows(model_table(spark, sf))), _FOLDS)
     return fitted.select(
         "validation_year", "primary_genre", "train_samples", F.round("genre_budget_ratio.ratio", 6).alias("ratio"), F.round("genre_budget_ratio.usual", 2).alias("usual")
     )
 
 
 def _ratio_training(spark, sf):
-    rows = eligible_rows(model_table(spark, sf))
+    rows = stage(eligible_rows(model_table(spark, sf)))
     fitted = ratio.fit_ratio(rows, _FOLDS).withColumnRenamed("primary_genre", "_genre")
     met = rows.join(fitted, (F.col("primary_genre") == F.col("_genre")) & (F.col("year") < F.col("validation_year")))
     return met.select("validation_year", "primary_genre", "revenue", ratio.ratio_prediction().alias("base_prediction"))
@@ -175,7 +175,7 @@ def category_calibration(spark, sf):
     CASE WHEN train_samples >= 12 THEN 'genre_budget_ratio_calibrated' ELSE 'genre_budget_ratio_shared' END AS model_type FROM pr JOIN catalog c USING (id) WHERE fold = 2001""", RATIO_SQL),
 )
 def holdout_predictions(spark, sf):
-    rows = model_table(spark, sf).withColumn("title", F.col("id").cast("string"))
+    rows = stage(model_table(spark, sf).withColumn("title", F.col("id").cast("string")))
     out = evaluate_holdout(rows, 2001, model_name="genre_budget_ratio", digits=False, prepared=True, cutoff=CUTOFF).predictions
     out = out.select(F.col("title").cast("bigint").alias("id"), "genre", "predicted_revenue", "absolute_error", "ape_percent", "model_type")
     return rounded(rounded(out, 0, "predicted_revenue", "absolute_error"), 2, "ape_percent")
