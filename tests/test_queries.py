@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from check_queries import compare, connect
 
 SF = "/root/testdata/sf0.001"
-LONG = ("q1_", "q2_", "q3_", "g11_", "m11_", "m12_", "g15_", "c5_", "c6_", "u4_", "m7_", "m8_", "w7_")
+LONG = ("m14_", "m16_", "c7_", "q1_", "q2_", "q3_", "g11_", "m11_", "m12_", "g15_", "c5_", "c6_", "u4_", "m7_", "m8_", "w7_")
 SQL = entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
