@@ -6,19 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Raw tables by logical name and their columns as published; everything is read as text.
-RAW_TABLES = {
-    "movies_metadata": (
-        "adult", "belongs_to_collection", "budget", "genres", "homepage", "id", "imdb_id", "original_language",
-        "original_title", "overview", "popularity", "poster_path", "production_companies", "production_countries",
-        "release_date", "revenue", "runtime", "spoken_languages", "status", "tagline", "title", "video",
-        "vote_average", "vote_count",
-    ),
-    "keywords": ("id", "keywords"),
-    "credits": ("cast", "crew", "id"),
-    "ratings_small": ("userId", "movieId", "rating", "timestamp"),
-    "links_small": ("movieId", "imdbId", "tmdbId"),
-}
+# Logical names of the raw tables; their columns come from the files and are read as text.
+RAW_TABLES = ("movies_metadata", "keywords", "credits", "ratings_small", "links_small")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
