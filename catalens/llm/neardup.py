@@ -1,0 +1,137 @@
+"""Near-duplicate documents: SimHash candidates, then the exact similarity of their shingle sets."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from catalens.llm.components import connected_components
+from catalens.llm.simhash import close_pairs, distance_table, fingerprints, link_fingerprints, pivots, sampled_keys, shingle_hashes
+from catalens.llm.tiles import Forest, over_tiles, sides, tiled
+from catalens.staging import stage
+
+BITS = 128
+_COLUMNS = 4096  # shingles compared at a time
+
+
+def expected_share(similarity: float) -> float:
+    """Share of differing bits of two shingle sets of this Jaccard similarity: the angle between their vectors over pi."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def _common(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(rows, rows) sizes of the intersections of sets given as one array with offsets."""
+    n = len(offsets) - 1
+    _, place, count = np.unique(values, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), np.diff(offsets))
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    inside = shared[place]
+    row, place = row[inside], number[place[inside]]
+    out = np.zeros((n, n), dtype=np.float32)
+    order = np.argsort(place)
+    row, place = row[order], place[order]
+    for at in range(0, int(shared.sum()), _COLUMNS):
+        lo, hi = np.searchsorted(place, [at, at + _COLUMNS])
+        m = np.zeros((n, _COLUMNS), dtype=np.float32)
+        m[row[lo:hi], place[lo:hi] - at] = 1
+        out += m @ m.T
+    return out
+
+
+def _verified(tiles: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """Links (a, b) of a tile whose fingerprints are within the radius and whose shingle sets are similar enough."""
+    refs = pivots(16, BITS // 64)
+
+    def work(table: pa.Table, at: np.ndarray) -> pa.RecordBatch:
+        ids = table.column("node").to_numpy()
+        fp = np.stack([table.column(f"fp{k}").to_numpy().view(np.uint64) for k in range(BITS // 64)], axis=1)
+        dist = distance_table(fp, refs)
+        block, ti, tj = (table.column(c).to_numpy() for c in ("block", "tile_i", "tile_j"))
+        lists = table.column("shingles").combine_chunks()
+        values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        a, b = [], []
+        for lo, hi in zip(at[:-1], at[1:]):
+            one, two = sides(block[lo:hi], ti[lo], tj[lo])
+            near = list(close_pairs(fp[lo:hi], dist[:, lo:hi], one, two, radius))
+            if not near:
+                continue
+            common = _common(values[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo])
+            size = np.diff(ends[lo : hi + 1])
+            forest = Forest(hi - lo)
+            for row, others in near:
+                both = common[row, others]
+                # no shingles on either side: two texts without words, alike
+                alike = np.where(size[row] + size[others] > 0, both >= similarity * (size[row] + size[others] - both) - 1e-6, True)
+                if alike.any():
+                    forest.join(row, others[alike])
+            for x, y in forest.links:
+                a.append(ids[lo + x])
+                b.append(ids[lo + y])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return over_tiles(tiles, ["component"], work, "a long, b long")
+
+
+def _shingle_sets(df: DataFrame, words: int) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words)[:, 0]).view(np.int64) for t in b.column("text")]
+            offsets = np.cumsum([0, *map(len, sets)])
+            values = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            rest = [b.column(c) for c in b.schema.names if c != "text"]
+            made = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rest, made], names=[*[c for c in b.schema.names if c != "text"], "shingles"])
+
+    kept = [(c, t) for c, t in df.dtypes if c != "text"]
+    return df.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kept) + ", shingles array<long>")
+
+
+def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.99, seed: int = 11) -> tuple[DataFrame, DataFrame]:
+    """(staged rows, groups): ``df`` with a row number ``_row``, and (_row, _group) of rows in a group with others.
+
+    Two documents link when the sets of their ``words``-word shingles have a Jaccard similarity of
+    ``similarity`` or more; groups are the components of the links. Copies of a text meet in a partial
+    aggregate and count as one node. 128-bit SimHash fingerprints of the shingles find the candidates:
+    tables of sampled bits, whose number gives a pair that differs by the expected share of bits plus one
+    and a half standard deviations the stated recall; pivot distance tables and the Hamming distance
+    (expected share plus three deviations) thin them; a last pass compares the shingle sets of candidates
+    exactly, so nothing below the threshold links. Texts without words (null, empty, white space) are
+    alike. Rows may repeat and ids may be null or repeat: rows are told apart by number. The first row of a
+    group is the one with the smallest id (nulls last), then the smallest number. Column names starting
+    with an underscore are reserved.
+    """
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
+    digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    marked = rows.select("_row", F.col(row_id).alias("_id"), F.col(text).cast("string").alias("_text"), digest.alias("_digest"))
+    prints = fingerprints(marked.select(F.struct("_row", "_id", "_digest").alias("_who"), "_text"), "_who", "_text", words, BITS)
+    lanes = [f"fp{k}" for k in range(BITS // 64)]
+    own = stage(prints.select("_who._row", "_who._id", "_who._digest", *lanes))
+    order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
+    nodes = stage(own.groupBy("_digest", *lanes).agg(F.min(order).alias("_first"), F.count("*").alias("_copies")).select("_digest", *lanes, "_first", "_copies", F.col("_first.r").alias("node")))
+    share = expected_share(similarity)
+    spread = math.sqrt(share * (1 - share) / BITS)
+    radius = math.floor(BITS * (share + 3 * spread))
+    keys = sampled_keys(nodes.count(), BITS, 1 - share - 1.5 * spread, recall, seed)
+    near = connected_components(link_fingerprints(nodes, "node", keys, BITS, radius, refs=8))
+    inside = near.unionByName(near.select(F.col("component").alias("node"), "component").distinct())
+    wanted = nodes.select("node", *lanes).join(inside, "node")
+    texts = wanted.join(rows.select(F.col("_row").alias("node"), F.col(text).cast("string").alias("text")), "node")
+    sets = stage(_shingle_sets(texts, words))
+    links = _verified(tiled(sets, ["component"], "node", 256, F.size("shingles"), 1 << 20), similarity, radius)
+    tied = connected_components(links)
+    roots = nodes.join(tied, "node", "left").select("_digest", "_first", "_copies", F.coalesce("component", "node").alias("_root"))
+    # of interest are nodes with copies, nodes moved to another and those moved to
+    groups = roots.groupBy("_root").agg(F.min("_first").alias("_least"), F.sum("_copies").alias("_size")).filter("_size > 1")
+    place = roots.join(groups, "_root").select("_digest", F.col("_least.r").alias("_group"))
+    return rows, own.select("_row", "_digest").join(place, "_digest").select("_row", "_group")
+
+
+def drop_near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """``df`` without all but the first row of each group of ``near_duplicates``; columns and other rows unchanged."""
+    rows, groups = near_duplicates(df, row_id, text, **how)
+    return rows.join(groups.filter("_row <> _group").select("_row"), "_row", "left_anti").drop("_row")
