@@ -97,8 +97,8 @@ def dropped_lines(df: DataFrame, row_id: str = "doc_id", text: str = "text", bat
         df.select(F.col(row_id).alias("row"), F.explode(F.array_distinct(F.filter(keys, lambda k: k.isNotNull()))).alias("k"))
         .select("row", "k.h1", "k.h2")
     )
-    cuts = held.filter("row is not null").stat.approxQuantile("row", [i / batches for i in range(1, batches)], 0.01)
-    cuts = sorted({int(c) for c in cuts})
+    shares = [i / batches for i in range(1, batches)]
+    cuts = sorted({int(c) for c in held.filter("row is not null").approxQuantile("row", shares, 0.01)}) if shares else []
     runs, row = LineRuns(spark, fan_in), F.col("row")
     if not cuts:
         runs.add(held.filter(row.isNotNull()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalens.llm import lines, simhash
+from catalens.llm import embeddings, html, licenses, lines, mixing, orderminhash, pieces, simhash, toxicity, urls
 from catalog_queries.registry import query
 
 
@@ -40,3 +40,52 @@ FROM judged GROUP BY doc_id
 def op10(spark, sf):
     kept = lines.dedup_lines(_table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op5_toxicity_scores")
+def op5(spark, sf):
+    docs = _table(spark, sf, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, _table(spark, sf, "labels")))
+
+
+@query("op4_source_mix")
+def op4(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", F.array("source").alias("sources"), mixing.words_in("text").alias("size"))
+    mixed = mixing.mix(docs, "sources", "size")
+    return mixed.select("doc_id", "size", F.col("source_size")[0].alias("source_size"), F.col("target")[0].alias("target"), "taken")
+
+
+@query("op9_sampled_pieces")
+def op9(spark, sf):
+    import corpus_pipeline
+
+    docs = _table(spark, sf, "documents")
+    ids = pieces.encode(docs, corpus_pipeline.PIECE_MODEL)
+    decoded = pieces.with_decoded(ids, corpus_pipeline.PIECE_MODEL)
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op1_license_scan", licenses.scan_sql())
+def op1(spark, sf):
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
+@query("op2_near_vectors")
+def op2(spark, sf):
+    return embeddings.near_vectors(_table(spark, sf, "embeddings"))
+
+
+@query("op3_url_filter")
+def op3(spark, sf):
+    return urls.judge_urls(_table(spark, sf, "pages"), _table(spark, sf, "labels"))
+
+
+@query("op6_main_text")
+def op6(spark, sf):
+    pages = _table(spark, sf, "pages")
+    return html.extract(pages, html.fit(pages))
+
+
+@query("op7_order_minhash")
+def op7(spark, sf):
+    return orderminhash.fingerprints_with_edits(_table(spark, sf, "documents"))

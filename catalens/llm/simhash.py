@@ -142,10 +142,10 @@ def _small_pairs(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def link_fingerprints(fps: DataFrame, node: str, keys: list[list[int]], bits: int, radius: int, refs: int = 16, block_rows: int = 4096) -> DataFrame:
-    """Links (a, b) between the nodes of different fingerprints at ``radius`` or less that share a key.
+    """Pairs (a, b) whose components are those of all links between nodes: a shared key and ``radius`` or fewer differing bits.
 
-    One row of ``fps`` (node, fp0, ...) per distinct fingerprint. A tile leaves a spanning forest of its
-    links, so that the components are those of all links while rows grow with the nodes alone.
+    One row of ``fps`` (node, fp0, ...) per distinct fingerprint. A tile joins its linked nodes into trees
+    and returns those, so rows grow with the nodes alone; a pair of a tree need not be a link itself.
     """
     lanes = bits // 64
     names = [f"fp{k}" for k in range(lanes)]
