@@ -10,6 +10,9 @@ from catalens.functions.text import trimmed
 from catalens.roles import MEASURES, OBSERVED, REQUIRED_CLEANED_COLUMNS, TEXTS, require
 
 
+_DAY = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def to_number(c: Column) -> Column:
     """Double, null for unparseable text and for NaN."""
     number = c.try_cast("double")
@@ -17,9 +20,9 @@ def to_number(c: Column) -> Column:
 
 
 def to_day(c: Column) -> Column:
-    """Date from ``yyyy-MM-dd`` text (a time of day after it is allowed), a date or a timestamp."""
-    text = F.substring(F.trim(c.cast("string")), 1, 10)
-    strict = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text)
+    """Date from text that is ``yyyy-MM-dd`` as a whole, or that with a full time of day after it; from a date or a timestamp."""
+    text = F.trim(c.cast("string"))
+    strict = F.when(text.rlike(_DAY), F.substring(text, 1, 10))
     return F.try_to_timestamp(strict, F.lit("yyyy-MM-dd")).cast("date")
 
 

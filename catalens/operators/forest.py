@@ -5,49 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalens.functions.features import base_features, category_features
+from catalens.functions.features import base_features
 
 # Forest settings. Spark limits the depth to 30.
 TREES, MIN_LEAF, SEED, MAX_DEPTH = 300, 3, 42, 30
-MAX_LEVELS = 2000
 
 
-def _assembled(rows: DataFrame, levels: list[str], fills: dict[str, float]) -> DataFrame:
+def _assembled(rows: DataFrame, fills: dict[str, float]) -> DataFrame:
+    """Features of a row that has ``_level``: a category is one number, the mean log target of its training rows.
+
+    Splits on that number part the categories in the order of their means, which is where the best split of
+    a categorical feature lies; so any number of categories is one column.
+    """
     from pyspark.ml.feature import VectorAssembler
 
-    columns = {
-        name: F.coalesce(c, F.lit(float(fills.get(name, 0.0)))) for name, c in {**base_features(), **category_features(levels)}.items()
-    }
+    columns = {name: F.coalesce(c, F.lit(float(fills.get(name, 0.0)))) for name, c in base_features().items()}
+    columns["level"] = F.col("_level")
+    columns["log_budget_x_level"] = F.coalesce(base_features()["log_budget"], F.lit(0.0)) * F.col("_level")
     named = {f"_f{i}": c for i, c in enumerate(columns.values())}
     wide = rows.select("*", *[c.alias(n) for n, c in named.items()])
     return VectorAssembler(inputCols=list(named), outputCol="_features").transform(wide).drop(*named)
 
 
 def forest_predictions(
-    rows: DataFrame, fold: int, fills: dict[str, float], trees: int = TREES, max_depth: int = MAX_DEPTH, min_leaf: int = MIN_LEAF
+    rows: DataFrame, fold: int, fills: dict[str, float], trees: int = TREES, max_depth: int = MAX_DEPTH, min_leaf: int = MIN_LEAF,
+    max_train_rows: int | None = None,
 ) -> DataFrame:
     """Fit on rows before ``fold`` and predict rows up to and including it.
 
     Adds validation_year, train_samples (of the category) and the uncalibrated prediction; validation
-    rows of categories without history drop out. Category levels are read to the driver: they become
-    columns of the model, and their number is checked.
+    rows of categories without history drop out. A grown forest is held by the driver and grows with its
+    training rows: ``max_train_rows`` bounds them in expectation by a seeded sample (default: all rows).
     """
     from pyspark.ml.regression import RandomForestRegressor
 
-    train = rows.filter(F.col("year") < fold)
-    counts = train.groupBy("primary_genre").agg(F.count("*").alias("train_samples"))
-    levels = [r.primary_genre for r in counts.select("primary_genre").limit(MAX_LEVELS + 1).collect()]
-    if len(levels) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} category levels; they would be columns of the forest")
+    train = rows.filter(F.col("year") < fold).withColumn("_label", F.log1p("revenue"))
+    counts = train.groupBy("primary_genre").agg(F.count("*").alias("train_samples"), F.avg("_label").alias("_level"))
     forest = RandomForestRegressor(
         featuresCol="_features", labelCol="_label", predictionCol="_log", numTrees=trees, maxDepth=max_depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=SEED, bootstrap=True,
     )
-    fitted = forest.fit(_assembled(train.withColumn("_label", F.log1p("revenue")), levels, fills))
+    fitting = train.join(counts, "primary_genre")
+    if max_train_rows is not None:
+        fitting = fitting.sample(min(1.0, max_train_rows / max(train.count(), 1)), seed=SEED)
+    fitted = forest.fit(_assembled(fitting, fills))
     wanted = rows.filter(F.col("year") <= fold).join(counts, "primary_genre")
     return (
-        fitted.transform(_assembled(wanted, levels, fills))
+        fitted.transform(_assembled(wanted, fills))
         .withColumn("validation_year", F.lit(fold))
         .withColumn("base_prediction", F.greatest(F.expm1("_log"), F.lit(0.0)))
-        .drop("_features", "_log")
+        .drop("_features", "_log", "_level")
     )

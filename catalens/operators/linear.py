@@ -2,8 +2,10 @@
 
 One aggregation per (year, category) sums all products of fifteen shifted regressors. These blocks are
 additive, so every fold's training Gram matrix is a sum of small rows: the data is read once for all
-folds and alphas, and each fold's p x p system is solved in its own task. The fold's median fill enters
-algebraically through the null indicators, the category columns through the blocks' category.
+folds and alphas. The fold's median fill enters algebraically through the null indicators, the category
+columns through the blocks' category. A category's two unknowns meet only the twelve shared ones, so they
+are eliminated block by block: a fold's task solves a 12 x 12 system, whatever the number of categories,
+and holds one row of sums per category.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ _PARTS = ("no_budget", "u", "uu", "no_runtime", "v", "vv", "t", "ms", "mc", "en"
 _SUMS = ("one", *_PARTS)
 _PAIRS = [(i, j) for i in range(len(_SUMS)) for j in range(i, len(_SUMS))]
 
-MAX_LEVELS = 2000  # a fold's system has 11 + 2 * (levels - 1) unknowns and is solved in one task
 COEFFICIENTS = ("intercept", "c_lb", "c_lb2", "c_rt", "c_rt2", "c_year", "c_ms", "c_mc", "c_en", "c_us", "c_bo", "c_ro", "c_lbx")
 FILLS = ("fill_lb", "fill_lb2", "fill_rt", "fill_rt2")
 
@@ -102,7 +103,7 @@ def fit_linear(train: DataFrame, folds: list[int], centre: Centre, alphas: dict[
 
 
 def _solver(centre: Centre, alphas: dict[str, float]):
-    sums, pairs, max_levels = _SUMS, _PAIRS, MAX_LEVELS
+    sums, pairs = _SUMS, _PAIRS
     names, fill_names = COEFFICIENTS, FILLS
     shift_b, shift_r = centre.log_budget, centre.runtime
 
@@ -112,8 +113,6 @@ def _solver(centre: Centre, alphas: dict[str, float]):
 
         pdf = pdf.sort_values("primary_genre").reset_index(drop=True)
         levels = len(pdf)
-        if levels > max_levels:
-            raise ValueError(f"{levels} category levels; the linear models take at most {max_levels}")
         at = {name: i for i, name in enumerate(sums)}
         width = len(sums)
         blocks = np.zeros((levels, width, width))
@@ -140,26 +139,38 @@ def _solver(centre: Centre, alphas: dict[str, float]):
         shape[base, 0] = 1.0  # category indicator
         shape[base + 1, at["u"]], shape[base + 1, 0], shape[base + 1, at["no_budget"]] = 1.0, shift_b, -shift_b
 
-        p = base + 2 * (levels - 1)
-        gram, mean, xy = np.zeros((p, p)), np.zeros(p), np.zeros(p)
+        whole = shape @ blocks @ shape.T  # products per category: shared regressors, then its own two
+        total = shape @ blocks[:, :, 0].T
+        of_y = shape @ blocks[:, :, at["y"]].T
         n = blocks[:, 0, 0].sum()
         y_mean = blocks[:, 0, at["y"]].sum() / n
-        for g in range(levels):
-            own = list(range(base)) + ([] if g == 0 else [base + 2 * (g - 1), base + 2 * (g - 1) + 1])
-            part = shape if g else shape[:base]
-            gram[np.ix_(own, own)] += part @ blocks[g] @ part.T
-            mean[own] += part @ blocks[g][:, 0]
-            xy[own] += part @ blocks[g][:, at["y"]]
-        mean /= n
-        raw = np.diag(gram).copy() / n
-        centred = gram - n * np.outer(mean, mean)
-        centred_y = xy - n * mean * y_mean
-        var = np.diag(centred) / n
-        constant = var <= 1e-12 * np.maximum(raw, 1e-300)
-        scale = np.where(constant, 1.0, np.sqrt(np.where(constant, 1.0, var)))
-        centred[constant, :] = centred[:, constant] = 0.0
-        centred_y[constant] = 0.0
-        unit, unit_y = centred / np.outer(scale, scale), centred_y / scale
+
+        def spread(square, plain):
+            """Scales of columns, 1 for constant ones, and which these are."""
+            raw = square / n
+            var = raw - (plain / n) ** 2
+            flat = var <= 1e-12 * np.maximum(raw, 1e-300)
+            return np.where(flat, 1.0, np.sqrt(np.where(flat, 1.0, var))), flat
+
+        mean = total[:base].sum(1) / n
+        gram = whole[:, :base, :base].sum(0) - n * np.outer(mean, mean)
+        scale, flat = spread(np.diag(gram) + n * mean**2, n * mean)
+        gram /= np.outer(scale, scale)
+        gram[flat, :] = gram[:, flat] = 0.0
+        shared_y = np.where(flat, 0.0, (of_y[:base].sum(1) - n * mean * y_mean) / scale)
+
+        # the first category is the base level and has no columns of its own
+        own_scale, own_flat = spread(whole[1:, [base, base + 1], [base, base + 1]].reshape(-1, 2), total[base:, 1:].T)
+        keep = np.where(own_flat, 0.0, 1.0 / own_scale)
+        own = whole[1:, base:, base:] * keep[:, :, None] * keep[:, None, :]
+        sum_own = total[base:, 1:].T * keep
+        own_y = of_y[base:, 1:].T * keep - sum_own * y_mean
+        meets = np.empty((levels - 1, 2, base + 1))  # the intercept, then the shared regressors, centred
+        meets[:, :, 0] = sum_own
+        meets[:, :, 1:] = (whole[1:, base:, :base] * keep[:, :, None] - sum_own[:, :, None] * mean) / scale
+        meets[:, :, 1:][:, :, flat] = 0.0
+        shared = np.zeros((base + 1, base + 1))
+        shared[0, 0], shared[1:, 1:] = n, gram
 
         out = pd.DataFrame(
             {
@@ -170,16 +181,24 @@ def _solver(centre: Centre, alphas: dict[str, float]):
             }
         )
         for model, alpha in alphas.items():
+            penalty = alpha * np.eye(base + 1)
+            penalty[0, 0] = 0.0
+            if alpha > 0:
+                inverse = np.linalg.inv(own + alpha * np.eye(2))
+            else:  # the shortest solution where a category's columns are dependent
+                inverse = np.linalg.pinv(own, rcond=1e-11, hermitian=True)
+            back = inverse @ meets
+            left = shared + penalty - np.einsum("gij,gik->jk", meets, back)
+            right = np.append(0.0, shared_y) - np.einsum("gij,gi->j", back, own_y)
             if alpha > 0:
-                beta = np.linalg.solve(unit + alpha * np.eye(p), unit_y)
-            else:  # the shortest solution where columns are dependent
-                beta = np.linalg.pinv(unit, rcond=1e-11, hermitian=True) @ unit_y
-            slope = beta / scale
-            start = y_mean - slope @ mean
-            rows = []
-            for g in range(levels):
-                own, cross = (slope[base + 2 * (g - 1)], slope[base + 2 * (g - 1) + 1]) if g else (0.0, 0.0)
-                rows.append(dict(zip(names, map(float, (start + own, *slope[:base], cross)))))
+                beta = np.linalg.solve(left, right)
+            else:
+                beta = np.linalg.pinv(left, rcond=1e-11, hermitian=True) @ right
+            gamma = np.einsum("gij,gj->gi", inverse, own_y) - back @ beta
+            slope = beta[1:] / scale
+            start = y_mean + beta[0] - slope @ mean
+            own_slope = np.vstack([np.zeros((1, 2)), gamma * keep])
+            rows = [dict(zip(names, map(float, (start + a, *slope, b)))) for a, b in own_slope]
             out[model] = rows
         return out
 

@@ -2,8 +2,11 @@
 
 Spark's exact ``percentile`` keeps a map of all distinct values of a group in one task. Here a bounded
 sketch first brackets each wanted rank, one more pass counts what lies below the bracket and the
-distinct values inside it (about 1/accuracy of the group), and a running count over these picks the
-order statistics. Both passes combine map-side; the answer is the exact linear-interpolated quantile.
+distinct values inside it (about 1/accuracy of the group). Both passes combine map-side. Where more than
+a few thousand distinct values lie inside, they are counted into 4,096 cells and only the cells of the
+rank go on, until few are left; a running count over these picks the order statistics. A bracket that
+missed its rank is opened on that side and counted again. The answer is the exact linear-interpolated
+quantile.
 
 The brackets are staged: their file size is then known when the second pass is planned, so the rows are
 not shuffled to meet them unless there are too many groups to broadcast.
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from catalens.staging import stage
 
-_MISSED = "quantile bracket missed its rank; raise the accuracy"
+CELLS = 4096  # cells of a refinement; so many distinct values of a slot at most are put in order by one task
 
 
 def exact_quantiles(
@@ -56,53 +59,125 @@ def exact_quantiles(
 
     pairs = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(f"_v{i}").alias("v")) for i, n in enumerate(names)])
     long = wide.select(*keys, F.inline(pairs)).filter(F.col("v").isNotNull())
-    right = brackets.select(*[F.col(k).alias(f"_{k}") for k in group], "n", "at", "low", "high")
-    same = F.lit(True)
-    for k in group:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    below, above = F.col("v") < F.col("low"), F.col("v") > F.col("high")
     slot = [*group, "at"]
-    counted = (
-        long.join(right, same)
-        .groupBy(*slot, F.when(~below & ~above, F.col("v")).alias("inside"))
-        .agg(
-            F.max("n").alias("n"),
-            F.count("*").alias("copies"),
-            F.count_if(below).alias("lesser"),
-            F.max(F.when(below, F.col("v"))).alias("previous"),
-            F.min(F.when(above, F.col("v"))).alias("following"),
+    share = F.array(*[F.lit(float(p)) for p in probabilities])[F.col("at")]
+    brackets = brackets.withColumn("rank", share * (F.col("n") - 1))
+    counted = stage(_counted(long, group, brackets))
+    slots = _slots(counted, slot)
+    widest, missed = slots.agg(F.max("values"), F.count_if("missed")).first()
+    if missed:
+        opened = slots.filter("missed").select(
+            *slot, "n", "rank", F.when(F.col("first") < F.col("lesser"), float("-inf")).otherwise(F.col("following")).alias("low"),
+            F.when(F.col("first") < F.col("lesser"), F.col("previous")).otherwise(float("inf")).alias("high"),
         )
-    )
+        rest = counted.join(opened.select(*[F.col(k).alias(f"_{k}") for k in slot]), _same(slot), "left_anti")
+        counted = stage(rest.unionByName(_counted(long, group, stage(opened))))
+        widest = _slots(counted, slot).agg(F.max("values")).first()[0]
+    while widest and widest > CELLS:
+        counted = stage(_refined(counted, slot))
+        widest = _slots(counted, slot).agg(F.max("values")).first()[0]
+
     # ranks are 0-based; the outside row sorts first and brings the count below the bracket
     running = Window.partitionBy(*slot).orderBy(F.col("inside").asc_nulls_first())
     step = F.when(F.col("inside").isNull(), F.col("lesser")).otherwise(F.col("copies"))
-    share = F.array(*[F.lit(float(p)) for p in probabilities])[F.col("at")]
     placed = (
         counted.withColumn("upto", F.sum(step).over(running.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("start", F.col("upto") - step)
-        .withColumn("rank", share * (F.col("n") - 1))
     )
 
     def statistic(r: Column) -> Column:
         hit = F.max(F.when(F.col("inside").isNotNull() & (r >= F.col("start")) & (r < F.col("upto")), F.col("inside")))
-        first = F.coalesce(F.max("lesser"), F.lit(0))
-        end = first + F.sum(F.when(F.col("inside").isNotNull(), F.col("copies")).otherwise(0))
-        return (
-            F.when(hit.isNotNull(), hit)
-            .when(F.max(r) == first - 1, F.max("previous"))
-            .when(F.max(r) == end, F.max("following"))
-            .otherwise(F.raise_error(F.lit(_MISSED)).cast("double"))
-        )
+        below = F.coalesce(F.max("lesser"), F.lit(0))
+        return F.when(hit.isNotNull(), hit).when(F.max(r) < below, F.max("previous")).otherwise(F.max("following"))
 
     rank = F.col("rank")
     out = placed.groupBy(*slot).agg(
         F.max("n").alias("n"), F.max(rank - F.floor(rank)).alias("part"),
         statistic(F.floor(rank)).alias("lower"), statistic(F.ceil(rank)).alias("upper"),
     )
-    value = F.col("lower") + F.col("part") * (F.col("upper") - F.col("lower"))
+    value = F.when(F.col("lower") == F.col("upper"), F.col("lower")).otherwise(F.col("lower") + F.col("part") * (F.col("upper") - F.col("lower")))
     return out.select(*group, share.alias("probability"), "n", "lower", "upper", value.alias("value"))
 
 
+def _same(names: Sequence[str]) -> Column:
+    """Null-safe equality of columns with their namesakes behind an underscore."""
+    out = F.lit(True)
+    for k in names:
+        out = out & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return out
+
+
+def _counted(long: DataFrame, group: Sequence[str], brackets: DataFrame) -> DataFrame:
+    """Per slot and distinct value inside its bracket the copies; a row without value for what is outside."""
+    right = brackets.select(*[F.col(k).alias(f"_{k}") for k in group], "n", "at", "rank", "low", "high")
+    below, above = F.col("v") < F.col("low"), F.col("v") > F.col("high")
+    return (
+        long.join(right, _same(group))
+        .groupBy(*group, "at", F.when(~below & ~above, F.col("v")).alias("inside"))
+        .agg(
+            F.max("n").alias("n"),
+            F.max("rank").alias("rank"),
+            F.count("*").alias("copies"),
+            F.count_if(below).alias("lesser"),
+            F.max(F.when(below, F.col("v"))).alias("previous"),
+            F.min(F.when(above, F.col("v"))).alias("following"),
+        )
+    )
+
+
+def _slots(counted: DataFrame, slot: Sequence[str]) -> DataFrame:
+    """Per slot: distinct values inside, and whether a wanted rank lies beyond them and their neighbours."""
+    out = counted.groupBy(*slot).agg(
+        F.max("n").alias("n"), F.max("rank").alias("rank"), F.count("inside").alias("values"),
+        F.coalesce(F.sum(F.when(F.col("inside").isNotNull(), F.col("copies"))), F.lit(0)).alias("held"),
+        F.coalesce(F.max("lesser"), F.lit(0)).alias("lesser"), F.max("previous").alias("previous"), F.max("following").alias("following"),
+    )
+    first, last = F.floor("rank"), F.ceil("rank")
+    missed = (first < F.col("lesser") - 1) | (last > F.col("lesser") + F.col("held"))
+    return out.select("*", first.alias("first"), last.alias("last"), missed.alias("missed"))
+
+
+def _refined(counted: DataFrame, slot: Sequence[str]) -> DataFrame:
+    """The same slots with only the values of the cells in which the wanted ranks lie.
+
+    Sums per cell combine map-side; the running count sees at most 4,097 cells of a slot. What falls out is
+    added to the counts and neighbours outside.
+    """
+    inside, outside = counted.filter("inside is not null"), counted.filter("inside is null")
+    slots = _slots(counted, slot).select(*[F.col(k).alias(f"_{k}") for k in slot], *[F.col(c).alias(f"s_{c}") for c in ("lesser", "first", "last")])
+    span = inside.groupBy(*[F.col(k).alias(f"_{k}") for k in slot]).agg(F.min("inside").alias("lo"), F.max("inside").alias("hi"))
+    lo, hi, v = F.col("lo"), F.col("hi"), F.col("inside")
+    finite = (lo > float("-inf")) & (hi < float("inf"))
+    even = F.floor(CELLS * ((v / 2 - lo / 2) / (hi / 2 - lo / 2)))
+    cell = F.when(v == lo, 0).when(v == hi, CELLS).when(finite & (hi > lo), F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), even))).otherwise(CELLS // 2)
+    dealt = inside.join(span, _same(slot)).drop(*[f"_{k}" for k in slot]).withColumn("cell", cell.cast("int")).drop("lo", "hi")
+    sums = dealt.groupBy(*slot, "cell").agg(F.sum("copies").alias("held"), F.min("inside").alias("least"), F.max("inside").alias("most"))
+    order = Window.partitionBy(*slot).orderBy("cell")
+    before = F.coalesce(F.sum("held").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.withColumn("before", before).join(slots, _same(slot)).drop(*[f"_{k}" for k in slot])
+    start = F.col("s_lesser") + F.col("before")
+    sums = sums.withColumn("wanted", (start <= F.col("s_last")) & (start + F.col("held") > F.col("s_first")))
+    chosen = stage(sums)
+    kept = dealt.join(chosen.filter("wanted").select(*[F.col(k).alias(f"_{k}") for k in [*slot, "cell"]]), _same([*slot, "cell"]), "left_semi").drop("cell")
+    edge = chosen.groupBy(*slot).agg(
+        F.min(F.when(F.col("wanted"), F.col("cell"))).alias("from"), F.max(F.when(F.col("wanted"), F.col("cell"))).alias("to"),
+    ).select(*[F.col(k).alias(f"_{k}") for k in slot], "from", "to")
+    met = chosen.join(edge, _same(slot)).drop(*[f"_{k}" for k in slot])
+    left, right = F.col("cell") < F.col("from"), F.col("cell") > F.col("to")
+    gone = met.groupBy(*slot).agg(
+        F.coalesce(F.sum(F.when(left, F.col("held"))), F.lit(0)).alias("lesser"), F.max(F.when(left, F.col("most"))).alias("previous"),
+        F.min(F.when(right, F.col("least"))).alias("following"),
+    )
+    both = outside.select(*slot, "lesser", "previous", "following").unionByName(gone).groupBy(*slot).agg(
+        F.sum("lesser").alias("lesser"), F.max("previous").alias("previous"), F.min("following").alias("following")
+    )
+    known = _slots(counted, slot).select(*[F.col(k).alias(f"_{k}") for k in slot], "n", "rank")
+    again = both.join(known, _same(slot)).select(
+        *slot, F.lit(None).cast("double").alias("inside"), "n", "rank", F.col("lesser").alias("copies"), "lesser", "previous", "following"
+    )
+    return kept.select(again.columns).unionByName(again)
+
+
 def exact_medians(df: DataFrame, keys: Sequence[str], measures: dict[str, Column | str], **options) -> DataFrame:
     """Wide form: one row per keys, the exact median of each measure under its name (null without values)."""
     keys = list(keys)

@@ -161,12 +161,12 @@ def evaluate_holdout(
     table = df if prepared else stage(prepare_modelling(df, cutoff, not unique_ids))
     profile = year_profile(table).collect()  # one row per calendar year
     if not any(r.year < validation_year for r in profile):
-        return Forecast(error="No training rows are available before the validation year.")
+        return Forecast(error="nothing to train on: no eligible row is older than the validation year")
     if not any(r.year == validation_year for r in profile):
-        return Forecast(error="No validation rows are available for the requested year.")
+        return Forecast(error="nothing to validate: the year has no eligible row")
     result = _evaluate(table, profile, [validation_year], models, alpha, min_train_rows, cutoff, digits, forest_options)
     if result.predictions.isEmpty():
-        return Forecast(error="No validation genres have matching training history before the validation year.")
+        return Forecast(error="no category of the validation year occurs in the years before")
     return result
 
 
@@ -188,9 +188,9 @@ def backtest(
     folds = sorted(r.validation_year for r in chosen.collect())  # at most one per calendar year
     profile = years.collect()
     if not any(r.budget_rows for r in profile):
-        return Forecast(error="No eligible rows are available for forecast backtesting.")
+        return Forecast(error="no eligible row has a budget, so no fold can be chosen")
     if not folds:
-        return Forecast(error="No years have enough training and validation rows for forecast backtesting.")
+        return Forecast(error="no year reaches the row limits of a fold")
     result = _evaluate(table, profile, folds, models, alpha, min_train_rows, cutoff, digits, forest_options)
     result.model_summary = scoring.model_comparison(result.overview, 4 if digits else None)
     return result

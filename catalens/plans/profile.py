@@ -147,7 +147,7 @@ def high_revenue_profile(
     rows = stage(eligible_rows(df if prepared else prepare_modelling(df, cutoff, not unique_ids)))
     spark, n = rows.sparkSession, rows.count()
     if n < min_rows:
-        return Profile(error=f"Need at least {min_rows} movies with genre and revenue data to build the ML revenue profile.")
+        return Profile(error=f"fewer than {min_rows} rows have a category and a revenue")
     held = max(round(n * holdout_fraction), min_holdout_rows)
     split = n - held >= min_train_rows and held < n
     if split:

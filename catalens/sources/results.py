@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalens.operators.quality import fingerprint
-from catalens.sources.tables import exists
+from catalens.sources.tables import delete, exists
 
 _PARTS = ("overview", "summary_by_genre", "predictions")
 
@@ -19,12 +19,16 @@ def run_key(df: DataFrame, parameters: dict[str, object]) -> dict[str, str]:
 
 
 def write_forecast(result, folder: str, validation_year: int, key: dict[str, str] | None = None) -> dict[str, str]:
-    """Write summary and predictions as Parquet and the one-row overview as JSON, one folder per year."""
+    """Write summary and predictions as Parquet and the one-row overview as JSON, one folder per year.
+
+    The overview, which holds the key, goes first when a folder is written anew and comes last: a run that
+    breaks off in between leaves no overview, so what it left is not taken for a saved result.
+    """
     root = f"{folder}/validation_year={validation_year}"
     overview = result.overview.withColumns({k: F.lit(v) for k, v in (key or {}).items()})
+    delete(overview.sparkSession, f"{root}/overview")
     result.summary_by_genre.write.mode("overwrite").parquet(f"{root}/summary_by_genre")
     result.predictions.write.mode("overwrite").parquet(f"{root}/predictions")
-    # the overview goes last: a run that broke off leaves none and is not taken for a saved result
     overview.write.mode("overwrite").json(f"{root}/overview")
     return {p: f"{root}/{p}" for p in _PARTS}
 
@@ -36,7 +40,7 @@ def read_forecast(spark: SparkSession, folder: str, validation_year: int):
     root = f"{folder}/validation_year={validation_year}"
     missing = [p for p in _PARTS if not exists(spark, f"{root}/{p}/_SUCCESS")]
     if missing:
-        return Forecast(error=f"Saved forecast outputs are missing: {', '.join(missing)}")
+        return Forecast(error=f"not saved or missing: {', '.join(missing)}")
     return Forecast(
         spark.read.json(f"{root}/overview"), spark.read.parquet(f"{root}/summary_by_genre"),
         spark.read.parquet(f"{root}/predictions"), years=[validation_year],

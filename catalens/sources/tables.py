@@ -17,27 +17,37 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a path on whatever file system it belongs to; nothing happens where there is none."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV with a header, without inferring types (reads the first line only)."""
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header as text columns. Quoted line breaks are allowed, so one file is one task: give
-    large sources as many files, or convert them to Parquet once."""
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header as text columns; a file whose header differs from the first one's ends in an error.
+
+    With ``multi_line`` a quoted cell may hold line breaks, and one file is one task. Without it Spark splits
+    large files, but such cells would be torn: say so for sources known to have none.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header(spark, path)])
-    options = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE"}
+    options = {"header": True, "multiLine": multi_line, "escape": '"', "mode": "PERMISSIVE", "enforceSchema": False}
     return spark.read.options(**options).schema(schema).csv(path)
 
 
-def read_raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The raw tables found in ``folder`` as ``<name>.csv`` or Parquet ``<name>.parquet``."""
+def read_raw_tables(spark: SparkSession, folder: str, multi_line: bool = True) -> dict[str, DataFrame]:
+    """The raw tables found in ``folder`` as Parquet ``<name>.parquet`` or ``<name>.csv``; those not there are left out."""
     tables = {}
     for name in RAW_TABLES:
         if exists(spark, f"{folder}/{name}.parquet"):
             tables[name] = spark.read.parquet(f"{folder}/{name}.parquet")
         elif exists(spark, f"{folder}/{name}.csv"):
-            tables[name] = read_csv(spark, f"{folder}/{name}.csv")
+            tables[name] = read_csv(spark, f"{folder}/{name}.csv", multi_line)
     return tables
 
 

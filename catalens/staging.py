@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only for a local master without one."""
+    """``spark.checkpoint.dir`` of the session; without one, a folder of the warehouse, which all executors share as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="catalens-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_catalens"
 
 
 _written: list[str] = []

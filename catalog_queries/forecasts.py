@@ -18,6 +18,7 @@ from catalog_queries.views import CUTOFF, order_catalog, rounded, with_catalog
 
 _COLUMNS = ("id", "title", "primary_genre", "budget", "revenue", "release_date", "runtime", "language", "country")
 # means of squared waves fall exactly between two roundings at times; the small constant moves them off
+FOLDS = [1996, 1997, 1998, 1999, 2000, 2001]  # every year of the order catalog with a year before it
 CENTRE = Centre(10.0, 100.0, 1995)  # fixed shift for the moment sums, so that both sides sum the same products
 
 
@@ -60,20 +61,20 @@ def fold_years(spark, sf):
 
 @query(
     "j10_j5_fold_rows",
-    with_catalog("""SELECT CAST(f AS INTEGER) AS validation_year, primary_genre, count(*) AS train_samples FROM m, (VALUES (1997), (1999), (2001)) t(f) WHERE year < f GROUP BY ALL""", MODEL_SQL),
+    with_catalog("""SELECT CAST(f AS INTEGER) AS validation_year, primary_genre, count(*) AS train_samples FROM m, (VALUES (1996), (1997), (1998), (1999), (2000), (2001)) t(f) WHERE year < f GROUP BY ALL""", MODEL_SQL),
 )
 def fold_rows(spark, sf):
     rows = stage(eligible_rows(model_table(spark, sf)).select("year", "primary_genre", "budget", "revenue"))
-    return ratio.fit_ratio(rows, [1997, 1999, 2001]).select("validation_year", "primary_genre", "train_samples")
+    return ratio.fit_ratio(rows, FOLDS).select("validation_year", "primary_genre", "train_samples")
 
 
 @query(
     "m3_fold_medians",
     with_catalog("""SELECT CAST(f AS INTEGER) AS validation_year, round(median(ln(1 + budget)), 6) AS fill_lb, round(median(ln(1 + budget) * ln(1 + budget)), 5) AS fill_lb2, median(runtime) AS fill_rt, median(runtime * runtime) AS fill_rt2
-    FROM m, (VALUES (1997), (1999), (2001)) t(f) WHERE year < f GROUP BY f""", MODEL_SQL),
+    FROM m, (VALUES (1996), (1997), (1998), (1999), (2000), (2001)) t(f) WHERE year < f GROUP BY f""", MODEL_SQL),
 )
 def fold_medians(spark, sf):
-    out = linear.fold_medians(stage(eligible_rows(model_table(spark, sf))), [1997, 1999, 2001])
+    out = linear.fold_medians(stage(eligible_rows(model_table(spark, sf))), FOLDS)
     return rounded(rounded(out, 6, "fill_lb"), 5, "fill_lb2")
 
 
@@ -104,7 +105,7 @@ def moment_blocks(spark, sf):
 @query("m4_ridge_and_least_squares")
 def ridge_and_least_squares(spark, sf):
     rows = stage(eligible_rows(model_table(spark, sf)))
-    fitted = linear.fit_linear(rows, [1997, 1999, 2001], CENTRE, {"ridge": 8.0, "ols": 0.0})
+    fitted = linear.fit_linear(rows, FOLDS, CENTRE, {"ridge": 8.0, "ols": 0.0})
     return fitted.select(
         "validation_year", "primary_genre", "train_samples", F.round("ridge.intercept", 6).alias("ridge_intercept"), F.round("ridge.c_lb", 6).alias("ridge_log_budget"),
         F.round("ols.intercept", 6).alias("ols_intercept"), F.round("ols.c_lb", 6).alias("ols_log_budget"),
@@ -113,7 +114,7 @@ def ridge_and_least_squares(spark, sf):
 
 # category ratio model and calibration in SQL, per fold
 RATIO_SQL = MODEL_SQL + """,
-f AS (SELECT * FROM (VALUES (1997), (1999), (2001)) t(fold)),
+f AS (SELECT * FROM (VALUES (1996), (1997), (1998), (1999), (2000), (2001)) t(fold)),
 tr AS (SELECT fold, m.*, CASE WHEN budget > 0 THEN revenue / budget END AS ratio FROM m, f WHERE year < fold),
 gg AS (SELECT fold, median(ratio) AS all_ratio, median(revenue) AS all_usual FROM tr GROUP BY fold),
 g AS (SELECT fold, primary_genre, coalesce(median(ratio), any_value(all_ratio), 1) AS ratio, coalesce(median(revenue), any_value(all_usual), 0) AS usual, count(*) AS train_samples
@@ -131,7 +132,7 @@ pr AS (SELECT m.year AS fold, m.primary_genre, m.id, m.release_date, m.revenue A
 err AS (SELECT fold, primary_genre, train_samples, count(*) AS n, avg(abs(p - a)) AS mae, sqrt(avg((p - a) * (p - a))) AS rmse, avg(abs(p - a) / a) * 100 AS mape, sum(abs(p - a)) / sum(a) * 100 AS wape,
     1 - sum((p - a) * (p - a)) / (var_pop(a) * count(*)) AS r2, sum(a) AS actual, sum(p) AS predicted, min(release_date) AS d0, max(release_date) AS d1 FROM pr GROUP BY GROUPING SETS ((fold, primary_genre, train_samples), (fold)))
 """
-_FOLDS = [1997, 1999, 2001]
+_FOLDS = FOLDS
 
 
 @query(
@@ -195,7 +196,7 @@ def holdout_summary(spark, sf):
 
 
 def _all_folds_sql() -> str:
-    return RATIO_SQL.replace("(VALUES (1997), (1999), (2001))", "(VALUES (1996), (1997), (1998), (1999), (2000), (2001))")
+    return RATIO_SQL.replace("(VALUES (1996), (1997), (1998), (1999), (2000), (2001))", "(VALUES (1996), (1997), (1998), (1999), (2000), (2001))")
 
 
 @query(
