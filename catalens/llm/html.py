@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.fitting import weights_of
+
 # Elements of HTML by their part in the tree.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span "
@@ -33,6 +35,7 @@ BOILERPLATE = frozenset(
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Za-z]+")
+_STEP = "step "  # no feature has a name with a space
 
 
 @dataclass(frozen=True)
@@ -303,15 +306,25 @@ def fit(pages: DataFrame, html: str = "html", row_id: str = "page_id", max_pages
     """
     total = pages.count()
     unit = F.pmod(F.xxhash64(row_id), F.lit(1 << 30)) / (1 << 30)
-    sample = pages.filter(unit < max_pages / max(total, 1)).select(row_id, html).orderBy(F.xxhash64(row_id), html).limit(2 * max_pages)
-    learned = []
-    for i, (_, page) in enumerate(sample.collect()):
-        found = blocks(page)
-        labels = marked_labels(found)
-        if labels and len(found) <= max_blocks:
-            for b, y in variants(found, labels, i):
-                learned.append(([path_features(x.path) + text_features(x, j, len(b)) for j, x in enumerate(b)], y))
-    return train(learned)
+    sample = pages.filter(unit < max_pages / max(total, 1)).select(F.col(html).cast("string"))
+
+    def learn(table: pa.Table) -> dict[str, float]:
+        learned = []
+        # in the order of the pages, so that the fit doesn't depend on the order of the rows
+        for i, page in enumerate(sorted(p for p in table.column(0).to_pylist() if p)):
+            found = blocks(page)
+            labels = marked_labels(found)
+            if labels and len(found) <= max_blocks:
+                for b, y in variants(found, labels, i):
+                    learned.append(([path_features(x.path) + text_features(x, j, len(b)) for j, x in enumerate(b)], y))
+        model = train(learned)
+        return {**model.weights, **{f"{_STEP}{i}{j}": model.step[i][j] for i in (0, 1) for j in (0, 1)}}
+
+    found = weights_of(sample, learn)
+    if not found:
+        return train([])
+    step = tuple(tuple(found.pop(f"{_STEP}{i}{j}") for j in (0, 1)) for i in (0, 1))
+    return Crf(found, step)
 
 
 def extract(pages: DataFrame, model: Crf, row_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -11,9 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.fitting import weights_of
+
 _WORD = re.compile(r"\w+")
 _PREFIXES = (4, 5, 6)
-_CACHE = 400_000  # words whose weight a worker remembers
+_CACHE = 200_000  # words whose weight a worker remembers
+_BIAS = ""  # no feature has this name
 
 
 def features(word: str) -> list[str]:
@@ -129,7 +132,7 @@ def held_out(row_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(row_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(df: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "toxic", max_positive: int = 3000, max_unlabelled: int = 9000) -> ToxicityModel:
+def fit(df: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "toxic", max_positive: int = 2000, max_unlabelled: int = 6000) -> ToxicityModel:
     """Learn from texts with label 1 and from unlabelled texts, held-out rows aside.
 
     ``max_positive`` and ``max_unlabelled`` bound the samples in expectation: rows whose hash lies below
@@ -148,13 +151,25 @@ def fit(df: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "t
     total = usable.select(row_id).count()
     positive = F.broadcast(df.sparkSession.createDataFrame([(i,) for i in ids], known.select(F.col(row_id).alias("_id")).schema))
     sampled = F.coalesce(F.pmod(F.xxhash64(F.lit(3), row_id), F.lit(1 << 30)) / (1 << 30) < max_unlabelled / max(total, 1), F.lit(False))
-    rows = (
+    sample = (
         usable.join(positive, F.col(row_id) == F.col("_id"), "left")
         .select("_text", F.col("_id").isNotNull().alias("positive"), sampled.alias("sampled"))
-        .filter("positive or sampled").limit(3 * (max_positive + max_unlabelled)).toArrow()
+        .filter("positive or sampled")
     )
-    texts, is_positive, is_sampled = (rows.column(i).to_pylist() for i in range(3))
-    return train([t for t, y in zip(texts, is_positive) if y], [t for t, s in zip(texts, is_sampled) if s], n_pos / n_known)
+    prior = n_pos / n_known
+
+    def learn(table: pa.Table) -> dict[str, float]:
+        texts, is_positive, is_sampled = (table.column(i).to_pylist() for i in range(3))
+        # in the order of the texts, so that the fit doesn't depend on the order of the rows
+        rows = sorted(zip((t or "" for t in texts), is_positive, is_sampled))
+        model = train([t for t, y, _ in rows if y], [t for t, _, u in rows if u], prior)
+        return {**model.weights, _BIAS: model.bias}
+
+    found = weights_of(sample, learn)
+    if not found:
+        return train([], [], prior)
+    bias = found.pop(_BIAS)
+    return ToxicityModel(found, bias)
 
 
 def score(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
