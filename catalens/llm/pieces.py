@@ -11,6 +11,7 @@ import base64
 import re
 import uuid
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,10 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"  # fixed value: how pieces write a space
 _OWN_SPACE = "\udc81"  # that letter in a text: no valid text holds it, no piece holds it, so it becomes bytes
-_CHUNK_CACHE = 500_000  # lattices a worker keeps
-_NODE_CACHE = 6_000_000
-_BLOCK_CHARS = 1_000_000  # characters segmented at a time
+_CHUNK_CACHE = 300_000  # lattices a worker keeps
+_NODE_CACHE = 3_500_000
+_BLOCK_CHARS = 500_000  # characters segmented at a time
+_LEARN_CHUNKS = 16_384  # new lattices built at a time
 
 
 @dataclass
@@ -112,7 +114,7 @@ class Segmenter:
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         if n <= len(a):
             return a
-        return np.concatenate([a, np.zeros(max(n - len(a), len(a)), dtype=a.dtype)])
+        return np.concatenate([a, np.zeros(max(n - len(a), len(a) // 3), dtype=a.dtype)])
 
     def _learn(self, chunks: list[str]) -> None:
         """Forward filtering of new chunks, all at once: a step per position in a chunk."""
@@ -121,8 +123,7 @@ class Segmenter:
         size = np.fromiter(map(len, chunks), dtype=np.int64, count=len(chunks))
         begin = np.cumsum(size + 1) - size - 1
         end = begin + size
-        found = list(self.automaton.iter(joined))
-        at, pid = (np.array(x, dtype=np.int64) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 2
+        at, pid = np.fromiter(chain.from_iterable(self.automaton.iter(joined)), dtype=np.int64).reshape(-1, 2).T
         start = at + 1 - self.length[pid]
         code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         owner = np.repeat(np.arange(len(chunks)), size + 1)  # of every position
@@ -195,8 +196,8 @@ class Segmenter:
         if not flat:
             return np.empty(0, np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
         new = sorted(set(flat).difference(self.known))
-        if new:
-            self._learn(new)
+        for lo in range(0, len(new), _LEARN_CHUNKS):
+            self._learn(new[lo : lo + _LEARN_CHUNKS])
         chunk = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
         with np.errstate(over="ignore"):
             place = np.arange(len(flat), dtype=np.int64) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -270,16 +271,18 @@ def load(path: str, alpha: float = 0.5) -> Pieces:
         return Pieces.load(f.read(), alpha)
 
 
-def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "text", alpha: float = 0.5, seed: int = 0) -> DataFrame:
+def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "text", alpha: float = 0.5, seed: int = 0, with_decoded: bool = False) -> DataFrame:
     """(row_id, ids array<int>): a sampled segmentation of each row, seeded by its id.
 
+    ``with_decoded`` adds ``decoded``, the text that the ids give, for a check of the round trip.
+
     Equal ids and texts give equal segmentations, wherever and whenever they run. A null text has null ids,
     an empty one none; a null id has a seed of its own. Rows that repeat repeat their result. Long texts
     are whole; their chunks are segmented one block of a million characters at a time.
     """
     spark = df.sparkSession
     model = spark.sparkContext.broadcast((load(model_path, alpha), uuid.uuid4().hex))  # a vocabulary, read on the driver
-    names = [row_id]
+    names = [row_id, "ids", "decoded"][: 3 if with_decoded else 2]
     kind = dict(df.dtypes)[row_id]
 
     def run(batches):
@@ -296,13 +299,22 @@ def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "
                 ids, ends = segment.encode(whole[lo:hi], seeds[lo:hi])
                 none = np.array([t is None for t in texts[lo:hi]] + [False])
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=none), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), made], names=[*names, "ids"])
+                made = [b.column(0).slice(lo, hi - lo), made]
+                if with_decoded:
+                    made.append(pa.array([_decoded(loaded, x) for x in made[1]], pa.string()))
+                yield pa.RecordBatch.from_arrays(made, names=names)
 
     chosen = df.select(row_id, F.xxhash64(F.lit(seed), F.col(row_id)).alias("_seed"), F.col(text).cast("string").alias("_text"))
-    return chosen.mapInArrow(run, f"`{row_id}` {kind}, ids array<int>")
+    return chosen.mapInArrow(run, f"`{row_id}` {kind}, ids array<int>" + ", decoded string" * with_decoded)
+
+
+def _decoded(pieces: Pieces, ids: pa.Scalar) -> str | None:
+    if not ids.is_valid:
+        return None
+    return decode(pieces, ids.values.to_numpy().tolist()) if len(ids) else ""
 
 
-def with_decoded(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def add_decoded(df: DataFrame, model_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids; null ids have null text."""
     from pyspark.sql.types import StringType, StructField, StructType
 
@@ -312,7 +324,7 @@ def with_decoded(df: DataFrame, model_path: str, ids: str = "ids", decoded: str
     def run(batches):
         pieces = model.value
         for b in batches:
-            made = [None if x is None else decode(pieces, x) if len(x) else "" for x in (r.values.to_numpy() if r.is_valid else None for r in b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], names=[*b.schema.names, decoded])
+            made = pa.array([_decoded(pieces, x) for x in b.column(at)], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, made], names=[*b.schema.names, decoded])
 
     return df.mapInArrow(run, StructType([*df.schema.fields, StructField(decoded, StringType())]))

@@ -59,9 +59,7 @@ def op4(spark, sf):
 def op9(spark, sf):
     import corpus_pipeline
 
-    docs = _table(spark, sf, "documents")
-    ids = pieces.encode(docs, corpus_pipeline.PIECE_MODEL)
-    decoded = pieces.with_decoded(ids, corpus_pipeline.PIECE_MODEL)
+    decoded = pieces.encode(_table(spark, sf, "documents"), corpus_pipeline.PIECE_MODEL, with_decoded=True)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -137,7 +137,9 @@ def test_pieces_round_trip_and_repeat(spark):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "a text without id"), (98, None), (3, ODD[3])]
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, ids int")
     coded = pieces.encode(df, MODEL)
-    got = pieces.with_decoded(coded, MODEL).collect()
+    got = pieces.add_decoded(coded, MODEL).collect()
+    checked = pieces.encode(df, MODEL, with_decoded=True).collect()
+    assert Counter((r.doc_id, r.decoded) for r in checked) == Counter(rows)
     assert Counter((r.doc_id, r.decoded) for r in got) == Counter(rows)
     again = pieces.encode(df.repartition(3), MODEL).collect()
     assert Counter((r.doc_id, tuple(r.ids or ())) for r in again) == Counter((r.doc_id, tuple(r.ids or ())) for r in got)
