@@ -7,6 +7,8 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from catalens.llm.tasks import map_batches
+
 
 def weights_of(sample: DataFrame, fit: Callable[[pa.Table], dict[str, float]]) -> dict[str, float]:
     """The named weights ``fit`` gives for the sample's rows; an empty sample gives none.
@@ -21,4 +23,5 @@ def weights_of(sample: DataFrame, fit: Callable[[pa.Table], dict[str, float]]) -
                 [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.float64())], names=["name", "weight"]
             )
 
-    return {r.name: r.weight for r in sample.repartition(1).mapInArrow(run, "name string, weight double").collect()}
+    found = map_batches(sample.repartition(1), run, "name string, weight double")
+    return {r.name: r.weight for r in found.collect()}

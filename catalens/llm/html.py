@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.fitting import weights_of
+from catalens.llm.tasks import map_batches
 
 # Elements of HTML by their part in the tree.
 INLINE = frozenset(
@@ -347,4 +348,4 @@ def extract(pages: DataFrame, model: Crf, row_id: str = "page_id", url: str = "u
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=[row_id, url, "text", "n_chars"])
 
     chosen = pages.select(row_id, url, F.col(html).cast("string"))
-    return chosen.mapInArrow(run, f"`{row_id}` {kinds[row_id]}, `{url}` {kinds[url]}, text string, n_chars long")
+    return map_batches(chosen, run, f"`{row_id}` {kinds[row_id]}, `{url}` {kinds[url]}, text string, n_chars long")

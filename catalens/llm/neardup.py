@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catalens.llm.components import connected_components
 from catalens.llm.simhash import close_pairs, distance_table, fingerprints, link_fingerprints, pivots, sampled_keys, shingle_hashes
+from catalens.llm.tasks import map_batches
 from catalens.llm.tiles import Forest, over_tiles, sides, tiled
 from catalens.staging import stage
 
@@ -88,7 +89,7 @@ def _shingle_sets(df: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*rest, made], names=[*[c for c in b.schema.names if c != "text"], "shingles"])
 
     kept = [(c, t) for c, t in df.dtypes if c != "text"]
-    return df.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kept) + ", shingles array<long>")
+    return map_batches(df, run, ", ".join(f"{c} {t}" for c, t in kept) + ", shingles array<long>")
 
 
 def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.99, seed: int = 11) -> tuple[DataFrame, DataFrame]:

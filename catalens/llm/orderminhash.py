@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.tasks import map_batches
+
 K, TUPLE, SKETCHES = 8, 2, 64
 _DIGITS = 8  # hexadecimal digits of a sketch; a sketch without k-mers is written as dashes
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -106,7 +108,7 @@ def fingerprints(df: DataFrame, row_id: str = "doc_id", text: str = "text", k: i
             made = [written(sketch(_codes(t.as_py() or ""), k, size, sketches)) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.string())], names=[row_id, "fingerprint"])
 
-    return df.select(row_id, F.col(text).cast("string").alias("_text")).mapInArrow(run, f"`{row_id}` {kind}, fingerprint string")
+    return map_batches(df.select(row_id, F.col(text).cast("string").alias("_text")), run, f"`{row_id}` {kind}, fingerprint string")
 
 
 def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "text", part_rows: int = 4096) -> DataFrame:
@@ -174,4 +176,4 @@ def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "
                 out = []
 
     ordered = dealt.repartition(len(known) or 1, "p").sortWithinPartitions("p", "tail", "f", "i", "h").select("p", "tail", "_id", "_text")
-    return ordered.mapInArrow(run, f"_id {kind}, {done}").withColumnRenamed("_id", row_id)
+    return map_batches(ordered, run, f"_id {kind}, {done}").withColumnRenamed("_id", row_id)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.tasks import map_batches
+
 SPACE = "▁"  # fixed value: how pieces write a space
 _OWN_SPACE = "\udc81"  # that letter in a text: no valid text holds it, no piece holds it, so it becomes bytes
 _CHUNK_CACHE = 300_000  # lattices a worker keeps
@@ -305,7 +307,7 @@ def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "
                 yield pa.RecordBatch.from_arrays(made, names=names)
 
     chosen = df.select(row_id, F.xxhash64(F.lit(seed), F.col(row_id)).alias("_seed"), F.col(text).cast("string").alias("_text"))
-    return chosen.mapInArrow(run, f"`{row_id}` {kind}, ids array<int>" + ", decoded string" * with_decoded)
+    return map_batches(chosen, run, f"`{row_id}` {kind}, ids array<int>" + ", decoded string" * with_decoded)
 
 
 def _decoded(pieces: Pieces, ids: pa.Scalar) -> str | None:
@@ -327,4 +329,4 @@ def add_decoded(df: DataFrame, model_path: str, ids: str = "ids", decoded: str =
             made = pa.array([_decoded(pieces, x) for x in b.column(at)], pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, made], names=[*b.schema.names, decoded])
 
-    return df.mapInArrow(run, StructType([*df.schema.fields, StructField(decoded, StringType())]))
+    return map_batches(df, run, StructType([*df.schema.fields, StructField(decoded, StringType())]))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.components import connected_components
+from catalens.llm.tasks import map_batches
 from catalens.llm.tiles import Forest, over_tiles, sides, tiled
 from catalens.staging import stage
 
@@ -65,8 +66,8 @@ def fingerprints(df: DataFrame, row_id: str, text: str = "text", words: int = 3,
             cols = [pa.array(np.ascontiguousarray(made[:, k]).view(np.int64)) for k in range(lanes)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[row_id, *[f"fp{k}" for k in range(lanes)]])
 
-    return df.select(row_id, F.col(text).cast("string").alias("_text")).mapInArrow(
-        run, f"`{row_id}` {kind}, " + ", ".join(f"fp{k} long" for k in range(lanes))
+    return map_batches(
+        df.select(row_id, F.col(text).cast("string").alias("_text")), run, f"`{row_id}` {kind}, " + ", ".join(f"fp{k} long" for k in range(lanes))
     )
 
 

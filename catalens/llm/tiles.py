@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.tasks import map_batches
+
 TILE = ("tile_i", "tile_j")
 
 
@@ -73,7 +75,7 @@ def over_tiles(tiles: DataFrame, keys: Sequence[str], work: Callable[[pa.Table,
             if made.num_rows:
                 yield made
 
-    return tiles.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+    return map_batches(tiles.repartition(*by).sortWithinPartitions(*by), run, schema)
 
 
 class Forest:

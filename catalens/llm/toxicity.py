@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.fitting import weights_of
+from catalens.llm.tasks import map_batches
 
 _WORD = re.compile(r"\w+")
 _PREFIXES = (4, 5, 6)
@@ -186,7 +187,7 @@ def score(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     schema = StructType([*df.schema.fields, StructField("score", DoubleType())])
-    return df.withColumn("_score_text", F.col(text).cast("string")).mapInArrow(run, schema)
+    return map_batches(df.withColumn("_score_text", F.col(text).cast("string")), run, schema)
 
 
 def predict(df: DataFrame, model: ToxicityModel, row_id: str = "doc_id", text: str = "text") -> DataFrame:
