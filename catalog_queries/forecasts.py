@@ -13,6 +13,7 @@ from catalens.plans import profile as profiles
 from catalens.plans.forecasting import backtest, evaluate_holdout
 from catalens.plans.reports import run_forecast, run_report, saved_backtest
 from catalens.staging import shared_folder, stage
+from catalog_queries import solved
 from catalog_queries.registry import query
 from catalog_queries.views import CUTOFF, order_catalog, rounded, with_catalog
 
@@ -102,7 +103,12 @@ def moment_blocks(spark, sf):
     return blocks.select("year", "primary_genre", *[(F.round(F.col(f"s{k}") / n + 0.0000123, 4) + 0).alias(f"s{k}") for k in range(len(linear._PAIRS))])
 
 
-@query("m4_ridge_and_least_squares")
+@query(
+    "m4_ridge_and_least_squares",
+    solved.recursive("""SELECT CAST(l.fold AS INTEGER) AS validation_year, l.primary_genre, train_samples, round(r.start + CASE WHEN k > 1 THEN r.b[10 + k] ELSE 0 END, 6) AS ridge_intercept, round(r.b[1], 6) AS ridge_log_budget,
+    round(o.start + CASE WHEN k > 1 THEN o.b[10 + k] ELSE 0 END, 6) AS ols_intercept, round(o.b[1], 6) AS ols_log_budget
+    FROM llev l JOIN lin_fit r ON r.fold = l.fold AND r.model = 'ridge' JOIN lin_fit o ON o.fold = l.fold AND o.model = 'ols'""", MODEL_SQL + "," + solved.LINEAR),
+)
 def ridge_and_least_squares(spark, sf):
     rows = stage(eligible_rows(model_table(spark, sf)))
     fitted = linear.fit_linear(rows, FOLDS, CENTRE, {"ridge": 8.0, "ols": 0.0})
@@ -195,14 +201,10 @@ def holdout_summary(spark, sf):
     return rounded(rounded(rounded(out, 0, "mae", "rmse"), 2, "mape_percent"), 4, "wape_percent", "r_squared", "revenue_bias_percent")
 
 
-def _all_folds_sql() -> str:
-    return RATIO_SQL.replace("(VALUES (1996), (1997), (1998), (1999), (2000), (2001))", "(VALUES (1996), (1997), (1998), (1999), (2000), (2001))")
-
-
 @query(
     "m12_g14_rolling_backtest",
     with_catalog("""SELECT CAST(fold AS INTEGER) AS validation_year, (SELECT count(*) FROM m WHERE year < fold) AS training_rows, n AS validation_rows, round(mae, 0) AS overall_mae, round(rmse, 0) AS overall_rmse,
-    round(mape, 2) AS overall_mape_percent, round(wape, 4) AS overall_wape_percent, round(r2, 4) AS overall_r_squared FROM err WHERE primary_genre IS NULL""", _all_folds_sql()),
+    round(mape, 2) AS overall_mape_percent, round(wape, 4) AS overall_wape_percent, round(r2, 4) AS overall_r_squared FROM err WHERE primary_genre IS NULL""", RATIO_SQL),
 )
 def rolling_backtest(spark, sf):
     out = backtest(stage(model_table(spark, sf)), ["genre_budget_ratio"], digits=False, prepared=True, cutoff=CUTOFF).overview
@@ -212,7 +214,7 @@ def rolling_backtest(spark, sf):
 
 @query(
     "m12_u2_yearly_category_summary",
-    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, primary_genre AS genre, n AS validation_samples, round(wape, 4) AS wape_percent FROM err WHERE primary_genre IS NOT NULL", _all_folds_sql()),
+    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, primary_genre AS genre, n AS validation_samples, round(wape, 4) AS wape_percent FROM err WHERE primary_genre IS NOT NULL", RATIO_SQL),
 )
 def yearly_category_summary(spark, sf):
     out = backtest(stage(model_table(spark, sf)), ["genre_budget_ratio"], digits=False, prepared=True, cutoff=CUTOFF).summary_by_genre
@@ -222,7 +224,7 @@ def yearly_category_summary(spark, sf):
 @query(
     "g15_g16_j8_o9_model_summary",
     with_catalog("""SELECT 'genre_budget_ratio' AS model_name, 'Genre Budget Ratio' AS model_label, count(*) AS years_evaluated, round(avg(wape), 4) AS average_wape_percent, round(avg(r2), 4) AS average_r_squared,
-    round(avg(mae), 0) AS average_mae, round(avg(rmse), 0) AS average_rmse, round(corr(actual, predicted), 6) AS yearly_revenue_correlation FROM err WHERE primary_genre IS NULL""", _all_folds_sql()),
+    round(avg(mae), 0) AS average_mae, round(avg(rmse), 0) AS average_rmse, round(corr(actual, predicted), 6) AS yearly_revenue_correlation FROM err WHERE primary_genre IS NULL""", RATIO_SQL),
 )
 def model_summary(spark, sf):
     out = backtest(stage(model_table(spark, sf)), ["genre_budget_ratio"], digits=False, prepared=True, cutoff=CUTOFF).best()
@@ -241,7 +243,7 @@ def holdout_chart(spark, sf):
 
 @query(
     "c6_accuracy_chart",
-    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, round(wape, 4) AS overall_wape_percent, round(r2, 4) AS overall_r_squared, n AS validation_rows FROM err WHERE primary_genre IS NULL", _all_folds_sql()),
+    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, round(wape, 4) AS overall_wape_percent, round(r2, 4) AS overall_r_squared, n AS validation_rows FROM err WHERE primary_genre IS NULL", RATIO_SQL),
 )
 def accuracy_chart(spark, sf):
     found = backtest(stage(model_table(spark, sf)), ["genre_budget_ratio"], digits=False, prepared=True, cutoff=CUTOFF)
@@ -250,27 +252,47 @@ def accuracy_chart(spark, sf):
 
 @query(
     "u4_actual_totals",
-    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, round(actual, 2) AS actual_total_revenue FROM err WHERE primary_genre IS NULL", _all_folds_sql()),
+    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, round(actual, 2) AS actual_total_revenue FROM err WHERE primary_genre IS NULL", RATIO_SQL),
 )
 def actual_totals(spark, sf):
     found = backtest(stage(model_table(spark, sf)), ["genre_budget_ratio"], digits=False, prepared=True, cutoff=CUTOFF)
     return rounded(charts.actual_by_year(found.overview), 2, "actual_total_revenue")
 
 
-# model comparison over several models, and results of iterative fits: no SQL counterpart ---------
+# model comparison over several models; a forest has no SQL counterpart --------------------------
 
 
-@query("m5_m13_three_model_backtest")
+@query(
+    "m5_m13_three_model_backtest",
+    solved.recursive("""SELECT model AS model_name, years AS years_evaluated, round(wape, 4) AS average_wape_percent, round(r2, 4) AS average_r_squared, round(mae, 0) AS average_mae, round(rmse, 0) AS average_rmse,
+    round(c, 6) AS yearly_revenue_correlation, row_number() OVER (ORDER BY c DESC, wape, r2 DESC, model) = 1 AS is_best FROM bsum""", MODEL_SQL + "," + solved.THREE_MODELS),
+)
 def three_model_backtest(spark, sf):
-    found = backtest(stage(model_table(spark, sf)), ["ridge", "ols", "genre_budget_ratio"], prepared=True, cutoff=CUTOFF)
-    return found.model_summary
+    found = backtest(stage(model_table(spark, sf)), ["ridge", "ols", "genre_budget_ratio"], digits=False, prepared=True, cutoff=CUTOFF)
+    best = found.best().select(F.col("model_name").alias("_best"))
+    out = stage(found.model_summary).join(best, F.col("model_name") == F.col("_best"), "left").withColumn("is_best", F.col("_best").isNotNull())
+    out = rounded(rounded(out, 4, "average_wape_percent", "average_r_squared"), 0, "average_mae", "average_rmse")
+    return rounded(out, 6, "yearly_revenue_correlation").select(
+        "model_name", "years_evaluated", "average_wape_percent", "average_r_squared", "average_mae", "average_rmse", "yearly_revenue_correlation", "is_best"
+    )
+
+
+@query(
+    "m5_linear_holdout_predictions",
+    solved.recursive("SELECT model AS model_name, id, primary_genre AS genre, round(p, 0) AS predicted_revenue FROM bpr WHERE fold = 2001 AND model IN ('ridge', 'ols')", MODEL_SQL + "," + solved.THREE_MODELS),
+)
+def linear_holdout_predictions(spark, sf):
+    rows = stage(model_table(spark, sf).withColumn("title", F.col("id").cast("string")))
+    parts = [evaluate_holdout(rows, 2001, model_name=m, digits=False, prepared=True, cutoff=CUTOFF).predictions.withColumn("model_name", F.lit(m)) for m in ("ridge", "ols")]
+    out = parts[0].unionByName(parts[1]).select("model_name", F.col("title").cast("bigint").alias("id"), "genre", "predicted_revenue")
+    return rounded(out, 0, "predicted_revenue")
 
 
 @query(
     "c7_c8_c10_s8_saved_backtest_charts",
     with_catalog("""SELECT CAST(fold AS INTEGER) AS validation_year, 'best: Genre Budget Ratio' AS series, round(predicted, -1) AS total FROM err WHERE primary_genre IS NULL
     UNION ALL SELECT CAST(fold AS INTEGER), 'Genre Budget Ratio', round(predicted, -1) FROM err WHERE primary_genre IS NULL
-    UNION ALL SELECT CAST(fold AS INTEGER), 'Actual Revenue', round(actual, -1) FROM err WHERE primary_genre IS NULL""", _all_folds_sql()),
+    UNION ALL SELECT CAST(fold AS INTEGER), 'Actual Revenue', round(actual, -1) FROM err WHERE primary_genre IS NULL""", RATIO_SQL),
 )
 def saved_backtest_charts(spark, sf):
     folder = f"{shared_folder(spark)}/catalens-export/{uuid.uuid4().hex}"
@@ -304,10 +326,16 @@ def saved_forecast(spark, sf):
     return again.summary_by_genre.select("genre", "model_type", "validation_samples", "wape_percent")
 
 
-@query("m15_m16_o7_revenue_profile")
+_SIDE_SQL = """(SELECT '{sign}' AS sign, feature, round(coefficient, 4) AS coefficient FROM pcoef WHERE {by} > 0.03 OR (SELECT count(*) FROM pcoef WHERE {by} > 0.03) = 0 ORDER BY {by} DESC, feature LIMIT 4)"""
+
+
+@query(
+    "m15_m16_o7_revenue_profile",
+    solved.recursive(_SIDE_SQL.format(sign="+", by="coefficient") + " UNION ALL " + _SIDE_SQL.format(sign="-", by="-coefficient"), MODEL_SQL + "," + solved.PROFILE),
+)
 def revenue_profile(spark, sf):
     found = profiles.high_revenue_profile(model_table(spark, sf), prepared=True)
-    sign = lambda df, s: df.select(F.lit(s).alias("sign"), "feature", "coefficient")
+    sign = lambda df, s: df.select(F.lit(s).alias("sign"), "feature", F.round("coefficient", 4).alias("coefficient"))
     return sign(found.top_positive_features, "+").unionByName(sign(found.top_negative_features, "-"))
 
 
@@ -321,7 +349,7 @@ def profile_split(spark, sf):
     return rounded(found.select("sample_rows", "training_rows", "evaluation_rows", "high_revenue_threshold"), 1, "high_revenue_threshold")
 
 
-@query("m16_profile_overview")
+@query("m16_profile_overview", solved.recursive(solved.PROFILE_OVERVIEW, MODEL_SQL + "," + solved.PROFILE))
 def profile_overview(spark, sf):
     return profiles.high_revenue_profile(model_table(spark, sf), prepared=True).overview
 
