@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from catalens.functions.features import base_features
 from catalens.operators.modelling import Centre
-from catalens.operators.quantiles import exact_quantiles
+from catalens.operators.quantiles import Cumulative, exact_quantiles
 
 # Regressors the sums run over. u and v are log budget and runtime, shifted, 0 where missing.
 _PARTS = ("no_budget", "u", "uu", "no_runtime", "v", "vv", "t", "ms", "mc", "en", "us", "bo", "ro", "y")
@@ -32,10 +32,8 @@ def fold_medians(train: DataFrame, folds: list[int]) -> DataFrame:
     log1p and squaring keep the order of positive values, so the middle two budgets and runtimes give
     the medians of their transforms as well.
     """
-    spread = train.select(_later_folds(folds), "budget", "runtime").select(
-        F.explode("later").alias("validation_year"), "budget", "runtime"
-    )
-    middle = exact_quantiles(spread, ["validation_year"], {"budget": "budget", "runtime": "runtime"})
+    grown = Cumulative("year", "validation_year", tuple(folds))
+    middle = exact_quantiles(train.select("year", "budget", "runtime"), [], {"budget": "budget", "runtime": "runtime"}, cumulative=grown)
 
     def middle_of(measure: str, transform):
         a = F.max(F.when(F.col("measure") == measure, transform(F.col("lower"))))

@@ -15,54 +15,61 @@ not shuffled to meet them unless there are too many groups to broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalens.staging import stage
 
+SAMPLE_ROWS = 1_000_000  # rows that brackets of growing groups are estimated from
 CELLS = 4096  # cells of a refinement; so many distinct values of a slot at most are put in order by one task
 
 
+@dataclass(frozen=True)
+class Cumulative:
+    """Groups that grow along a column: for each threshold the rows with ``column`` below it, named ``name``."""
+
+    column: str
+    name: str
+    thresholds: tuple[int, ...]
+
+    def later(self) -> Column:
+        return F.filter(F.array(*[F.lit(int(t)) for t in self.thresholds]), lambda t: t > F.col(self.column))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     measures: dict[str, Column | str],
     probabilities: Sequence[float] = (0.5,),
     accuracy: int = 10_000,
+    cumulative: Cumulative | None = None,
 ) -> DataFrame:
     """One row per (keys, measure, probability): n, lower and upper order statistic, value.
 
     Null and NaN values are left out; a group without values has no row. ``df`` is read twice, so an
-    expensive input should be staged first.
+    expensive input should be staged first. With ``cumulative`` there is a row per threshold as well; the
+    rows are counted once, and only the counts meet the thresholds.
     """
     keys, names = list(keys), list(measures)
     cells = [(F.col(c) if isinstance(c, str) else c).cast("double") for c in measures.values()]
-    wide = df.select(*keys, *[F.when(~F.isnan(c), c).alias(f"_v{i}") for i, c in enumerate(cells)])
-    group = [*keys, "measure"]
-
-    # one sketch per measure side by side, so the rows are not multiplied for the first pass
-    slack = 2.0 / accuracy
-    edges = [e for p in probabilities for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    sketches = []
-    for i in range(len(names)):
-        sketches += [F.count(f"_v{i}").alias(f"n{i}"), F.percentile_approx(f"_v{i}", edges, accuracy).alias(f"e{i}")]
-    entries = [
-        F.struct(
-            F.lit(name).alias("measure"), F.col(f"n{i}").alias("n"), F.lit(k).alias("at"),
-            F.col(f"e{i}")[2 * k].alias("low"), F.col(f"e{i}")[2 * k + 1].alias("high"),
-        )
-        for i, name in enumerate(names)
-        for k in range(len(probabilities))
-    ]
-    brackets = stage(wide.groupBy(*keys).agg(*sketches).select(*keys, F.inline(F.array(*entries))).filter("n > 0"))
-
+    carried = [*keys, *([cumulative.column] if cumulative else [])]
+    wide = df.select(*carried, *[F.when(~F.isnan(c), c).alias(f"_v{i}") for i, c in enumerate(cells)])
     pairs = F.array(*[F.struct(F.lit(n).alias("measure"), F.col(f"_v{i}").alias("v")) for i, n in enumerate(names)])
-    long = wide.select(*keys, F.inline(pairs)).filter(F.col("v").isNotNull())
-    slot = [*group, "at"]
     share = F.array(*[F.lit(float(p)) for p in probabilities])[F.col("at")]
-    brackets = brackets.withColumn("rank", share * (F.col("n") - 1))
-    counted = stage(_counted(long, group, brackets))
+    if cumulative:
+        wide = wide.filter(F.col(cumulative.column) < max(cumulative.thresholds))
+        group = [*keys, cumulative.name, "measure"]
+        long = wide.select(*keys, F.explode(cumulative.later()).alias(cumulative.name), *[f"_v{i}" for i in range(len(names))])
+        long = long.select(*group[:-1], F.inline(pairs)).filter("v is not null")
+        counted = stage(_counted_once(wide, keys, names, pairs, probabilities, accuracy, cumulative))
+    else:
+        group = [*keys, "measure"]
+        long = wide.select(*keys, F.inline(pairs)).filter("v is not null")
+        brackets = stage(_brackets(wide, keys, names, probabilities, accuracy))
+        counted = stage(_counted(long, group, brackets.withColumn("rank", share * (F.col("n") - 1))))
+    slot = [*group, "at"]
     slots = _slots(counted, slot)
     widest, missed = slots.agg(F.max("values"), F.count_if("missed")).first()
     if missed:
@@ -99,6 +106,70 @@ def exact_quantiles(
     return out.select(*group, share.alias("probability"), "n", "lower", "upper", value.alias("value"))
 
 
+def _brackets(wide: DataFrame, keys: Sequence[str], names: Sequence[str], probabilities: Sequence[float], accuracy: int) -> DataFrame:
+    """Per (keys, measure, at): number of values and a bracket around the wanted rank, from bounded sketches."""
+    # one sketch per measure side by side, so the rows are not multiplied
+    slack = 2.0 / accuracy
+    edges = [e for p in probabilities for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketches = []
+    for i in range(len(names)):
+        sketches += [F.count(f"_v{i}").alias(f"n{i}"), F.percentile_approx(f"_v{i}", edges, accuracy).alias(f"e{i}")]
+    entries = [
+        F.struct(
+            F.lit(name).alias("measure"), F.col(f"n{i}").alias("n"), F.lit(k).alias("at"),
+            F.col(f"e{i}")[2 * k].alias("low"), F.col(f"e{i}")[2 * k + 1].alias("high"),
+        )
+        for i, name in enumerate(names)
+        for k in range(len(probabilities))
+    ]
+    return wide.groupBy(*keys).agg(*sketches).select(*keys, F.inline(F.array(*entries))).filter("n > 0")
+
+
+def _counted_once(
+    wide: DataFrame, keys: Sequence[str], names: Sequence[str], pairs: Column, probabilities: Sequence[float], accuracy: int, along: Cumulative
+) -> DataFrame:
+    """Counts as ``_counted`` gives them, for groups that grow along a column, from one pass over the rows.
+
+    Brackets come from a sample that meets the thresholds (a bracket that misses is opened later). All
+    bracket edges of a key cut its values into cells; rows are counted per key, column value and cell,
+    and by value inside a bracket. These counts are small, and they meet the thresholds.
+    """
+    rate = min(1.0, SAMPLE_ROWS / max(wide.count(), 1))
+    sample = wide if rate == 1.0 else wide.sample(rate, seed=1)
+    met = sample.select(*keys, F.explode(along.later()).alias(along.name), *[f"_v{i}" for i in range(len(names))])
+    brackets = stage(_brackets(met, [*keys, along.name], names, probabilities, accuracy).drop("n"))
+    owner = [*keys, "measure"]
+    cuts = brackets.groupBy(*owner).agg(
+        F.array_sort(F.array_union(F.collect_set("low"), F.collect_set("high"))).alias("edges"), F.collect_set(F.struct("low", "high")).alias("spans")
+    ).select(*[F.col(k).alias(f"_{k}") for k in owner], "edges", "spans")
+    long = wide.select(*keys, along.column, F.inline(pairs)).filter("v is not null").join(stage(cuts), _same(owner), "left")
+    v = F.col("v")
+    inside = F.col("spans").isNull() | F.exists("spans", lambda x: (v >= x["low"]) & (v <= x["high"]))
+    cell = F.coalesce(F.size(F.filter("edges", lambda e: e < v)), F.lit(0))
+    cells = stage(
+        long.groupBy(*owner, along.column, cell.alias("cell"), F.when(inside, v).alias("at_value"))
+        .agg(F.count("*").alias("copies"), F.min("v").alias("least"), F.max("v").alias("most"))
+    )
+    group = [*keys, along.name, "measure"]
+    slots = cells.select("*", F.explode(along.later()).alias(along.name)).select(
+        "*", F.explode(F.array(*[F.lit(k) for k in range(len(probabilities))])).alias("at")
+    )
+    slot = [*group, "at"]
+    right = brackets.select(*[F.col(k).alias(f"_{k}") for k in slot], "low", "high")
+    slots = slots.join(right, _same(slot), "left").drop(*[f"_{k}" for k in slot])
+    # a group that the sample missed has no bracket: all its values lie below, and it is opened as one that missed
+    below, above = F.coalesce(F.col("most") < F.col("low"), F.lit(True)), F.coalesce(F.col("least") > F.col("high"), F.lit(False))
+    counted = slots.groupBy(*slot, F.when(~below & ~above, F.col("at_value")).alias("inside")).agg(
+        F.sum("copies").alias("copies"), F.coalesce(F.sum(F.when(below, F.col("copies"))), F.lit(0)).alias("lesser"),
+        F.max(F.when(below, F.col("most"))).alias("previous"), F.min(F.when(above, F.col("least"))).alias("following"),
+    )
+    sizes = counted.groupBy(*slot).agg(F.sum("copies").alias("n")).select(*[F.col(k).alias(f"_{k}") for k in slot], "n")
+    rank = F.array(*[F.lit(float(p)) for p in probabilities])[F.col("at")] * (F.col("n") - 1)
+    return counted.join(sizes, _same(slot)).drop(*[f"_{k}" for k in slot]).select(
+        *slot, "inside", "n", rank.alias("rank"), "copies", "lesser", "previous", "following"
+    )
+
+
 def _same(names: Sequence[str]) -> Column:
     """Null-safe equality of columns with their namesakes behind an underscore."""
     out = F.lit(True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalens.operators.quantiles import exact_quantiles
+from catalens.operators.quantiles import Cumulative, exact_quantiles
 from catalens.staging import stage
 
 
@@ -13,18 +13,15 @@ def fit_ratio(train: DataFrame, folds: list[int]) -> DataFrame:
     """One row per (validation_year, category): ratio and median target with fallbacks applied, and
     the number of training rows.
 
-    Rows count for every later fold. A category of a fold always has a median target; it lacks a ratio
+    Rows count for every later fold, which only the counts meet. A category of a fold always has a median target; it lacks a ratio
     only without any budget, and only folds with such a category need the overall ratio.
     """
-    years = F.array(*[F.lit(int(f)) for f in folds])
-    spread = train.filter(F.col("year") < max(folds)).select(
-        F.explode(F.filter(years, lambda f: f > F.col("year"))).alias("validation_year"),
-        "primary_genre",
-        F.when(F.col("budget") > 0, F.col("revenue") / F.col("budget")).alias("ratio"),
-        "revenue",
+    grown = Cumulative("year", "validation_year", tuple(folds))
+    rows = train.select(
+        "year", "primary_genre", F.when(F.col("budget") > 0, F.col("revenue") / F.col("budget")).alias("ratio"), "revenue"
     )
     keys = ["validation_year", "primary_genre"]
-    medians = exact_quantiles(spread, keys, {"ratio": "ratio", "revenue": "revenue"})
+    medians = exact_quantiles(rows, ["primary_genre"], {"ratio": "ratio", "revenue": "revenue"}, cumulative=grown)
     wide = stage(
         medians.groupBy(*keys).agg(
             F.max(F.when(F.col("measure") == "ratio", F.col("value"))).alias("ratio"),
@@ -35,7 +32,7 @@ def fit_ratio(train: DataFrame, folds: list[int]) -> DataFrame:
     ratio = F.col("ratio")
     lacking = wide.filter(ratio.isNull()).select("validation_year").distinct()
     if not lacking.isEmpty():
-        overall = exact_quantiles(spread.join(lacking, "validation_year", "left_semi"), ["validation_year"], {"ratio": "ratio"})
+        overall = exact_quantiles(rows, [], {"ratio": "ratio"}, cumulative=grown)
         wide = wide.join(overall.select("validation_year", F.col("value").alias("overall")), "validation_year", "left")
         ratio = F.coalesce(ratio, F.col("overall"))
     return wide.select(

@@ -58,6 +58,20 @@ def test_quantiles_of_many_values_inside_a_bracket(spark, monkeypatch, accuracy)
     assert len(got) == 25
 
 
+@pytest.mark.parametrize("sample", [40, 10**6])
+def test_quantiles_of_growing_groups(spark, monkeypatch, sample):
+    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", sample)
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame({"g": rng.choice(["a", "b", None], 600, p=[0.7, 0.25, 0.05]), "year": rng.integers(2000, 2006, 600), "x": np.round(rng.lognormal(2, 2, 600), 1)})
+    frame.loc[frame.index % 7 == 0, "x"] = np.nan
+    grown = quantiles.Cumulative("year", "until", (2001, 2003, 2006, 2009))
+    got = exact_quantiles(spark.createDataFrame(frame), ["g"], {"x": "x"}, (0.5, 0.9), accuracy=50, cumulative=grown).toPandas()
+    for r in got.itertuples():
+        own = frame[(frame.year < r.until) & (frame.g.isna() if pd.isna(r.g) else frame.g == r.g)].x.dropna()
+        assert r.n == len(own) and r.value == pytest.approx(own.quantile(r.probability)), r
+    assert len(got) == 3 * 4 * 2
+
+
 @pytest.mark.parametrize("edge", [-1e9, 40.5, 1e9])
 def test_a_bracket_that_missed_is_opened(spark, monkeypatch, edge):
     monkeypatch.setattr(quantiles.F, "percentile_approx", lambda c, edges, accuracy: F.array(*[F.lit(edge)] * len(edges)))
