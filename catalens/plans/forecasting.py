@@ -148,6 +148,22 @@ def _evaluate(
     )
 
 
+@dataclass
+class ModellingTable:
+    table: DataFrame
+    metadata: DataFrame
+
+
+def load_modelling_table(source: DataFrame, cutoff: str = DEFAULT_CUTOFF, unique_ids: bool = False) -> ModellingTable:
+    """The modelling table of a cleaned one, and one row about it: rows loaded, rows kept, end of coverage."""
+    table = prepare_modelling(source, cutoff, not unique_ids)
+    kept = table.agg(F.count("*")).scalar()
+    metadata = source.agg(F.count("*").alias("rows_loaded")).select(
+        "rows_loaded", kept.alias("rows_after_preparation"), F.lit(cutoff).alias("coverage_end_date")
+    )
+    return ModellingTable(table, metadata)
+
+
 def evaluate_holdout(
     df: DataFrame, validation_year: int = VALIDATION_YEAR, min_train_rows: int = MIN_TRAIN_ROWS, alpha: float = ALPHA,
     model_name: str = DEFAULT_MODEL, cutoff: str = DEFAULT_CUTOFF, digits: bool = True, forest_options: dict | None = None,

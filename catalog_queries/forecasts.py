@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalens.operators import calibration, charts, linear, ratio, scoring
 from catalens.operators.modelling import Centre, candidate_years, eligible_rows, prepare_modelling, year_profile
 from catalens.plans import profile as profiles
-from catalens.plans.forecasting import backtest, evaluate_holdout
+from catalens.plans.forecasting import backtest, evaluate_holdout, load_modelling_table
 from catalens.plans.reports import run_forecast, run_report, saved_backtest
 from catalens.staging import shared_folder, stage
 from catalog_queries import solved
@@ -43,11 +43,7 @@ def modelling_table(spark, sf):
 
 @query("m2_modelling_metadata", with_catalog("SELECT (SELECT count(*) FROM catalog) AS rows_loaded, count(*) AS rows_after_preparation, '2001-07-31' AS coverage_end_date FROM m", MODEL_SQL))
 def modelling_metadata(spark, sf):
-    loaded = order_catalog(spark, sf, *_COLUMNS)
-    kept = prepare_modelling(loaded, CUTOFF).agg(F.count("*")).scalar()
-    return loaded.agg(F.count("*").alias("rows_loaded")).select(
-        "rows_loaded", kept.alias("rows_after_preparation"), F.lit(CUTOFF).alias("coverage_end_date")
-    )
+    return load_modelling_table(order_catalog(spark, sf, *_COLUMNS), CUTOFF).metadata
 
 
 @query(
