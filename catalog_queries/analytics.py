@@ -88,7 +88,7 @@ def decade_leaders(spark, sf):
     return summaries.decade_leaders(summaries.decade_summary(rows, None))
 
 
-_YEARS_SQL = """y AS (SELECT year, count(title) AS n, avg(vote_average) AS r, CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS rev FROM catalog GROUP BY year),
+YEARS_SQL = """y AS (SELECT year, count(title) AS n, avg(vote_average) AS r, CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS rev FROM catalog GROUP BY year),
 w AS (SELECT *, avg(n) OVER o3 AS n3, avg(rev) OVER o3 AS rev3, (n - lag(n) OVER o) * 100.0 / lag(n) OVER o AS ny, (rev - lag(rev) OVER o) * 100 / lag(rev) OVER o AS revy
   FROM y WINDOW o AS (ORDER BY year), o3 AS (ORDER BY year ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"""
 
@@ -98,7 +98,7 @@ w AS (SELECT *, avg(n) OVER o3 AS n3, avg(rev) OVER o3 AS rev3, (n - lag(n) OVER
     with_catalog("""SELECT min(year) || '-' || max(year) AS period, CAST(sum(n) AS BIGINT) AS total_movies, round(avg(n), 4) AS average_movies_per_year,
     arg_min(year, -n * 10000 + year) AS peak_year, max(n) AS peak_count, CASE WHEN regr_slope(n, year) > 0 THEN 'increasing' WHEN regr_slope(n, year) < 0 THEN 'decreasing' ELSE 'stable' END AS trend_direction,
     round(regr_slope(n, year), 4) AS trend_slope, round(avg(ny), 4) AS average_growth_rate, round(avg(n) - regr_slope(n, year) * (avg(year) - min(year)), 4) AS regression_intercept
-    FROM w WHERE year BETWEEN 1995 AND 2000""", _YEARS_SQL),
+    FROM w WHERE year BETWEEN 1995 AND 2000""", YEARS_SQL),
 )
 def production_trend(spark, sf):
     rows = order_catalog(spark, sf, "title", "year", "vote_average")
@@ -113,7 +113,7 @@ def production_trend(spark, sf):
     CASE WHEN regr_slope(n, year) > 0 THEN 'increasing' WHEN regr_slope(n, year) < 0 THEN 'decreasing' ELSE 'stable' END AS movie_count_trend,
     CASE WHEN regr_slope(rev, year) > 0 THEN 'increasing' WHEN regr_slope(rev, year) < 0 THEN 'decreasing' ELSE 'stable' END AS revenue_trend,
     round(regr_slope(n, year), 4) AS movie_count_trend_slope, round(regr_slope(rev, year), 0) AS revenue_trend_slope, round(arg_max(n3, year), 4) AS latest_movie_count_ma3,
-    round(arg_max(rev3, year), 3) AS latest_revenue_ma3, arg_max(year, revy) AS strongest_revenue_growth_year FROM w""", _YEARS_SQL),
+    round(arg_max(rev3, year), 3) AS latest_revenue_ma3, arg_max(year, revy) AS strongest_revenue_growth_year FROM w""", YEARS_SQL),
 )
 def time_series_summary(spark, sf):
     out = trends.time_series_summary(order_catalog(spark, sf, "title", "year", "vote_average", "revenue"), digits=False)
@@ -124,7 +124,7 @@ def time_series_summary(spark, sf):
 @query(
     "w1_w2_yearly_series",
     with_catalog("""SELECT year, n AS movie_count, round(r, 4) AS avg_rating, round(rev, 3) AS total_revenue, round(n3, 4) AS movie_count_ma3, round(ny, 4) AS movie_count_yoy_percent,
-    round(rev3, 3) AS total_revenue_ma3, round(revy, 4) AS revenue_yoy_percent FROM w""", _YEARS_SQL),
+    round(rev3, 3) AS total_revenue_ma3, round(revy, 4) AS revenue_yoy_percent FROM w""", YEARS_SQL),
 )
 def yearly_series(spark, sf):
     out = trends.trend_columns(trends.yearly_series(order_catalog(spark, sf, "title", "year", "vote_average", "revenue")))
@@ -252,7 +252,7 @@ _FINE_SQL = """gx AS (SELECT country || ' ' || language || ' ' || primary_genre
     UNION ALL SELECT 2, 'best_rated_category', genre, round(r, 4), 'best rated category of comparable size: ' || genre FROM (SELECT * FROM gx, least_size ORDER BY movie_count < size, r DESC, genre LIMIT 1)
     UNION ALL SELECT 3, 'busiest_year', CAST(year AS VARCHAR), n, 'year with most rows: ' || year || ' (' || n || ')' FROM (SELECT * FROM y ORDER BY n DESC, year LIMIT 1)
     UNION ALL SELECT 4, 'best_rated_year', CAST(year AS VARCHAR), round(r, 4), 'best rated year of five rows or more: ' || year FROM (SELECT * FROM y WHERE n >= 5 ORDER BY r DESC, year LIMIT 1)
-    UNION ALL SELECT 5, 'budget_revenue_correlation', 'budget/revenue', round(corr(budget, revenue), 4), 'correlation of budget and revenue' FROM catalog WHERE budget > 0""", _FINE_SQL + _YEARS_SQL),
+    UNION ALL SELECT 5, 'budget_revenue_correlation', 'budget/revenue', round(corr(budget, revenue), 4), 'correlation of budget and revenue' FROM catalog WHERE budget > 0""", _FINE_SQL + YEARS_SQL),
 )
 def insights(spark, sf):
     rows = order_catalog(spark, sf, "title", "country", "language", "primary_genre", "year", "vote_average", "revenue", "budget")
@@ -441,7 +441,7 @@ def category_comparison(spark, sf):
     return rounded(charts.category_comparison(_tokens_summary(spark, sf), 6), 4, "avg_rating")
 
 
-@query("c3_yearly_trend", with_catalog("SELECT year, n AS movie_count, round(r, 4) AS avg_rating, (SELECT min(year) FROM y) AS first_year, (SELECT max(year) FROM y) AS last_year FROM y", _YEARS_SQL))
+@query("c3_yearly_trend", with_catalog("SELECT year, n AS movie_count, round(r, 4) AS avg_rating, (SELECT min(year) FROM y) AS first_year, (SELECT max(year) FROM y) AS last_year FROM y", YEARS_SQL))
 def yearly_trend(spark, sf):
     rows = order_catalog(spark, sf, "title", "year", "vote_average")
     return rounded(charts.yearly_trend(summaries.yearly_summary(rows, None, False)), 4, "avg_rating")

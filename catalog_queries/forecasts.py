@@ -14,6 +14,7 @@ from catalens.plans.forecasting import backtest, evaluate_holdout, load_modellin
 from catalens.plans.reports import run_forecast, run_report, saved_backtest
 from catalens.staging import shared_folder, stage
 from catalog_queries import solved
+from catalog_queries.analytics import YEARS_SQL
 from catalog_queries.registry import query
 from catalog_queries.views import CUTOFF, order_catalog, rounded, with_catalog
 
@@ -350,18 +351,52 @@ def profile_overview(spark, sf):
     return profiles.high_revenue_profile(model_table(spark, sf), prepared=True).overview
 
 
-@query("q5_q6_comprehensive_analysis")
+_PARTS = {  # of the comprehensive analysis: its figures
+    "production_trend": ("total_movies", "average_movies_per_year", "peak_year", "peak_count", "trend_slope", "average_growth_rate"),
+    "time_series": ("peak_movie_count_year", "peak_movie_count", "peak_revenue_year", "highest_rating_year", "highest_rating", "latest_movie_count_ma3", "strongest_revenue_growth_year"),
+    "correlation": ("sample_size", "correlation", "r_squared", "average_roi", "median_roi"),
+    "decades": ("most_productive_decade", "highest_rated_decade"),
+    "performance": ("movie_count", "avg_rating", "avg_runtime"),
+    "profile": ("sample_rows", "training_rows", "evaluation_rows", "high_revenue_threshold", "r_squared", "wape_percent", "predicted_high_rows"),
+}
+_PART_SQL_OF = {
+    "production_trend": """SELECT '' AS about, sum(n) AS total_movies, avg(n) AS average_movies_per_year, arg_min(year, -n * 10000 + year) AS peak_year, max(n) AS peak_count, regr_slope(n, year) AS trend_slope, avg(ny) AS average_growth_rate FROM w""",
+    "time_series": """SELECT '' AS about, arg_min(year, -n * 10000 + year) AS peak_movie_count_year, max(n) AS peak_movie_count, arg_max(year, rev) AS peak_revenue_year, arg_max(year, r) AS highest_rating_year, max(r) AS highest_rating,
+        arg_max(n3, year) AS latest_movie_count_ma3, arg_max(year, revy) AS strongest_revenue_growth_year FROM w""",
+    "correlation": """SELECT '' AS about, count(*) AS sample_size, corr(revenue, budget) AS correlation, regr_r2(revenue, budget) AS r_squared, avg((revenue - budget) / budget * 100) AS average_roi, median((revenue - budget) / budget * 100) AS median_roi FROM catalog WHERE budget > 0""",
+    "decades": """SELECT '' AS about, (SELECT decade FROM dd ORDER BY n DESC, decade LIMIT 1) AS most_productive_decade, (SELECT decade FROM dd ORDER BY r DESC, decade LIMIT 1) AS highest_rated_decade""",
+    "performance": "SELECT primary_genre AS about, count(title) AS movie_count, avg(vote_average) AS avg_rating, avg(runtime) AS avg_runtime FROM catalog GROUP BY primary_genre HAVING count(title) >= 5",
+    "profile": "SELECT '' AS about, * FROM (" + solved.PROFILE_OVERVIEW + ")",
+}
+_EVERY_ORDER = MODEL_SQL.replace("2001-07-31", "2017-07-31")
+
+
+@query(
+    "q5_q6_comprehensive_analysis",
+    solved.recursive(
+        " UNION ALL ".join(
+            f"SELECT '{part}' AS part, about, unnest([{', '.join(repr(c) for c in columns)}]) AS metric, round(unnest([{', '.join(f'{c}::DOUBLE' for c in columns)}]), 2) AS value FROM ({_PART_SQL_OF[part]})"
+            for part, columns in _PARTS.items()
+        ),
+        _EVERY_ORDER + "," + YEARS_SQL + ", dd AS (SELECT CAST(year // 10 * 10 AS INTEGER) AS decade, count(title) AS n, avg(vote_average) AS r FROM catalog GROUP BY decade)," + solved.PROFILE,
+    ),
+)
 def comprehensive(spark, sf):
     from catalens.plans.exploration import comprehensive_analysis
 
     rows = order_catalog(spark, sf, *_COLUMNS, "year", "vote_average")
     found = comprehensive_analysis(rows, unique_ids=True)
-    text = lambda name, df: df.select(F.lit(name).alias("part"), F.to_json(F.struct("*")).alias("content"))
     parts = {
         "production_trend": found.production_trend, "time_series": found.time_series_summary, "correlation": found.budget_revenue_correlation,
         "decades": found.decade_leaders, "performance": found.genre_performance, "profile": found.high_revenue_profile.overview,
     }
-    return reduce(lambda a, b: a.unionByName(b), [text(n, d) for n, d in parts.items()])
+
+    def long(part, df):
+        about = F.col("primary_genre") if part == "performance" else F.lit("")
+        figures = [F.struct(F.lit(c).alias("metric"), F.round(F.col(c).cast("double"), 2).alias("value")) for c in _PARTS[part]]
+        return df.select(F.lit(part).alias("part"), about.alias("about"), F.inline(F.array(*figures)))
+
+    return reduce(lambda a, b: a.unionByName(b), [long(n, d) for n, d in parts.items()])
 
 
 @query("q3_q7_c9_batch_report")
