@@ -7,6 +7,7 @@ leaves one candidate per key and task, so a key holding a third of all rows move
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -126,7 +127,7 @@ def disambiguate_titles(keyed: DataFrame) -> DataFrame:
     all rows ask for their current candidate, each candidate goes to its best-ranked asker, and
     refused rows move on to their next one. A candidate only ever passes to a better-ranked row, so
     when nobody is refused any more the holders are those of the sequential rule. A round is a
-    grouped minimum joined back, however large a group is.
+    grouped minimum joined back, however large a group is; only groups with a refusal enter the next one.
     """
     df = keyed
     ranked = ranking(df.drop("_title_key", "_original_key", "_language_key"))
@@ -143,6 +144,7 @@ def disambiguate_titles(keyed: DataFrame) -> DataFrame:
     )
     if state.isEmpty():
         return df
+    group, settled = ["_title_key", "year"], []
     while True:
         listed = F.try_element_at("_options", F.col("_at") + 1)
         wish = F.coalesce(listed, F.concat("_base", F.lit(" #"), F.col("_extra").cast("string")))
@@ -151,10 +153,14 @@ def disambiguate_titles(keyed: DataFrame) -> DataFrame:
         holders = asked.groupBy(*slot).agg(F.min("_rank").alias("_holder"))
         judged = asked.join(holders, slot).withColumn("_refused", F.col("_rank") != F.col("_holder"))
         judged = stage(judged.drop("_holder"))  # one table per round; the next round starts from it
-        if judged.filter("_refused").isEmpty():
+        unsettled = stage(judged.filter("_refused").select(*group).distinct())
+        if unsettled.isEmpty():
+            settled.append(judged)
             break
-        state = _advance(judged)
-    names = judged.select("_title_key", "year", "_original_key", "_language_key", F.col("_wish").alias("_new_title"))
+        settled.append(judged.join(unsettled, group, "left_anti"))
+        state = _advance(judged.join(unsettled, group, "left_semi"))
+    named = reduce(DataFrame.unionByName, [part.select(*group, "_original_key", "_language_key", "_wish") for part in settled])
+    names = named.withColumnRenamed("_wish", "_new_title")
     return (
         df.join(names, ["_title_key", "year", "_original_key", "_language_key"], "left")
         .withColumn("title", F.coalesce("_new_title", "title"))

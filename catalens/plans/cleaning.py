@@ -6,7 +6,9 @@ gaps are filled after it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +33,19 @@ COALESCED = {
 
 @dataclass
 class Cleaned:
-    """The cleaned table, its (metric, value) table and, from ``prepare_catalog``, the quality report."""
+    """The cleaned table, its (metric, value) table and, from ``prepare_catalog``, the quality report.
 
-    table: DataFrame
+    The table is made when it is first asked for: the metrics need neither new titles nor numbers.
+    """
+
+    make_table: Callable[[], DataFrame]
     metrics: DataFrame
     report: DataFrame | None = None
 
+    @cached_property
+    def table(self) -> DataFrame:
+        return self.make_table()
+
 
 def coalesce_sources(df: DataFrame) -> DataFrame:
     added = {}
@@ -120,15 +129,17 @@ def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source:
     by_id = dedup.deduplicate_ids(measured) if "id" in measured.columns else measured
     signed = stage(dedup.deduplicate_signatures(by_id, unicode))
     ids = dated.select("id").distinct() if "id" in dated.columns else dated.select(F.lit(1))
-    named = dedup.disambiguate_titles(signed).drop("_title_key", "_original_key", "_language_key")
-    filled = fill_texts(named)
-    if keep_source and "source_id" in filled.columns:
-        filled = filled.withColumn("source_id", F.coalesce(F.col("source_id"), F.col("id"))) if "id" in filled.columns else filled
-    else:
-        filled = filled.withColumn("source_id", F.col("id") if "id" in filled.columns else F.lit(None).cast("bigint"))
-    output = filled.select(*[c for c in CLEANED_COLUMNS if c in filled.columns])
-    order = [F.col("release_date"), F.col("title"), F.col("source_id"), dedup.row_hash(output)]
-    table = reindex_ids(output, order)
+
+    def numbered() -> DataFrame:
+        named = dedup.disambiguate_titles(signed).drop("_title_key", "_original_key", "_language_key")
+        filled = fill_texts(named)
+        if keep_source and "source_id" in filled.columns:
+            filled = filled.withColumn("source_id", F.coalesce(F.col("source_id"), F.col("id"))) if "id" in filled.columns else filled
+        else:
+            filled = filled.withColumn("source_id", F.col("id") if "id" in filled.columns else F.lit(None).cast("bigint"))
+        output = filled.select(*[c for c in CLEANED_COLUMNS if c in filled.columns])
+        order = [F.col("release_date"), F.col("title"), F.col("source_id"), dedup.row_hash(output)]
+        return reindex_ids(output, order)
 
     first = loaded.withColumn("id_rows", ids.agg(F.count("*")).scalar()).withColumn(
         "final", signed.agg(F.struct(F.count("*").alias("rows"), _text_gaps(signed).alias("gaps"))).scalar()
@@ -150,7 +161,7 @@ def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source:
             "rows_removed_invalid_release_date", "rows_removed_after_dataset_cutoff",
         ],
     )
-    return Cleaned(table, metrics)
+    return Cleaned(numbered, metrics)
 
 
 def clean_catalog(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, unicode: bool = True) -> Cleaned:
