@@ -68,7 +68,25 @@ def op1(spark, sf):
     return licenses.scan(_table(spark, sf, "documents"))
 
 
-@query("op2_near_vectors")
+OP2_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0)
+  WHERE list_dot_product(v, v) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+), reached AS (
+  SELECT DISTINCT a, a AS b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), parts AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a
+), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN parts p ON p.a = vec_id LEFT JOIN counts c ON c.a = vec_id
+"""
+
+
+@query("op2_near_vectors", OP2_SQL)
 def op2(spark, sf):
     return embeddings.near_vectors(_table(spark, sf, "embeddings"))
 
