@@ -77,8 +77,8 @@ def nn_pu_risk(z_pos: np.ndarray, z_unl: np.ndarray, prior: float) -> tuple[floa
     return prior * loss(z_pos).mean(), -g_pos_neg, -g_unl
 
 
-def train(positive: list[str], unlabelled: list[str], prior: float, min_texts: int = 5, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> ToxicityModel:
-    """Fit on texts. Features found in fewer than ``min_texts`` positives carry no evidence and are left out.
+def train(positive: list[str], unlabelled: list[str], prior: float, min_texts: int = 5, min_share: float = 0.005, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> ToxicityModel:
+    """Fit on texts. Features found in fewer positives than ``min_texts`` and ``min_share`` of them say little and are left out.
 
     Without positives or unlabelled texts the score is the prior for every text.
     """
@@ -87,7 +87,8 @@ def train(positive: list[str], unlabelled: list[str], prior: float, min_texts: i
     if not positive or not unlabelled:
         return ToxicityModel({}, base)
     seen = Counter(f for t in positive for f in {f for w in words_of(t) for f in features(w)})
-    names = sorted(f for f, n in seen.items() if n >= min(min_texts, max(1, len(positive) // 2)))
+    least = max(min(min_texts, len(positive) // 2), min_share * len(positive), 1)
+    names = sorted(f for f, n in seen.items() if n >= least)
     column = {f: i for i, f in enumerate(names)}
 
     def sparse(texts):
@@ -133,7 +134,7 @@ def held_out(row_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(row_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(df: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "toxic", max_positive: int = 2000, max_unlabelled: int = 6000) -> ToxicityModel:
+def fit(df: DataFrame, labels: DataFrame, row_id: str = "doc_id", text: str = "text", label: str = "toxic", max_positive: int = 3000, max_unlabelled: int = 8000) -> ToxicityModel:
     """Learn from texts with label 1 and from unlabelled texts, held-out rows aside.
 
     ``max_positive`` and ``max_unlabelled`` bound the samples in expectation: rows whose hash lies below
