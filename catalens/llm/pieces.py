@@ -22,8 +22,8 @@ from catalens.llm.tasks import map_batches
 
 SPACE = "▁"  # fixed value: how pieces write a space
 _OWN_SPACE = "\udc81"  # that letter in a text: no valid text holds it, no piece holds it, so it becomes bytes
-_CHUNK_CACHE = 300_000  # lattices a worker keeps
-_NODE_CACHE = 3_500_000
+_CHUNK_CACHE = 550_000  # lattices a worker keeps
+_NODE_CACHE = 6_000_000
 _BLOCK_CHARS = 500_000  # characters segmented at a time
 _LEARN_CHUNKS = 16_384  # new lattices built at a time
 
