@@ -100,7 +100,7 @@ def _digit(level: int):
     return F.shiftrightunsigned("_hash", 64 - _LEVEL_BITS * (level + 1)).bitwiseAND((1 << _LEVEL_BITS) - 1)
 
 
-def _cut_hashes(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+def _cut_hashes(rows: DataFrame, cuts: DataFrame, few: bool) -> DataFrame:
     """(pattern, level, source, part, cell): the hash prefix up to which a pattern's rows hold ``tokens``.
 
     ``rows`` (_pattern, _hash, _size) are never sorted or gathered: each level of refinement sums sizes
@@ -111,9 +111,10 @@ def _cut_hashes(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     keys = ["_pattern", "_cut"]
     for level in range(_LEVELS):
         prefix = F.shiftrightunsigned("_hash", 64 - _LEVEL_BITS * level) if level else F.lit(0).cast("long")
+        wanted = now.select("_pattern", "_prefix").distinct()
         at = rows.withColumn("_prefix", prefix).withColumn("_digit", _digit(level))
         cells = at.groupBy("_pattern", "_prefix", "_digit").agg(F.sum("_size").alias("_cell_size")) if not level else (
-            at.join(F.broadcast(now.select("_pattern", "_prefix").distinct()), ["_pattern", "_prefix"], "left_semi")
+            at.join(F.broadcast(wanted) if few else wanted, ["_pattern", "_prefix"], "left_semi")
             .groupBy("_pattern", "_prefix", "_digit").agg(F.sum("_size").alias("_cell_size"))
         )
         met = now.select(*keys, "_prefix", "_left").join(cells, ["_pattern", "_prefix"])
@@ -178,7 +179,7 @@ def mix(df: DataFrame, sources: str, size: str, weights: Sequence[float] = (1, 2
     plan = [(number[p], full.get(p, 0), [sizes[s] for s in p], [float(wanted[s]) for s in p]) for p in capacity]
     plan = spark.createDataFrame(plan, "_pattern long, _full int, source_size array<long>, target array<double>")
     if cuts:
-        below = _cut_hashes(rows.select("_pattern", "_hash", "_size"), spark.createDataFrame(cuts, schema))
+        below = _cut_hashes(rows.select("_pattern", "_hash", "_size"), spark.createDataFrame(cuts, schema), few=len(cuts) <= _BROADCAST_PATTERNS)
         plan = plan.join(below.groupBy("_pattern").agg(F.collect_list("_below").alias("_cuts")), "_pattern", "left")
     else:
         plan = plan.withColumn("_cuts", F.lit(None).cast("array<long>"))

@@ -119,7 +119,7 @@ def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "
     as unique; rows that repeat an id are put in the order of their text's hash, null ids come first. An
     empty table gives an empty result.
 
-    Each part of the id order is one sorted group of about ``part_rows`` rows that a task reads as a stream;
+    Each part of the id order is one sorted group of ``part_rows`` rows or more that a task reads as a stream;
     the first row of a part is copied to the end of the part before it, so a text is shuffled once.
     """
     from pyspark.sql import Window
@@ -127,12 +127,17 @@ def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "
     own = df.select(F.col(row_id).alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
     rows = own.count()
     ids = own.select("_id").filter("_id is not null")
-    parts = max(1, -(-rows // part_rows))
+    # a part is read as a stream, so its size is free: no more parts than the cluster's partitions can use
+    parts = max(1, min(-(-rows // part_rows), 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     cuts = sorted(set(ids.stat.approxQuantile("_id", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
     cuts = [int(c) for c in cuts]
     part = F.lit(0)
-    if cuts:  # one number per part; found by halving
-        part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("_id"))), F.lit(0))
+    if cuts:  # how many cuts lie below the id: first among every 64th, then among the next 64
+        def below(some) -> F.Column:
+            return F.size(F.filter(some, lambda c: c < F.col("_id")))
+
+        coarse = 64 * below(F.array(*map(F.lit, cuts[63::64]))) if len(cuts) >= 64 else F.lit(0)
+        part = F.coalesce(coarse + below(F.slice(F.array(*map(F.lit, cuts)), coarse + 1, F.lit(64))), F.lit(0))
     order = F.struct(F.col("_id").isNotNull().alias("f"), F.col("_id").alias("i"), F.xxhash64("_text").alias("h"))
     placed = own.withColumn("_part", part).withColumn("_order", order)
     # the least row of each part, one row per part
@@ -143,7 +148,7 @@ def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "
     to = df.sparkSession.createDataFrame(
         [(p, i, h, b) for p, (i, h, b) in known.items()], f"_part int, _first_id {dict(own.dtypes)['_id']}, _first_hash long, _to int"
     )
-    # one row per part: as many as the table has blocks of part_rows rows
+    # one row per part, a bounded number
     met = placed.join(F.broadcast(to), "_part")
     is_first = F.col("_id").eqNullSafe(F.col("_first_id")) & (F.col("_order.h") == F.col("_first_hash"))
     both = F.when(is_first, F.array(F.struct(F.col("_part").alias("p"), F.lit(False).alias("tail")), F.struct(F.col("_to").alias("p"), F.lit(True).alias("tail"))))

@@ -111,7 +111,7 @@ def test_edited_texts(spark):
     rows = [(i * 3, "".join(rng.choice("abcde é😀") for _ in range(rng.randrange(0, 60)))) for i in range(50)]
     rows += [(500, None), (501, ""), (502, "z")]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n_chars int").repartition(5)
-    for part_rows in (7, 4096):
+    for part_rows in (1, 7, 4096):
         got = {r.doc_id: r for r in orderminhash.fingerprints_with_edits(df, part_rows=part_rows).collect()}
         assert len(got) == len(rows)
         prints = {r.doc_id: r.fingerprint for r in orderminhash.fingerprints(df).collect()}
@@ -124,6 +124,15 @@ def test_edited_texts(spark):
             if edited == own:
                 assert r.near_edited == 1 and r.fingerprint == r.edited_fingerprint
     assert orderminhash.fingerprints_with_edits(df.limit(0)).count() == 0
+    many = spark.createDataFrame([(i, f"text number {i} of many") for i in range(300)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:  # more than 64 parts
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        got = orderminhash.fingerprints_with_edits(many, part_rows=2).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = {hashlib.sha256((f"text number {i} of many"[: len(t) - len(t) // 2] + f"text number {(i + 1) % 300} of many"[: len(t) // 2]).encode()).hexdigest() for i in range(300) for t in [f"text number {i} of many"]}
+    assert len(got) == 300 and {r.edited_sha256 for r in got} == want
     again = spark.createDataFrame([(1, "same"), (1, "same"), (None, "x"), (None, "x"), (2, "same")], "doc_id long, text string")
     assert orderminhash.fingerprints_with_edits(again).count() == 5
 
