@@ -102,16 +102,16 @@ def moment_blocks(spark, sf):
 
 @query(
     "m4_ridge_and_least_squares",
-    solved.recursive("""SELECT CAST(l.fold AS INTEGER) AS validation_year, l.primary_genre, train_samples, round(r.start + CASE WHEN k > 1 THEN r.b[10 + k] ELSE 0 END, 6) AS ridge_intercept, round(r.b[1], 6) AS ridge_log_budget,
-    round(o.start + CASE WHEN k > 1 THEN o.b[10 + k] ELSE 0 END, 6) AS ols_intercept, round(o.b[1], 6) AS ols_log_budget
+    solved.recursive("""SELECT CAST(l.fold AS INTEGER) AS validation_year, l.primary_genre, train_samples, round(r.start + CASE WHEN k > 1 THEN r.b[10 + k] ELSE 0 END, 4) AS ridge_intercept, round(r.b[1], 4) AS ridge_log_budget,
+    round(o.start + CASE WHEN k > 1 THEN o.b[10 + k] ELSE 0 END, 4) AS ols_intercept, round(o.b[1], 4) AS ols_log_budget
     FROM llev l JOIN lin_fit r ON r.fold = l.fold AND r.model = 'ridge' JOIN lin_fit o ON o.fold = l.fold AND o.model = 'ols'""", MODEL_SQL + "," + solved.LINEAR),
 )
 def ridge_and_least_squares(spark, sf):
     rows = stage(eligible_rows(model_table(spark, sf)))
     fitted = linear.fit_linear(rows, FOLDS, CENTRE, {"ridge": 8.0, "ols": 0.0})
     return fitted.select(
-        "validation_year", "primary_genre", "train_samples", F.round("ridge.intercept", 6).alias("ridge_intercept"), F.round("ridge.c_lb", 6).alias("ridge_log_budget"),
-        F.round("ols.intercept", 6).alias("ols_intercept"), F.round("ols.c_lb", 6).alias("ols_log_budget"),
+        "validation_year", "primary_genre", "train_samples", F.round("ridge.intercept", 4).alias("ridge_intercept"), F.round("ridge.c_lb", 4).alias("ridge_log_budget"),
+        F.round("ols.intercept", 4).alias("ols_intercept"), F.round("ols.c_lb", 4).alias("ols_log_budget"),
     )
 
 
@@ -140,12 +140,12 @@ _FOLDS = FOLDS
 
 @query(
     "g13_j6_m6_ratio_model",
-    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, primary_genre, train_samples, round(ratio, 6) AS ratio, round(usual, 2) AS usual FROM g", RATIO_SQL),
+    with_catalog("SELECT CAST(fold AS INTEGER) AS validation_year, primary_genre, train_samples, round(ratio, 6) AS ratio, round(usual, 3) AS usual FROM g", RATIO_SQL),
 )
 def ratio_model(spark, sf):
     fitted = ratio.fit_ratio(stage(eligible_rows(model_table(spark, sf))), _FOLDS)
     return fitted.select(
-        "validation_year", "primary_genre", "train_samples", F.round("genre_budget_ratio.ratio", 6).alias("ratio"), F.round("genre_budget_ratio.usual", 2).alias("usual")
+        "validation_year", "primary_genre", "train_samples", F.round("genre_budget_ratio.ratio", 6).alias("ratio"), F.round("genre_budget_ratio.usual", 3).alias("usual")
     )
 
 
@@ -375,7 +375,7 @@ _EVERY_ORDER = MODEL_SQL.replace("2001-07-31", "2017-07-31")
     "q5_q6_comprehensive_analysis",
     solved.recursive(
         " UNION ALL ".join(
-            f"SELECT '{part}' AS part, about, unnest([{', '.join(repr(c) for c in columns)}]) AS metric, round(unnest([{', '.join(f'{c}::DOUBLE' for c in columns)}]), 2) AS value FROM ({_PART_SQL_OF[part]})"
+            f"SELECT '{part}' AS part, about, unnest([{', '.join(repr(c) for c in columns)}]) AS metric, round(unnest([{', '.join(f'{c}::DOUBLE' for c in columns)}]), 2) + 0 AS value FROM ({_PART_SQL_OF[part]})"
             for part, columns in _PARTS.items()
         ),
         _EVERY_ORDER + "," + YEARS_SQL + ", dd AS (SELECT CAST(year // 10 * 10 AS INTEGER) AS decade, count(title) AS n, avg(vote_average) AS r FROM catalog GROUP BY decade)," + solved.PROFILE,
@@ -393,7 +393,7 @@ def comprehensive(spark, sf):
 
     def long(part, df):
         about = F.col("primary_genre") if part == "performance" else F.lit("")
-        figures = [F.struct(F.lit(c).alias("metric"), F.round(F.col(c).cast("double"), 2).alias("value")) for c in _PARTS[part]]
+        figures = [F.struct(F.lit(c).alias("metric"), (F.round(F.col(c).cast("double"), 2) + 0.0).alias("value")) for c in _PARTS[part]]
         return df.select(F.lit(part).alias("part"), about.alias("about"), F.inline(F.array(*figures)))
 
     return reduce(lambda a, b: a.unionByName(b), [long(n, d) for n, d in parts.items()])
