@@ -97,7 +97,7 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", w
 
     Two documents link when the sets of their ``words``-word shingles have a Jaccard similarity of
     ``similarity`` or more; groups are the components of the links. Copies of a text meet in a partial
-    aggregate and count as one node. 128-bit SimHash fingerprints of the shingles find the candidates:
+    aggregate and count as one node. 128-bit SimHash fingerprints of the distinct shingles find the candidates:
     tables of sampled bits, whose number gives a pair that differs by the expected share of bits plus one
     and a half standard deviations the stated recall; pivot distance tables and the Hamming distance
     (expected share plus three deviations) thin them; a last pass compares the shingle sets of candidates
@@ -109,7 +109,7 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", w
     rows = stage(df.withColumn("_row", F.monotonically_increasing_id()))
     digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
     marked = rows.select("_row", F.col(row_id).alias("_id"), F.col(text).cast("string").alias("_text"), digest.alias("_digest"))
-    prints = fingerprints(marked.select(F.struct("_row", "_id", "_digest").alias("_who"), "_text"), "_who", "_text", words, BITS)
+    prints = fingerprints(marked.select(F.struct("_row", "_id", "_digest").alias("_who"), "_text"), "_who", "_text", words, BITS, distinct=True)
     lanes = [f"fp{k}" for k in range(BITS // 64)]
     own = stage(prints.select("_who._row", "_who._id", "_who._digest", *lanes))
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))

@@ -53,8 +53,16 @@ def fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)
 
 
-def fingerprints(df: DataFrame, row_id: str, text: str = "text", words: int = 3, bits: int = 64) -> DataFrame:
-    """(row_id, fp0, fp1, ...): the fingerprint's 64-bit words as signed longs. Null text counts as empty."""
+def distinct_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The rows of ``hashes`` without repeats: the set of shingles, told apart by their first 64 bits."""
+    return hashes[np.unique(hashes[:, 0], return_index=True)[1]]
+
+
+def fingerprints(df: DataFrame, row_id: str, text: str = "text", words: int = 3, bits: int = 64, distinct: bool = False) -> DataFrame:
+    """(row_id, fp0, fp1, ...): the fingerprint's 64-bit words as signed longs. Null text counts as empty.
+
+    ``distinct``: a repeated shingle counts once, so that the bits follow the sets of shingles.
+    """
     lanes = bits // 64
     kind = dict(df.dtypes)[row_id]
 
@@ -62,7 +70,8 @@ def fingerprints(df: DataFrame, row_id: str, text: str = "text", words: int = 3,
         for b in batches:
             made = np.empty((b.num_rows, lanes), dtype=np.uint64)
             for i, t in enumerate(b.column(1)):
-                made[i] = fingerprint(shingle_hashes(t.as_py(), words, bits))
+                hashes = shingle_hashes(t.as_py(), words, bits)
+                made[i] = fingerprint(distinct_hashes(hashes) if distinct else hashes)
             cols = [pa.array(np.ascontiguousarray(made[:, k]).view(np.int64)) for k in range(lanes)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[row_id, *[f"fp{k}" for k in range(lanes)]])
 

@@ -139,6 +139,15 @@ def test_links_are_exact_at_the_threshold_and_hubs_keep_theirs(spark):
     assert [r.doc_id for r in neardup.drop_near_duplicates(df).collect()] == [0]
 
 
+def test_repeats_of_a_passage_lose_no_link(spark):
+    rows = []
+    for i in range(24):
+        unique, passage = (" ".join(f"{kind}{i}x{k}" for k in range(n)) for kind, n in (("u", 300), ("p", 40)))
+        rows += [(2 * i, f"{unique} {passage}"), (2 * i + 1, " ".join([unique, *[passage] * (5, 10, 30, 50)[i % 4]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in neardup.drop_near_duplicates(df).collect()) == list(range(0, 48, 2))
+
+
 def test_tiles_meet_every_pair_once_and_stay_small(spark):
     df = spark.createDataFrame([(k, i) for k, n in ((1, 50), (2, 1), (3, 7)) for i in range(n)], "k int, id long")
     rows = tiles.tiled(df, ["k"], "id", 10).collect()
