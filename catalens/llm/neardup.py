@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ from catalens.staging import stage
 
 BITS = 128
 _COLUMNS = 4096  # shingles compared at a time
+_SUBSETS = 128  # keys of a small set at most
+_FINITE = 64  # from so many shingles on, the angle tells the share of differing bits
 
 
 def expected_share(similarity: float) -> float:
@@ -24,6 +27,57 @@ def expected_share(similarity: float) -> float:
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
 
 
+def _left_out(size: int, similarity: float) -> int:
+    """The most shingles of a set of this size that a set of this Jaccard similarity or more can lack."""
+    return math.floor(size * (1 - similarity) + 1e-9)
+
+
+def small_size(similarity: float) -> int:
+    """The largest size up to which every set has at most ``_SUBSETS`` subsets that a similar set can share with it."""
+    size = 0
+    while size < _FINITE and sum(math.comb(size + 1, k) for k in range(_left_out(size + 1, similarity) + 1)) <= _SUBSETS:
+        size += 1
+    return size
+
+
+def subset_keys(values: np.ndarray, similarity: float) -> np.ndarray:
+    """A key per subset that a similar set can share with this one: the sum of its hashes (mod 2^64).
+
+    Two sets of ``similarity`` or more have their intersection among the subsets of both.
+    """
+    whole = values.sum(dtype=np.uint64)
+    rest = [whole - np.array(c, dtype=np.uint64).sum(dtype=np.uint64) for k in range(_left_out(len(values), similarity) + 1) for c in combinations(values, k)]
+    return np.unique(np.array(rest, dtype=np.uint64))
+
+
+def _bit_share(common: int, one: int, two: int) -> float:
+    """Share of differing bits of two sets with ``common`` shingles, ``one`` and ``two`` of their own."""
+    seen = np.arange(common + 1)
+
+    def set_(own: int) -> np.ndarray:  # probability that over half the hashes have the bit, by those of the common ones
+        at_least = np.cumsum([math.comb(own, k) / 2.0**own for k in range(own, -1, -1)])[::-1]
+        need = np.maximum((common + own) // 2 + 1 - seen, 0)
+        return np.where(need > own, 0.0, at_least[np.minimum(need, own)])
+
+    p, q = set_(one), set_(two)
+    weight = np.array([math.comb(common, k) / 2.0**common for k in seen])
+    return float(weight @ (p * (1 - q) + q * (1 - p)))
+
+
+def widest_share(similarity: float, above: int) -> float:
+    """The largest share of differing bits of two sets of this similarity or more, one of more than ``above`` shingles.
+
+    Few shingles are counted out: their majorities differ more often than the angle says.
+    """
+    found = expected_share(similarity)
+    for common in range(1, _FINITE):
+        for apart in range(math.floor(common * (1 - similarity) / similarity + 1e-9) + 1):
+            for own in range(apart // 2 + 1):
+                if above < common + apart - own <= _FINITE:
+                    found = max(found, _bit_share(common, own, apart - own))
+    return found
+
+
 def _common(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(rows, rows) sizes of the intersections of sets given as one array with offsets."""
     n = len(offsets) - 1
@@ -44,8 +98,8 @@ def _common(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _verified(tiles: DataFrame, similarity: float, radius: int) -> DataFrame:
-    """Links (a, b) of a tile whose fingerprints are within the radius and whose shingle sets are similar enough."""
+def _verified(tiles: DataFrame, similarity: float, radius: int, small: int) -> DataFrame:
+    """Links (a, b) of a tile: fingerprints within the radius or sets of ``small`` shingles at most, and similar enough."""
     refs = pivots(16, BITS // 64)
 
     def work(table: pa.Table, at: np.ndarray) -> pa.RecordBatch:
@@ -59,10 +113,12 @@ def _verified(tiles: DataFrame, similarity: float, radius: int) -> DataFrame:
         for lo, hi in zip(at[:-1], at[1:]):
             one, two = sides(block[lo:hi], ti[lo], tj[lo])
             near = list(close_pairs(fp[lo:hi], dist[:, lo:hi], one, two, radius))
+            size = np.diff(ends[lo : hi + 1])
+            few, others = one[size[one] <= small], two[size[two] <= small]
+            near += [(row, x) for row in few if len(x := others[others > row] if one is two else others)]
             if not near:
                 continue
             common = _common(values[ends[lo] : ends[hi]], ends[lo : hi + 1] - ends[lo])
-            size = np.diff(ends[lo : hi + 1])
             forest = Forest(hi - lo)
             for row, others in near:
                 both = common[row, others]
@@ -92,6 +148,24 @@ def _shingle_sets(df: DataFrame, words: int) -> DataFrame:
     return map_batches(df, run, ", ".join(f"{c} {t}" for c, t in kept) + ", shingles array<long>")
 
 
+def _small_links(rows: DataFrame, nodes: DataFrame, text: str, words: int, similarity: float, small: int) -> DataFrame:
+    """Candidates (a, b) among nodes of ``small`` shingles at most: every node of a subset key with the least one."""
+
+    def run(batches):
+        for b in batches:
+            ids, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+            for node, t in zip(b.column(0).to_numpy(), b.column(1)):
+                keys.append(subset_keys(np.unique(shingle_hashes(t.as_py(), words)[:, 0]), similarity))
+                ids.append(np.full(len(keys[-1]), node))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(keys).view(np.int64))], names=["a", "key"])
+
+    few = nodes.filter(F.col("n_shingles") <= small).select(F.col("node").alias("_row"))
+    texts = few.join(rows.select("_row", F.col(text).cast("string").alias("_text")), "_row")
+    keyed = stage(map_batches(texts.select("_row", "_text"), run, "a long, key long"))
+    least = keyed.groupBy("key").agg(F.min("a").alias("b"), F.count("*").alias("n")).filter("n > 1")
+    return keyed.join(least, "key").filter("a != b").select("a", "b").distinct()
+
+
 def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.99, seed: int = 11) -> tuple[DataFrame, DataFrame]:
     """(staged rows, groups): ``df`` with a row number ``_row``, and (_row, _group) of rows in a group with others.
 
@@ -101,7 +175,9 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", w
     tables of sampled bits, whose number gives a pair that differs by the expected share of bits plus one
     and a half standard deviations the stated recall; pivot distance tables and the Hamming distance
     (expected share plus three deviations) thin them; a last pass compares the shingle sets of candidates
-    exactly, so nothing below the threshold links. Texts without words (null, empty, white space) are
+    exactly, so nothing below the threshold links. The expected share is that of the sets in which it is
+    largest; sets of few shingles (``small_size``), where it is larger still, meet by the subsets they can have
+    in common instead, which loses no pair of them. Texts without words (null, empty, white space) are
     alike. Rows may repeat and ids may be null or repeat: rows are told apart by number. The first row of a
     group is the one with the smallest id (nulls last), then the smallest number. Column names starting
     with an underscore are reserved.
@@ -111,19 +187,21 @@ def near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", w
     marked = rows.select("_row", F.col(row_id).alias("_id"), F.col(text).cast("string").alias("_text"), digest.alias("_digest"))
     prints = fingerprints(marked.select(F.struct("_row", "_id", "_digest").alias("_who"), "_text"), "_who", "_text", words, BITS, distinct=True)
     lanes = [f"fp{k}" for k in range(BITS // 64)]
-    own = stage(prints.select("_who._row", "_who._id", "_who._digest", *lanes))
+    own = stage(prints.select("_who._row", "_who._id", "_who._digest", *lanes, "n_shingles"))
     order = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
-    nodes = stage(own.groupBy("_digest", *lanes).agg(F.min(order).alias("_first"), F.count("*").alias("_copies")).select("_digest", *lanes, "_first", "_copies", F.col("_first.r").alias("node")))
-    share = expected_share(similarity)
+    nodes = stage(own.groupBy("_digest", *lanes, "n_shingles").agg(F.min(order).alias("_first"), F.count("*").alias("_copies")).select("_digest", *lanes, "n_shingles", "_first", "_copies", F.col("_first.r").alias("node")))
+    small = small_size(similarity)
+    share = widest_share(similarity, small)
     spread = math.sqrt(share * (1 - share) / BITS)
     radius = math.floor(BITS * (share + 3 * spread))
     keys = sampled_keys(nodes.count(), BITS, 1 - share - 1.5 * spread, recall, seed)
-    near = connected_components(link_fingerprints(nodes, "node", keys, BITS, radius, refs=8))
+    close = link_fingerprints(nodes, "node", keys, BITS, radius, refs=8)
+    near = connected_components(close.unionByName(_small_links(rows, nodes, text, words, similarity, small)))
     inside = near.unionByName(near.select(F.col("component").alias("node"), "component").distinct())
     wanted = nodes.select("node", *lanes).join(inside, "node")
     texts = wanted.join(rows.select(F.col("_row").alias("node"), F.col(text).cast("string").alias("text")), "node")
     sets = stage(_shingle_sets(texts, words))
-    links = _verified(tiled(sets, ["component"], "node", 256, F.size("shingles"), 1 << 20), similarity, radius)
+    links = _verified(tiled(sets, ["component"], "node", 256, F.size("shingles"), 1 << 20), similarity, radius, small)
     tied = connected_components(links)
     roots = nodes.join(tied, "node", "left").select("_digest", "_first", "_copies", F.coalesce("component", "node").alias("_root"))
     # of interest are nodes with copies, nodes moved to another and those moved to

@@ -61,22 +61,27 @@ def distinct_hashes(hashes: np.ndarray) -> np.ndarray:
 def fingerprints(df: DataFrame, row_id: str, text: str = "text", words: int = 3, bits: int = 64, distinct: bool = False) -> DataFrame:
     """(row_id, fp0, fp1, ...): the fingerprint's 64-bit words as signed longs. Null text counts as empty.
 
-    ``distinct``: a repeated shingle counts once, so that the bits follow the sets of shingles.
+    ``distinct``: a repeated shingle counts once, so that the bits follow the sets of shingles, and a column
+    ``n_shingles`` tells their number.
     """
     lanes = bits // 64
     kind = dict(df.dtypes)[row_id]
+    names = [f"fp{k}" for k in range(lanes)] + ["n_shingles"] * distinct
 
     def run(batches):
         for b in batches:
-            made = np.empty((b.num_rows, lanes), dtype=np.uint64)
+            made, size = np.empty((b.num_rows, lanes), dtype=np.uint64), np.empty(b.num_rows, dtype=np.int64)
             for i, t in enumerate(b.column(1)):
                 hashes = shingle_hashes(t.as_py(), words, bits)
-                made[i] = fingerprint(distinct_hashes(hashes) if distinct else hashes)
+                if distinct:
+                    hashes = distinct_hashes(hashes)
+                made[i], size[i] = fingerprint(hashes), len(hashes)
             cols = [pa.array(np.ascontiguousarray(made[:, k]).view(np.int64)) for k in range(lanes)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=[row_id, *[f"fp{k}" for k in range(lanes)]])
+            more = [pa.array(size)] if distinct else []
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols, *more], names=[row_id, *names])
 
     return map_batches(
-        df.select(row_id, F.col(text).cast("string").alias("_text")), run, f"`{row_id}` {kind}, " + ", ".join(f"fp{k} long" for k in range(lanes))
+        df.select(row_id, F.col(text).cast("string").alias("_text")), run, f"`{row_id}` {kind}, " + ", ".join(f"{n} long" for n in names)
     )
 
 

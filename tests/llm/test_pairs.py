@@ -148,6 +148,28 @@ def test_repeats_of_a_passage_lose_no_link(spark):
     assert sorted(r.doc_id for r in neardup.drop_near_duplicates(df).collect()) == list(range(0, 48, 2))
 
 
+def test_short_texts_lose_no_link(spark):
+    apart = {9: 8, 10: 9, 18: 15}  # words of a text, and of a beginning of it of similarity 0.8 or more
+    pairs = [(n, m, i) for n, m in apart.items() for i in range(250 if n == 9 else 40)]
+    words = [[f"s{n}x{i}x{k}" for k in range(n)] for n, _, i in pairs]
+    rows = [(2 * j, " ".join(w)) for j, w in enumerate(words)] + [(2 * j + 1, " ".join(w[: pairs[j][1]])) for j, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in neardup.drop_near_duplicates(df).collect()}
+    want = {2 * j for j in range(len(pairs))} | {2 * j + 1 for j, (n, m, _) in enumerate(pairs) if (m - 4) / (n - 4) < 0.8}
+    assert kept == want
+
+
+def test_shares_of_few_shingles_are_counted_out():
+    small = neardup.small_size(0.8)
+    assert small == 14 and len(neardup.subset_keys(np.arange(1, 1 << 14, 1170, dtype=np.uint64)[:14], 0.8)) <= neardup._SUBSETS
+    assert neardup._bit_share(4, 1, 0) == 0.1875 == neardup.widest_share(0.8, 0)  # five hashes against four of them
+    rng = np.random.default_rng(2)
+    bits = rng.integers(0, 2, (200_000, 15))
+    one, two = bits.sum(1) * 2 > 15, bits[:, :12].sum(1) * 2 > 12
+    assert abs((one != two).mean() - neardup._bit_share(12, 3, 0)) < 0.005
+    assert neardup.widest_share(0.8, small) == neardup._bit_share(12, 3, 0) > neardup.expected_share(0.8)
+
+
 def test_tiles_meet_every_pair_once_and_stay_small(spark):
     df = spark.createDataFrame([(k, i) for k, n in ((1, 50), (2, 1), (3, 7)) for i in range(n)], "k int, id long")
     rows = tiles.tiled(df, ["k"], "id", 10).collect()
