@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,8 @@ KNOWN = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 )
+_TEXTS = Path(__file__).with_name("license_texts")
+_TITLES = {"MIT": "The MIT License (MIT)", "ISC": "The ISC License", "0BSD": "BSD Zero Clause License", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License"}
 # Spellings that count as the same word.
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sub license", "sublicense"),
@@ -97,22 +102,43 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({t}, ' +', ' ', 'g'))"
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """(license, text): ``KNOWN``, the whole texts in ``license_texts``, and the forms in which both are spread.
+
+    A short body comes without its title or with another one, a long text without what follows its terms,
+    and the Apache licence with the line for its holder filled in or left out.
+    """
+    out = list(KNOWN)
+    for name, text in KNOWN[:6]:  # the short bodies
+        body = re.sub(r"\A(MIT License|MIT No Attribution|ISC License)\n\n", "", text)
+        out += [(name, body)] + ([(name, f"{_TITLES[name]}\n\n{body}")] if name in _TITLES else [])
+    for path in sorted(_TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        out += [(path.stem, text), (path.stem, text.replace("   Copyright [yyyy] [name of copyright owner]\n", ""))]
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        out += [(path.stem, terms), (path.stem, terms + end)]
+        if "Exhibit B" in text and path.stem == "MPL-2.0":
+            out.append((path.stem, text[: text.index("\nExhibit A - ")]))
+    return sorted(set(out))
+
+
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """(digest, license) of the known texts, one row per digest."""
     rows = spark.createDataFrame(list(known), "license string, text string")
     return rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
 
 
-def scan(df: DataFrame, row_id: str = "doc_id", text: str = "text", known=KNOWN) -> DataFrame:
+def scan(df: DataFrame, row_id: str = "doc_id", text: str = "text", known=None) -> DataFrame:
     """(row_id, digest, license, license_lines): the licence a whole text is, and those its lines name.
 
     ``digest``: SHA-256 of the whole text in canonical form; ``license``: the known licence of that digest or
     null; ``license_lines``: distinct licences whose whole known text is one of the text's lines, in order,
     joined by a comma (empty if none). One row per row of ``df``, repeated rows and null ids included; null
-    and empty texts have the digest of the empty text and no licence. Only ``known`` is broadcast: a fixed
-    list that does not grow with the data.
+    and empty texts have the digest of the empty text and no licence. Only ``known`` (default: ``known_texts``) is
+    broadcast: a fixed list that does not grow with the data.
     """
     spark = df.sparkSession
+    known = known_texts() if known is None else known
     digests = F.broadcast(known_digests(spark, known))
     own = df.select(row_id, F.col(text).cast("string").alias("_text")).withColumn("digest", F.sha2(canonical(F.col("_text")), 256))
     whole = own.join(digests, "digest", "left")

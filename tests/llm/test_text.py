@@ -68,6 +68,21 @@ def test_licences_in_other_dress(spark):
     assert licenses.scan(df).count() == len(rows) and licenses.scan(df.limit(0)).count() == 0
 
 
+def test_whole_texts_of_long_licences(spark):
+    text = {p.stem: p.read_text(encoding="utf-8") for p in licenses._TEXTS.glob("*.txt")}
+    apache, gpl = text["Apache-2.0"], text["GPL-3.0"]
+    rows = [(n, t) for n, t in text.items()] + [
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2019 Some Body").upper()),
+        ("Apache-2.0", apache[: apache.index("   APPENDIX")]),
+        ("GPL-3.0", gpl[: gpl.index("END OF TERMS")]),
+        ("MIT", licenses.KNOWN[0][1].replace("MIT License\n\n", "Copyright (c) 2020 Some Body\n\n")),
+        (None, gpl[: len(gpl) // 2]),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    assert {r.doc_id: r.license for r in licenses.scan(df).collect()} == {i: n for i, (n, _) in enumerate(rows)}
+    assert len(text) == 14
+
+
 def test_each_known_licence_has_its_own_digest(spark):
     names = {n for n, _ in licenses.KNOWN}
     assert {r.license for r in licenses.known_digests(spark).collect()} == names
