@@ -17,10 +17,13 @@ from catalens.llm.tasks import map_batches
 # Elements of HTML by their part in the tree.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "math annotation merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template textarea title iframe svg math object canvas audio video select".split())
+RAW = frozenset("script style textarea title iframe".split())  # text up to the end tag, no markup
+FOREIGN = frozenset("svg math".split())  # a trailing slash closes them and what they hold
 CLOSED_BY_OWN = {  # an open element of the first kind ends where one of the others begins
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"}, "head": {"body"},
@@ -117,7 +120,10 @@ def blocks(page: str | None) -> list[Block]:
                 if tag in INLINE and stack[i][0] not in INLINE:
                     break
             continue
-        if tag in HIDDEN:
+        foreign = tag in FOREIGN or any(x[0] in FOREIGN for x in stack)
+        if foreign and attributes.endswith("/"):
+            continue
+        if tag in RAW and not (foreign and tag == "title"):
             stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = stop.end() if stop else end
             continue

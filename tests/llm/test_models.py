@@ -93,6 +93,16 @@ def test_broken_pages(page, want):
     assert [b.text for b in html.blocks(page)] == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>a</p><svg width='1'/><p>b</p>", ["a", "b"]), ("<p>a <math/> b</p><p>c", ["a b", "c"]), ("<p>a</p><svg><path d='x'/><style/></svg><p>b", ["a", "b"]),
+    ("<svg><style>p{}</style><title>t</title></svg><p>b", ["t", "b"]), ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>", ["so x=2 holds"]),
+    ("<object><p>in</p><p>b", ["in", "b"]), ("<noscript><p>in</p></noscript><p>b", ["in", "b"]), ("<video>in<p>b", ["in", "b"]), ("<canvas><p>b", ["b"]),
+    ("<audio><p>b", ["b"]), ("<title>t</title><iframe>no</iframe><style>p{}</style><p>b", ["b"]),
+])
+def test_embedded_elements_swallow_no_text(page, want):
+    assert [b.text for b in html.blocks(page)] == want
+
+
 def test_viterbi_and_likelihood_against_enumeration():
     rng = np.random.default_rng(1)
     names = ["t:x", "t:y", "len:1"]
