@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalens.llm import embeddings, html, licenses, lines, mixing, orderminhash, pieces, simhash, toxicity, urls
+from catalens.llm import embeddings, html, licenses, lines, mixing, orderminhash, phrases, pieces, simhash, toxicity, urls
 from catalog_queries.registry import query
 
 
@@ -105,3 +105,43 @@ def op6(spark, sf):
 @query("op7_order_minhash")
 def op7(spark, sf):
     return orderminhash.fingerprints_with_edits(_table(spark, sf, "documents"))
+
+
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), word_lists AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces
+), sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM word_lists GROUP BY lang
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+    FROM word_lists, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k
+  ) GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, cut, string_split(c.phrase, ' ') AS w
+  FROM f c, (VALUES (1), (2), (3)) t(cut) WHERE cut < c.k
+), scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.cut, h.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (h.f::HUGEINT + r.f) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(list_slice(w, 1, cut), ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(list_slice(w, cut + 1, c.k), ' ')
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, max(a) AS around
+  FROM (SELECT lang, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 2), (VALUES (2), (3)) s(m), (VALUES (1), (2), (3)) t(i)
+  WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+  FROM weakest w LEFT JOIN inside i ON i.lang = w.lang AND i.phrase = w.phrase
+  WHERE i.around IS NULL OR 100 * i.around < 80 * w.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", OP12_SQL)
+def op12(spark, sf):
+    return phrases.collocations(_table(spark, sf, "documents"))
