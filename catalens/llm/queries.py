@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalens.llm import embeddings, html, licenses, lines, mixing, orderminhash, phrases, pieces, simhash, toxicity, urls
+from catalens.llm import embeddings, html, licenses, lines, mixing, orderminhash, phrases, pieces, ranking, simhash, toxicity, urls
 from catalog_queries.registry import query
 
 
@@ -145,3 +145,31 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN s
 @query("op12_phrase_collocations", OP12_SQL)
 def op12(spark, sf):
     return phrases.collocations(_table(spark, sf, "documents"))
+
+
+OP13_SQL = f"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM documents
+), asked AS (
+  SELECT item_id, t, count(*) AS k
+  FROM (SELECT item_id, unnest(regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark) GROUP BY ALL
+), sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS length FROM sizes
+), tf AS (SELECT doc_id, t, count(*) AS tf FROM terms WHERE t IN (SELECT t FROM asked) GROUP BY ALL
+), weight AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY t, n_docs
+), added AS (
+  SELECT tf.doc_id, tf.t, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // length))) AS c
+  FROM tf JOIN weight USING (t) JOIN sizes USING (doc_id), whole
+), scores AS (
+  SELECT item_id, doc_id, sum(k * c)::BIGINT AS score FROM asked JOIN added USING (t) GROUP BY item_id, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 20
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13(spark, sf):
+    return ranking.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
