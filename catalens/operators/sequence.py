@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +20,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "position")
     offsets are one row per partition. Give ``order`` a unique tail: it fixes ties, and lets the range
     partitioning split a heavily repeated leading value.
     """
-    sorted_rows = stage(df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
-    marked = sorted_rows.withColumn("_part", F.shiftright("_mark", _ROW_BITS))
+    marked = _marked(df, order)
     counts = marked.groupBy("_part").agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
@@ -32,6 +32,46 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "position")
     )
 
 
+def _marked(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` range-partitioned and sorted, staged, with ``_part`` and the row's ``_mark``, ascending in the order."""
+    sorted_rows = stage(df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id()))
+    return sorted_rows.withColumn("_part", F.shiftright("_mark", _ROW_BITS))
+
+
+def number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str = "place", position: str = "_position") -> DataFrame:
+    """Number the rows of each group 1, 2, ... in ``order``; null group columns form groups as well.
+
+    Rows are numbered over all groups (kept as ``position``) and each group's first number is taken off, so a group
+    is never gathered: its first number is a partial aggregate, and rows meet it in an equi-join.
+    """
+    numbered = number_rows(df, [*[F.col(g) for g in groups], *order], position)
+    first = numbered.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(F.min(position).alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)])
+    placed = numbered.join(first, same).withColumn(name, F.col(position) - F.col("_first") + 1)
+    return placed.drop("_first", *[f"_g{i}" for i in range(len(groups))])
+
+
+def running_count(df: DataFrame, flag: Column, order: Sequence[Column], name: str, by: Sequence[str] = ()) -> DataFrame:
+    """How many rows up to and including each one, in ``order``, have ``flag``; per value of ``by`` if given.
+
+    A prefix sum in parts: range-partitioned sort, the flags of each part, offsets over one row per part, and a
+    running sum inside the part. No window holds the whole table or a whole value of ``by``.
+    """
+    flagged = df.withColumn("_flag", F.coalesce(flag, F.lit(False)).cast("long"))
+    marked = _marked(flagged, [*[F.col(c) for c in by], *order])
+    per_part = marked.groupBy("_part").agg(F.sum("_flag").alias("_flags"))
+    before = F.sum("_flags").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_part.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    inside = F.sum("_flag").over(Window.partitionBy("_part").orderBy("_mark").rowsBetween(Window.unboundedPreceding, 0))
+    counted = marked.withColumn(name, inside).join(offsets, "_part").withColumn(name, F.col(name) + F.col("_before"))
+    if by:
+        keys = [F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]
+        first = counted.groupBy(*keys).agg(F.min(F.col(name) - F.col("_flag")).alias("_first"))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)])
+        counted = counted.join(first, same).withColumn(name, F.col(name) - F.col("_first"))
+    return counted.select(*df.columns, name)
+
+
 def reindex_ids(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Replace ``id`` by 1..n in ``order``. Where there is no ``source_id`` the old id is kept under it."""
     if "id" not in df.columns:
