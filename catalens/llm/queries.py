@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalens.llm import embeddings, html, licenses, lines, mixing, orderminhash, phrases, pieces, ranking, simhash, toxicity, urls
+from catalens.llm import chat, embeddings, html, licenses, lines, mixing, orderminhash, phrases, pieces, ranking, simhash, toxicity, urls
 from catalog_queries.registry import query
 
 
@@ -173,3 +173,37 @@ SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
 @query("op13_ranked_search", OP13_SQL)
 def op13(spark, sf):
     return ranking.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), shown AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         length(regexp_replace(coalesce(text, ''), '([<\[]\\*)(/?s>|/?INST\]|/?ROLE\]|/TURN\]|<SYS>>|</SYS>>)', '\1\\\2', 'g')) AS chars,
+         length(regexp_replace(coalesce(role, ''), '([<\[]\\*)(/?s>|/?INST\]|/?ROLE\]|/TURN\]|<SYS>>|</SYS>>)', '\1\\\2', 'g')) AS role_chars
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(chars + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 19 WHEN 'assistant' THEN 6 ELSE 20 + role_chars END))::BIGINT AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
+
+@query("op11_chat_format", OP11_SQL)
+def op11(spark, sf):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    formatted = chat.format_conversations(chat.threads(rows), "msg_id", "parent_id", carry=["conv_id"])
+    read = chat.read_back(formatted)
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
