@@ -77,25 +77,29 @@ def _keyed(messages: DataFrame, msg_id: str, parent_id: str, score: str | None,
     return first_per_key(keyed, ["_node"], [F.col(c) for c in ("_parent", *parts, "_rating")])
 
 
-def _climb(nodes: DataFrame) -> list[DataFrame]:
-    """Tables (node, up, n, total, root), one a round k: ``up`` is the 2^k-th message above, null where the root is
-    nearer; ``n`` and ``total`` count the messages below ``up`` and add their scores."""
+def _climb(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(open rounds, finished) with columns node, up, n, total, root.
+
+    In round k ``up`` is the 2^k-th message above; ``n`` and ``total`` count the messages below ``up`` and add their
+    scores. A node whose root is nearer is finished, with all messages to its root counted, and is joined no more.
+    """
     known = nodes.select(F.col("_node").alias("_parent"), F.lit(True).alias("known"))
     now = stage(nodes.join(known, "_parent", "left").select(
         F.col("_node").alias("node"), F.when(F.col("known"), F.col("_parent")).alias("up"), F.lit(1).cast("long").alias("n"),
         F.col("_rating").alias("total"), F.when(F.col("known").isNull(), F.col("_node")).alias("root"),
     ))
-    rounds = [now]
-    rows, open_rows = now.agg(F.count("*"), F.count("up")).first()
-    while open_rows and 1 << len(rounds) <= 2 * rows:  # longer climbs go round in a circle
-        above = now.select(*[F.col(c).alias(f"a_{c}") for c in now.columns])
-        now = stage(now.join(above, F.col("up") == F.col("a_node"), "left").select(
-            "node", F.col("a_up").alias("up"), (F.col("n") + F.coalesce("a_n", F.lit(0))).alias("n"),
-            (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"), F.coalesce("root", "a_root").alias("root"),
+    rows, left = now.agg(F.count("*"), F.count("up")).first()
+    rounds, finished = [now.filter("up is not null")], now.filter("up is null")
+    while left and 1 << len(rounds) <= 2 * rows:  # longer climbs go round in a circle
+        above = rounds[-1].unionByName(finished).select(*[F.col(c).alias(f"a_{c}") for c in now.columns])
+        now = stage(rounds[-1].join(above, F.col("up") == F.col("a_node")).select(
+            "node", F.col("a_up").alias("up"), (F.col("n") + F.col("a_n")).alias("n"),
+            (F.col("total") + F.col("a_total")).alias("total"), F.col("a_root").alias("root"),
         ))
-        rounds.append(now)
-        open_rows = now.agg(F.count("up")).first()[0]
-    return rounds
+        rounds.append(now.filter("up is not null"))
+        finished = finished.unionByName(now.filter("up is null"))
+        left = rounds[-1].count()
+    return rounds, finished
 
 
 def branches(messages: DataFrame, msg_id: str, parent_id: str, score: str | None = None, keep: int | None = None, parts: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -110,9 +114,9 @@ def branches(messages: DataFrame, msg_id: str, parent_id: str, score: str | None
     circle have no root and are on no path. An empty table has no paths.
     """
     nodes = stage(_keyed(messages, msg_id, parent_id, score, parts))
-    rounds = _climb(nodes.select("_node", "_parent", "_rating"))
-    parents = rounds[0].select(F.col("up").alias("node")).filter("node is not null").distinct()
-    leaves = rounds[-1].filter("root is not null").join(parents, "node", "left_anti")
+    rounds, finished = _climb(nodes.select("_node", "_parent", "_rating"))
+    parents = rounds[0].select(F.col("up").alias("node")).distinct()
+    leaves = finished.join(parents, "node", "left_anti")
     found = leaves.select(F.col("node").alias("path"), "root", F.col("n").alias("n_turns"), (F.col("total") / F.col("n")).alias("score"))
     paths = number_within(found, ["root"], [F.desc("score"), F.asc("path")], "rank").drop("_position")
     if keep is not None:
@@ -121,8 +125,7 @@ def branches(messages: DataFrame, msg_id: str, parent_id: str, score: str | None
     reached = [stage(paths.select("path", F.col("path").alias("node"), F.col("n_turns").alias("depth")))]
     for k, climb in enumerate(rounds):
         so_far = reduce(DataFrame.unionByName, reached).filter(F.col("depth") > 1 << k)
-        up = climb.filter("up is not null").select("node", "up")
-        reached.append(stage(so_far.join(up, "node").select("path", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))))
+        reached.append(stage(so_far.join(climb.select("node", "up"), "node").select("path", F.col("up").alias("node"), (F.col("depth") - (1 << k)).alias("depth"))))
     return nodes, paths, reduce(DataFrame.unionByName, reached)
 
 
