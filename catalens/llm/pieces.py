@@ -7,7 +7,8 @@ of spaces, so a text's lattice is the chain of its chunks' lattices and equal ch
 
 from __future__ import annotations
 
-import base64
+import math
+import os
 import re
 import uuid
 from dataclasses import dataclass, field
@@ -22,10 +23,15 @@ from catalens.llm.tasks import map_batches
 
 SPACE = "▁"  # fixed value: how pieces write a space
 _OWN_SPACE = "\udc81"  # that letter in a text: no valid text holds it, no piece holds it, so it becomes bytes
-_CHUNK_CACHE = 550_000  # lattices a worker keeps
-_NODE_CACHE = 6_000_000
+_CACHE_BYTES = 120 << 20  # lattices a worker keeps between blocks; one block adds less than a third to it
+_CHUNK_BYTES = 190  # of a cached chunk beside its nodes and edges: its string, its place in the dict, its bounds
 _BLOCK_CHARS = 500_000  # characters segmented at a time
 _LEARN_CHUNKS = 16_384  # new lattices built at a time
+_LONG = 2_000  # a chunk of more characters is walked by itself and not kept
+_STRETCH = 16_384  # characters of a long chunk whose edges are held at a time
+
+#: Path of the SentencePiece model; read on the driver, never copied here.
+PIECE_MODEL = os.environ.get("CATALENS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
 @dataclass
@@ -82,6 +88,23 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _bounds(to: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first edge of each node, upper bound of each edge's draws) of edges in the order of their node.
+
+    Shares are added up within their node alone, so a bound does not depend on what else is worked out with it.
+    """
+    node_first = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.empty(0, np.int64)
+    count = np.diff(np.append(node_first, len(to)))
+    cum = share.copy()
+    at = node_first
+    for k in range(1, int(count.max(initial=0))):
+        at = at[count > k] + 1
+        count = count[count > k]
+        cum[at] += cum[at - 1]
+    cum[np.append(node_first[1:], len(to)) - 1 if len(to) else node_first] = 2
+    return node_first, cum
+
+
 class Segmenter:
     """Samples segmentations of many texts at a time; one per task, with the lattices of frequent chunks."""
 
@@ -94,6 +117,7 @@ class Segmenter:
             self.automaton.add_word(pieces.text[i], int(i))
         self.automaton.make_automaton()
         self.length = np.array([len(t) for t in pieces.text], dtype=np.int32)
+        self.longest = int(self.length[pieces.usable].max())
         self.single = np.zeros(0x110000, dtype=bool)
         for i in np.flatnonzero(pieces.usable):
             if len(pieces.text[i]) == 1:
@@ -110,8 +134,37 @@ class Segmenter:
         self.piece = np.zeros(1 << 18, dtype=np.int32)
         self.begin = np.zeros(1 << 14, dtype=np.int32)  # per chunk: its first node
         self.end = np.zeros(1 << 14, dtype=np.int32)
+        self.edge_end = np.zeros(1 << 14, dtype=np.int32)  # per chunk: behind its last edge
+        self.hits = np.zeros(1 << 14, dtype=np.int32)  # per chunk: how often it was met
         self.nodes = self.edges = 0
 
+    def cached_bytes(self) -> int:
+        """Size of the kept lattices, the spare room of their arrays included."""
+        arrays = (self.first, self.cum, self.piece, self.begin, self.end, self.edge_end, self.hits)
+        return sum(a.nbytes for a in arrays) + _CHUNK_BYTES * len(self.known)
+
+    def _trim(self) -> None:
+        """Keep the chunks met most often, up to a third of the bound."""
+        n = len(self.known)
+        nodes = self.end[:n] - self.begin[:n] + 1
+        lo = self.first[self.begin[:n] + 1]
+        edges = self.edge_end[:n] - lo
+        order = np.argsort(-self.hits[:n], kind="stable")
+        size = np.cumsum(_CHUNK_BYTES + 16 + 4 * nodes[order].astype(np.int64) + 8 * edges[order])
+        kept = np.sort(order[size <= _CACHE_BYTES // 3])
+        nodes, edges, lo = nodes[kept].astype(np.int64), edges[kept].astype(np.int64), lo[kept].astype(np.int64)
+        new_begin, new_lo = np.cumsum(nodes) - nodes, np.cumsum(edges) - edges
+        node_at = np.repeat(self.begin[kept] - new_begin, nodes) + np.arange(nodes.sum())
+        edge_at = np.repeat(lo - new_lo, edges) + np.arange(edges.sum())
+        self.first = (self.first[node_at] - np.repeat(lo - new_lo, nodes)).astype(np.int32)
+        self.cum, self.piece = self.cum[edge_at], self.piece[edge_at]
+        self.begin, self.end = new_begin.astype(np.int32), (new_begin + nodes - 1).astype(np.int32)
+        self.edge_end, self.hits = (new_lo + edges).astype(np.int32), self.hits[kept] // 2
+        at = np.full(n, -1, dtype=np.int64)
+        at[kept] = np.arange(len(kept))
+        self.known = {c: k for c, k in zip(self.known, at.tolist()) if k >= 0}
+        self.nodes, self.edges = len(self.first), len(self.cum)
+
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
         if n <= len(a):
@@ -166,12 +219,7 @@ class Segmenter:
             s_share[a:b] = value / np.repeat(whole, count)
         share = np.empty(len(to))
         share[order] = s_share
-        # cumulated shares, the last of a node being all
-        total = np.cumsum(share)
-        node_first = np.flatnonzero(np.r_[True, to[1:] != to[:-1]]) if len(to) else np.empty(0, np.int64)
-        count = np.diff(np.append(node_first, len(to)))
-        cum = total - np.repeat(total[node_first] - share[node_first], count)
-        cum[node_first + count - 1] = 2
+        node_first, cum = _bounds(to, share)
         base_n, base_e = self.nodes, self.edges
         self.first = self._room(self.first, base_n + len(code))
         self.first[base_n + to[node_first]] = base_e + node_first
@@ -180,16 +228,19 @@ class Segmenter:
         self.cum[base_e : base_e + len(to)] = cum
         self.piece[base_e : base_e + len(to)] = pid
         k = len(self.known)
-        self.begin, self.end = self._room(self.begin, k + len(chunks)), self._room(self.end, k + len(chunks))
+        for name in ("begin", "end", "edge_end", "hits"):
+            setattr(self, name, self._room(getattr(self, name), k + len(chunks)))
         self.begin[k : k + len(chunks)] = base_n + begin
         self.end[k : k + len(chunks)] = base_n + end
+        self.edge_end[k : k + len(chunks)] = base_e + np.searchsorted(to, end, "right")
+        self.hits[k : k + len(chunks)] = 0
         self.known.update(zip(chunks, range(k, k + len(chunks))))
         self.nodes, self.edges = base_n + len(code), base_e + len(to)
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets). A text's ids depend on the text, its seed and the model alone."""
-        if len(self.known) > _CHUNK_CACHE or self.nodes > _NODE_CACHE:
-            self._clear()
+        if self.cached_bytes() > _CACHE_BYTES:
+            self._trim()
         split = [
             self.chunks.findall(SPACE + t.replace(SPACE, _OWN_SPACE).replace(" ", SPACE)) if t else [] for t in texts
         ]
@@ -197,15 +248,18 @@ class Segmenter:
         flat = [c for s in split for c in s]
         if not flat:
             return np.empty(0, np.int32), np.zeros(len(texts) + 1, dtype=np.int64)
-        new = sorted(set(flat).difference(self.known))
+        long = [i for i, c in enumerate(flat) if len(c) > _LONG]
+        new = sorted({c for c in set(flat).difference(self.known) if len(c) <= _LONG})
         for lo in range(0, len(new), _LEARN_CHUNKS):
             self._learn(new[lo : lo + _LEARN_CHUNKS])
-        chunk = np.fromiter(map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        short = np.delete(np.arange(len(flat)), long)
+        chunk = np.fromiter((self.known.get(c, 0) for c in flat) if long else map(self.known.__getitem__, flat), dtype=np.int64, count=len(flat))
+        self.hits[: len(self.known)] += np.bincount(chunk[short], minlength=len(self.known)).astype(np.int32)
         with np.errstate(over="ignore"):
             place = np.arange(len(flat), dtype=np.int64) - np.repeat(np.cumsum(counts) - counts, counts)
             stream = _mix(np.repeat(seeds.view(np.uint64), counts) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            node, base = self.end[chunk], self.begin[chunk]
-            live = np.arange(len(flat))
+            live = short
+            node, base = self.end[chunk[live]], self.begin[chunk[live]]
             drawn: list[tuple[np.ndarray, np.ndarray]] = []
             n_of = np.zeros(len(flat), dtype=np.int64)
             step = 0
@@ -223,8 +277,12 @@ class Segmenter:
                 node = node - np.where(pid < self.n, self.length[np.minimum(pid, self.n - 1)], 1)
                 on = node > base
                 live, node, base = live[on], node[on], base[on]
+            walked = [self._walk(flat[i], stream[i]) for i in long]
+        n_of[long] = [len(w) for w in walked]
         offset = np.cumsum(n_of) - n_of
         ids = np.empty(int(n_of.sum()), dtype=np.int64)
+        for i, w in zip(long, walked):
+            ids[offset[i] : offset[i] + len(w)] = w
         for k, (who, pid) in enumerate(drawn):  # drawn from the end
             ids[offset[who] + n_of[who] - 1 - k] = pid
         size = np.ones(len(ids), dtype=np.int64)
@@ -241,6 +299,68 @@ class Segmenter:
         ends = np.append(0, np.cumsum(per_chunk))[np.append(0, np.cumsum(counts))]
         return out.astype(np.int32), ends
 
+    def _edges(self, text: str, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, log weight, piece) of the edges of ``text`` that end in (lo, hi], by their end."""
+        back = max(0, lo - self.longest + 1)
+        at, pid = np.fromiter(chain.from_iterable(self.automaton.iter(text[back:hi])), dtype=np.int64).reshape(-1, 2).T
+        at = at + back
+        pid, at = pid[at >= lo], at[at >= lo]
+        code = np.frombuffer(text[lo:hi].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        bare = np.flatnonzero(~self.single[code])
+        utf8 = np.where(code[bare] < 0x80, 1, np.where(code[bare] < 0x800, 2, np.where(code[bare] < 0x10000, 3, 4)))
+        start = np.concatenate([at + 1 - self.length[pid], lo + bare])
+        to = np.concatenate([at, lo + bare]) + 1
+        weight = np.concatenate([self.pieces.weight[pid], self.pieces.fallback * utf8])
+        pid = np.concatenate([pid, self.n + code[bare].astype(np.int64)])
+        order = np.argsort(to, kind="stable")
+        return start[order], to[order], weight[order], pid[order]
+
+    def _walk(self, text: str, stream: np.uint64) -> np.ndarray:
+        """The pieces of one long chunk: filtered from the start, drawn from the end, a stretch of edges at a time.
+
+        All that grows with the chunk is one number a character.
+        """
+        n = len(text)
+        alpha = np.zeros(n + 1)
+        for lo in range(0, n, _STRETCH):
+            hi = min(n, lo + _STRETCH)
+            start, to, weight, _ = self._edges(text, lo, hi)
+            back = max(0, lo - self.longest)
+            mass = np.exp(alpha[back : lo + 1] - alpha[lo]).tolist() + [0.0] * (hi - lo)
+            scale, at = float(alpha[lo]), lo + 1
+            logs = []
+            for s, t, w in zip((start - back).tolist(), to.tolist(), np.exp(weight).tolist()):
+                if t != at:
+                    at = t
+                    logs.append(math.log(mass[t - 1 - back]) + scale)
+                    if mass[t - 1 - back] < 1e-100:
+                        ratio = 1 / mass[t - 1 - back]
+                        scale = logs[-1]
+                        for i in range(max(0, t - back - self.longest), t - back):
+                            mass[i] *= ratio
+                mass[t - back] += mass[s] * w
+            logs.append(math.log(mass[hi - back]) + scale)
+            alpha[lo + 1 : hi + 1] = logs
+        drawn, at, step = [], n, 0
+        while at > 0:
+            lo = max(0, at - _STRETCH)
+            start, to, weight, pid = self._edges(text, lo, at)
+            value = alpha[start] + weight - alpha[to]
+            node_first, cum = _bounds(to, np.exp(value))
+            first, bound = np.append(node_first, len(to)).tolist(), cum.astype(np.float32).tolist()
+            begin, piece = start.tolist(), pid.tolist()
+            draws = _mix(stream + np.arange(step + 1, step + at - lo + 1, dtype=np.uint64)) >> np.uint64(40)
+            draws = (draws.astype(np.float32) / np.float32(1 << 24)).tolist()
+            begun = step
+            while at > lo:
+                edge = first[at - lo - 1]
+                while bound[edge] <= draws[step - begun]:
+                    edge += 1
+                drawn.append(piece[edge])
+                at = begin[edge]
+                step += 1
+        return np.array(drawn[::-1], dtype=np.int64)
+
     def _bytes(self, code: int) -> list[int]:
         letter = SPACE if code == ord(_OWN_SPACE) else chr(code)
         return [self.pieces.byte_id[b] for b in letter.encode()]
@@ -280,7 +400,7 @@ def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "
 
     Equal ids and texts give equal segmentations, wherever and whenever they run. A null text has null ids,
     an empty one none; a null id has a seed of its own. Rows that repeat repeat their result. Long texts
-    are whole; their chunks are segmented one block of a million characters at a time.
+    are whole; their chunks are segmented about half a million characters at a time.
     """
     spark = df.sparkSession
     model = spark.sparkContext.broadcast((load(model_path, alpha), uuid.uuid4().hex))  # a vocabulary, read on the driver

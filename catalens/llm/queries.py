@@ -57,9 +57,7 @@ def op4(spark, sf):
 
 @query("op9_sampled_pieces")
 def op9(spark, sf):
-    import corpus_pipeline
-
-    decoded = pieces.encode(_table(spark, sf, "documents"), corpus_pipeline.PIECE_MODEL, with_decoded=True)
+    decoded = pieces.encode(_table(spark, sf, "documents"), pieces.PIECE_MODEL, with_decoded=True)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
