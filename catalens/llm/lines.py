@@ -134,3 +134,13 @@ def dedup_lines(df: DataFrame, row_id: str = "doc_id", text: str = "text", batch
         .withColumn(text, F.array_join("_kept", "\n"))
         .drop("_row", "_drop", "_lines", "_kept")
     )
+
+
+def drop_repeated_lines(df: DataFrame, row_id: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
+    """``df`` with ``text`` replaced by its kept lines and ``n_chars``, if named, by the characters left. All other
+    columns are carried, whatever their names. See ``dropped_lines`` for what goes."""
+    rest = [c for c in df.columns if c not in (text, n_chars)]
+    carried = df.select(F.struct(*[F.col(c) for c in rest]).alias("doc"), F.col(row_id).alias("row"), F.col(text).alias("text"))
+    kept = dedup_lines(carried, "row", "text")
+    new = {text: F.col("text"), n_chars: F.char_length("text").cast("long")}
+    return kept.select(*[(new[c] if c in new else F.col("doc")[c]).alias(c) for c in df.columns])

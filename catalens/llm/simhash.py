@@ -220,3 +220,15 @@ def simhash_components(df: DataFrame, row_id: str = "doc_id", text: str = "text"
     place = tied.join(least, "_root").select("fp0", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp0"), 16, "0"))
     return own.join(place, "fp0").select(row_id, hexed.alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(df: DataFrame, row_id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 2) -> DataFrame:
+    """``df`` with one row of each component of ``simhash_components``: the one with the smallest id, nulls last.
+
+    Of rows that repeat that id one stays. Null and empty texts are alike. All columns are carried, whatever their names.
+    """
+    rows = stage(df.select(F.struct("*").alias("doc")).withColumn("row", F.monotonically_increasing_id()))
+    ident, whole = F.col("doc")[row_id], F.col("doc")[text]
+    named = rows.select(F.struct(ident.isNull().alias("none"), ident.alias("id"), "row").alias("who"), whole.alias("text"))
+    gone = simhash_components(named, "who", "text", words, radius).filter("who.row <> component_id.row").select("who.row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")

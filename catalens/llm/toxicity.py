@@ -198,5 +198,7 @@ def predict(df: DataFrame, model: ToxicityModel, row_id: str = "doc_id", text: s
 
 
 def drop_toxic(df: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """``df`` without the rows whose text scores 0.5 or more; clean, empty and null texts stay."""
-    return score(df, model, text).filter("score < 0.5").drop("score")
+    """``df`` without the rows whose text scores 0.5 or more; clean, empty and null texts stay. All columns are carried,
+    whatever their names."""
+    rows = df.select(F.struct("*").alias("doc"), F.col(text).cast("string").alias("text"))
+    return score(rows, model, "text").filter("score < 0.5").select("doc.*")

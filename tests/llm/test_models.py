@@ -8,6 +8,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from catalens.llm import html, mixing, toxicity, urls
 
@@ -283,3 +284,17 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
             assert docs.columns == columns
         assert 0 < docs.count() <= 3 * before
     assert corpus_pipeline.STAGES[0][1](spark, docs.sparkSession.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() == 0
+
+
+@needs_data
+def test_pipeline_stages_carry_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clash = ("score", "target", "repeats", "taken", "n_lines", "n_dropped", "_row", "doc", "row", "copy", "id", "sources", "size")
+    docs = docs.withColumns({c: F.lit(f"own {c}") for c in clash})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.select(*clash).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"own {c}" for c in clash)], name

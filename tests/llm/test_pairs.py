@@ -5,8 +5,9 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from catalens.llm import components, embeddings, neardup, simhash, tiles
+from catalens.llm import components, embeddings, simhash, tiles
 
 WORDS = [f"w{i}" for i in range(60)]
 
@@ -90,84 +91,18 @@ def test_simhash_components_with_nulls_copies_and_other_columns(spark):
     assert simhash.simhash_components(df.limit(0)).collect() == []
 
 
-def jaccard(a, b, words=5):
-    def sets(t):
-        w = t.lower().split()
-        return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
-
-    x, y = sets(a), sets(b)
-    return len(x & y) / len(x | y) if x | y else 1.0
-
-
-def test_near_duplicates_keep_one_of_each_group(spark):
-    rng = random.Random(4)
-    texts = []
-    for g in range(12):
-        base = [f"g{g}x{rng.randrange(500)}" for _ in range(300)]
-        texts.append(" ".join(base))
-        for c in range(4):
-            copy = list(base)
-            for _ in range(c * 3 + 1):
-                copy[rng.randrange(len(copy))] = f"new{rng.randrange(10**6)}"
-            texts.append(" ".join(copy))
-    texts += [texts[0], "", " ", None, "short text"]
-    rows = [(i, t, "a", i) for i, t in enumerate(texts)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, node long")
-    linked = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i] or "", texts[j] or "") >= 0.8]
-    root = components_by_hand(range(len(texts)), linked)
-    kept = neardup.drop_near_duplicates(df)
+def test_one_document_of_each_group_stays(spark):
+    rng = random.Random(5)
+    base = [text_of(rng, 300) for _ in range(12)]
+    rows = [(i, t, 1) for i, t in enumerate(base)] + [(100 + i, t, 2) for i, t in enumerate(base[:6])]
+    rows += [(7, base[7], 1), (None, base[2], 3), (None, None, 4), (None, "", 4), (50, "  ", 5)]
+    # names that the operator uses itself
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int").withColumns({"who": F.lit("w"), "fp0": F.lit(1), "component_id": F.lit(2), "doc": F.lit(3)})
+    kept = simhash.drop_near_duplicates(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.values()))
-    repeated = df.unionByName(df)
-    assert sorted(r.doc_id for r in neardup.drop_near_duplicates(repeated).collect()) == sorted(set(root.values()))
-    assert neardup.drop_near_duplicates(df.limit(0)).count() == 0
-
-
-def test_links_are_exact_at_the_threshold_and_hubs_keep_theirs(spark):
-    """Copies of a hub that are too far from each other stay in its group; a chain below the threshold parts."""
-    rng = random.Random(6)
-    base = [f"h{rng.randrange(10**6)}" for _ in range(400)]
-    texts = [" ".join(base)]
-    for c in range(30):
-        copy = list(base)
-        for k in range(8):
-            copy[(c * 13 + k * 31) % 400] = f"n{c}_{k}"
-        texts.append(" ".join(copy))
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    near = [i for i in range(1, 31) if jaccard(texts[0], texts[i]) >= 0.8]
-    assert len(near) == 30 and jaccard(texts[1], texts[9]) < 0.8
-    assert [r.doc_id for r in neardup.drop_near_duplicates(df).collect()] == [0]
-
-
-def test_repeats_of_a_passage_lose_no_link(spark):
-    rows = []
-    for i in range(24):
-        unique, passage = (" ".join(f"{kind}{i}x{k}" for k in range(n)) for kind, n in (("u", 300), ("p", 40)))
-        rows += [(2 * i, f"{unique} {passage}"), (2 * i + 1, " ".join([unique, *[passage] * (5, 10, 30, 50)[i % 4]]))]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r.doc_id for r in neardup.drop_near_duplicates(df).collect()) == list(range(0, 48, 2))
-
-
-def test_short_texts_lose_no_link(spark):
-    apart = {9: 8, 10: 9, 18: 15}  # words of a text, and of a beginning of it of similarity 0.8 or more
-    pairs = [(n, m, i) for n, m in apart.items() for i in range(250 if n == 9 else 40)]
-    words = [[f"s{n}x{i}x{k}" for k in range(n)] for n, _, i in pairs]
-    rows = [(2 * j, " ".join(w)) for j, w in enumerate(words)] + [(2 * j + 1, " ".join(w[: pairs[j][1]])) for j, w in enumerate(words)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = {r.doc_id for r in neardup.drop_near_duplicates(df).collect()}
-    want = {2 * j for j in range(len(pairs))} | {2 * j + 1 for j, (n, m, _) in enumerate(pairs) if (m - 4) / (n - 4) < 0.8}
-    assert kept == want
-
-
-def test_shares_of_few_shingles_are_counted_out():
-    small = neardup.small_size(0.8)
-    assert small == 14 and len(neardup.subset_keys(np.arange(1, 1 << 14, 1170, dtype=np.uint64)[:14], 0.8)) <= neardup._SUBSETS
-    assert neardup._bit_share(4, 1, 0) == 0.1875 == neardup.widest_share(0.8, 0)  # five hashes against four of them
-    rng = np.random.default_rng(2)
-    bits = rng.integers(0, 2, (200_000, 15))
-    one, two = bits.sum(1) * 2 > 15, bits[:, :12].sum(1) * 2 > 12
-    assert abs((one != two).mean() - neardup._bit_share(12, 3, 0)) < 0.005
-    assert neardup.widest_share(0.8, small) == neardup._bit_share(12, 3, 0) > neardup.expected_share(0.8)
+    found = {r.doc_id: r.component_id for r in simhash.simhash_components(df.filter("doc_id is not null")).collect()}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(found.values()))
+    assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
 
 
 def test_tiles_meet_every_pair_once_and_stay_small(spark):

@@ -203,3 +203,50 @@ def test_a_model_without_byte_pieces_is_refused():
 
     with pytest.raises(Exception):
         pieces.Pieces.load(b"no model")
+
+
+def test_bounds_do_not_depend_on_what_is_learnt_together(monkeypatch):
+    rng = random.Random(9)
+    model = pieces.load(MODEL)
+    texts = ["".join(rng.choice("abcdeé xyz  ") for _ in range(rng.randrange(200))) for _ in range(300)]
+    one, two = pieces.Segmenter(model), pieces.Segmenter(model)
+    chunks = sorted({c for t in texts for c in one.chunks.findall("\u2581" + t.replace(" ", "\u2581"))})
+    one._learn(chunks)
+    for lo in reversed(range(0, len(chunks), 37)):
+        two._learn(chunks[lo : lo + 37])
+    for c in chunks:
+        a, b = one.known[c], two.known[c]
+        x, y = one.first[one.begin[a] + 1], two.first[two.begin[b] + 1]
+        n = one.edge_end[a] - x
+        assert n == two.edge_end[b] - y
+        assert np.array_equal(one.cum[x : x + n], two.cum[y : y + n]) and np.array_equal(one.piece[x : x + n], two.piece[y : y + n])
+
+
+def test_a_small_cache_changes_nothing_and_stays_small(monkeypatch):
+    rng = random.Random(10)
+    model = pieces.load(MODEL)
+    texts = [" ".join("".join(rng.choice("abcdeghilmnorst") for _ in range(rng.randrange(1, 9))) for _ in range(200)) for _ in range(120)]
+    seeds = np.arange(120)
+    ids, ends = pieces.Segmenter(model).encode(texts, seeds)
+    monkeypatch.setattr(pieces, "_CACHE_BYTES", 1 << 21)
+    small = pieces.Segmenter(model)
+    for lo in range(0, 120, 10):
+        got, cut = small.encode(texts[lo : lo + 10], seeds[lo : lo + 10])
+        assert np.array_equal(got, ids[ends[lo] : ends[lo + 10]]) and cut[-1] == ends[lo + 10] - ends[lo]
+        small._trim()
+        assert small.cached_bytes() < 1 << 21
+
+
+def test_long_chunks_are_drawn_as_short_ones(monkeypatch):
+    rng = random.Random(11)
+    model = pieces.load(MODEL)
+    texts = ["".join(rng.choice("abcdeghilmnorsté漢\U0001f600") for _ in range(n)) for n in (1, 40, 3_000, 40_000)] + ["a b", ""]
+    seeds = np.arange(len(texts))
+    monkeypatch.setattr(pieces, "_LONG", 10**9)
+    ids, ends = pieces.Segmenter(model).encode(texts, seeds)
+    monkeypatch.setattr(pieces, "_LONG", 0)
+    monkeypatch.setattr(pieces, "_STRETCH", 1_000)
+    got, cut = pieces.Segmenter(model).encode(texts, seeds)
+    assert np.array_equal(cut, ends) and np.array_equal(got, ids)
+    for t, a, b in zip(texts, ends[:-1], ends[1:]):
+        assert pieces.decode(model, ids[a:b].tolist()) == t
