@@ -7,18 +7,16 @@ written as Parquet and read again as the next stage's ``docs``. All but the last
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalens.llm import lines, mixing, neardup, pieces, toxicity
+from catalens.llm import lines, mixing, pieces, simhash, toxicity
 from catalens.staging import shared_folder
 from catalog_queries.registry import query
 
-#: Path of the SentencePiece model; read on the driver, never copied here.
-PIECE_MODEL = os.environ.get("CATALENS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+PIECE_MODEL = pieces.PIECE_MODEL
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,21 +27,24 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds go; ``n_chars`` is that of the remaining text."""
-    kept = lines.dedup_lines(docs)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    return lines.drop_repeated_lines(docs, n_chars="n_chars")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the first document stays."""
-    return neardup.drop_near_duplicates(docs).select(docs.columns)
+    """Of each group of documents linked by SimHash (three-word shingles, at most two bits) the first one stays."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them: sources get words in the ratio 1, 2, 3, repeating."""
-    mixed = mixing.mix(
-        docs.withColumn("_sources", F.array("source")).withColumn("_words", mixing.words_in("text")), "_sources", "_words"
+    """Rows as often as the mix takes them: sources get words in the ratio 1, 2, 3, repeating.
+
+    Rows are drawn by id and text, so that those with a null or repeated id are told apart unless they are equal.
+    """
+    rows = docs.select(
+        F.struct("*").alias("doc"), F.xxhash64("doc_id", "text").alias("id"), F.array("source").alias("sources"), mixing.words_in("text").alias("size")
     )
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("repeats")))).filter("_copy > 0").select(docs.columns)
+    mixed = mixing.mix(rows, "sources", "size", row_id="id")
+    return mixed.select("doc", F.explode(F.sequence(F.lit(0), F.col("repeats"))).alias("copy")).filter("copy > 0").select("doc.*")
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ STAGES = [
     ("piece_encoding", pieces_stage),
 ]
 
-#: A trained classifier, SimHash candidates, hash selection and sampling have no SQL form: tests/llm has brute-force versions.
+#: A trained classifier, SimHash, hash selection and sampling have no SQL form: tests/llm has brute-force versions.
 ORACLE_SQL = None
 
 
