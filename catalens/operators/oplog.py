@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalens.operators.sequence import running_count
+
 SESSION_START = "app_started"
 # Reported counters and the event names each adds up.
 COUNTERS = {
@@ -51,6 +55,18 @@ def latest_session(events: DataFrame, start: str = SESSION_START, time: str = "t
     return events.filter(begun.isNull() | (F.col(time) >= begun))
 
 
+def session_numbers(events: DataFrame, start: str = SESSION_START, time: str = "timestamp", tie: str | None = None, by: Sequence[str] = (), name: str = "session") -> DataFrame:
+    """``events`` with the number of the session each belongs to, in order of ``time`` (nulls first), then ``tie``: how
+    many starts there were up to it, 0 before the first. ``by``: columns, such as a user, that count on their own."""
+    order = [F.col(time), *([F.col(tie)] if tie else [])]
+    return running_count(events, F.col("event") == start, order, name, by)
+
+
+def session_summary(sessions: DataFrame, time: str = "timestamp", by: Sequence[str] = (), name: str = "session") -> DataFrame:
+    """(by, session, events, first, last) of numbered events."""
+    return sessions.groupBy(*by, name).agg(F.count("*").alias("events"), F.min(time).alias("first"), F.max(time).alias("last"))
+
+
 def event_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("event").agg(F.count("*").alias("occurrences"))
 

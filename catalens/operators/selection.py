@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from catalens.functions.casting import day_column, identifier_column, number_column, year_column
 from catalens.functions.scalars import finite
 from catalens.functions.text import contains_text, token_word_match, word_match
+from catalens.operators.folding import fold_unicode
 
 PAGE_SIZE = 120  # fixed value: rows per page
 # fixed value: default order of a selection
@@ -44,19 +45,37 @@ def selection_predicate(df: DataFrame, filters: Mapping[str, object] | None, uni
         if wanted and name in df.columns:
             needle = wanted.strip().lower()
             terms.append(F.coalesce(F.contains(F.lower(F.col(name)), F.lit(needle)), F.lit(False)))
-    query = filters.get("keyword") or filters.get("keywords") or filters.get("title_keyword")
+    query = _query(filters)
     if query:
-        hits = []
-        if "title" in df.columns:
-            hits.append(word_match(F.col("title"), str(query), unicode))
-        if "keyword" in df.columns:
-            hits.append(token_word_match(F.col("keyword"), str(query), unicode))
-        terms.append(reduce(lambda a, b: a | b, hits, F.lit(False)))
+        terms.append(_text_predicate(df, query, {c: c for c in ("title", "keyword")}, unicode))
     return reduce(lambda a, b: a & b, terms, F.lit(True))
 
 
+def _query(filters: Mapping[str, object]) -> str:
+    return str(filters.get("keyword") or filters.get("keywords") or filters.get("title_keyword") or "")
+
+
+def _text_predicate(df: DataFrame, query: str, names: Mapping[str, str], unicode: bool) -> Column:
+    hits = []
+    if "title" in df.columns:
+        hits.append(word_match(F.col(names["title"]), query, unicode))
+    if "keyword" in df.columns:
+        hits.append(token_word_match(F.col(names["keyword"]), query, unicode))
+    return reduce(lambda a, b: a | b, hits, F.lit(False))
+
+
 def apply_filters(df: DataFrame, filters: Mapping[str, object] | None = None, unicode: bool = True) -> DataFrame:
-    return df.filter(selection_predicate(df, filters, unicode))
+    """The rows that pass all active filters. Texts to be searched are folded (``fold_unicode``) in what the other
+    filters leave; ``unicode=False`` skips that where texts are ASCII or folded already."""
+    filters = filters or {}
+    query = _query(filters)
+    if not (query and unicode):
+        return df.filter(selection_predicate(df, filters, unicode))
+    rest = {k: v for k, v in filters.items() if k not in ("keyword", "keywords", "title_keyword")}
+    names = {c: f"_folded_{c}" for c in ("title", "keyword") if c in df.columns}
+    rows = df.filter(selection_predicate(df, rest)).withColumns({n: F.col(c).cast("string") for c, n in names.items()})
+    found = fold_unicode(rows, list(names.values())).filter(_text_predicate(df, query, names, unicode=False))
+    return found.drop(*names.values())
 
 
 def positive_pairs(df: DataFrame, cost: str = "budget", income: str = "revenue") -> DataFrame:

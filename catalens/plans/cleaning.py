@@ -126,12 +126,13 @@ def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source:
     )
     dated = tagged.filter(F.col("_gone").isNull()).drop("_gone").withColumn("year", F.year("release_date"))
     measured = imputation.impute_measures(dated)
-    by_id = dedup.deduplicate_ids(measured) if "id" in measured.columns else measured
-    signed = stage(dedup.deduplicate_signatures(by_id, unicode))
+    ranked = dedup.rank_rows(dedup.with_signature(measured, unicode))  # one ranking for all that follows
+    by_id = dedup.deduplicate_ids(ranked) if "id" in ranked.columns else ranked
+    signed = stage(dedup.deduplicate_signatures(by_id))
     ids = dated.select("id").distinct() if "id" in dated.columns else dated.select(F.lit(1))
 
     def numbered() -> DataFrame:
-        named = dedup.disambiguate_titles(signed).drop("_title_key", "_original_key", "_language_key")
+        named = dedup.disambiguate_titles(signed).drop(dedup.RANK, *dedup.SIGNATURE)
         filled = fill_texts(named)
         if keep_source and "source_id" in filled.columns:
             filled = filled.withColumn("source_id", F.coalesce(F.col("source_id"), F.col("id"))) if "id" in filled.columns else filled

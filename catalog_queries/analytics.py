@@ -317,6 +317,21 @@ def distinct_titles(spark, sf):
     return dedup.disambiguate_titles(stage(dedup.deduplicate_signatures(part_catalog(spark, sf)))).select("id", "title")
 
 
+# ranked by id, every title is on a fifth of all rows: the first has the date, the second the bare title, the others numbers
+@query(
+    "w7_numbered_titles",
+    """SELECT id, CASE place WHEN 1 THEN title || ' (1999-12-31)' WHEN 2 THEN title ELSE title || ' #' || (place - 1) END AS title
+    FROM (SELECT p_partkey AS id, p_type AS title, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey DESC) AS place FROM part)""",
+)
+def numbered_titles(spark, sf):
+    rows = table(spark, sf, "part").select(
+        F.col("p_type").alias("title"), F.lit(1999).alias("year"), F.lit("1999-12-31").cast("date").alias("release_date"),
+        F.col("p_partkey").cast("double").alias("vote_count"),
+    )
+    named = dedup.disambiguate_titles(dedup.with_signature(rows))
+    return named.select(F.col("vote_count").cast("long").alias("id"), "title")
+
+
 @query(
     "w9_w10_j7_imputation",
     with_catalog("""SELECT id, coalesce(budget, m1, b2) AS budget, coalesce(runtime, m2, r2) AS runtime, coalesce(budget > 0, FALSE) AS budget_observed, coalesce(runtime > 0, FALSE) AS runtime_observed,
@@ -472,6 +487,17 @@ def latest_session(spark, sf):
     return oplog.latest_session(event_log(spark, sf), "signup").select("event_id", "event")
 
 
+@query(
+    "w13_all_sessions",
+    """SELECT event_id, count(*) FILTER (event_type = 'signup') OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session,
+    count(*) FILTER (event_type = 'signup') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS own_session FROM events""",
+)
+def all_sessions(spark, sf):
+    numbered = oplog.session_numbers(event_log(spark, sf), "signup", tie="event_id")
+    own = oplog.session_numbers(numbered, "signup", tie="event_id", by=["request_id"], name="own_session")
+    return own.select("event_id", "session", "own_session")
+
+
 @query(
     "g23_event_counters",
     """SELECT 'failures' AS counter, count(*) FILTER (event_type = 'error') AS occurrences FROM events UNION ALL SELECT 'looks', count(*) FILTER (event_type IN ('view', 'click')) FROM events

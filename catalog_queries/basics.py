@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalens.functions import casting, scalars, text
 from catalens.functions.features import BASE_FEATURES, base_features, category_features, grouped_category, profile_features
-from catalens.operators import dedup, imputation, selection
+from catalens.operators import dedup, folding, imputation, selection
 from catalens.operators.modelling import eligible_rows, prepare_modelling
 from catalens.plans import cleaning
 from catalog_queries.registry import query
@@ -142,7 +142,8 @@ def text_preparation(spark, sf):
     "SELECT doc_id, md5(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) AS key FROM documents",
 )
 def match_keys(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.match_key(F.col("text"))).alias("key"))
+    keyed = folding.with_match_key(table(spark, sf, "documents").select("doc_id", "text"), "text", "key")
+    return keyed.select("doc_id", F.md5("key").alias("key"))
 
 
 @query(
@@ -212,7 +213,8 @@ def category_tokens(spark, sf):
     "SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(text), '[\\p{P}\\p{S}]', ' ', 'g'), '\\s+', ' ', 'g'))) AS form FROM documents",
 )
 def search_texts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.search_text(F.col("text"))).alias("form"))
+    formed = folding.with_search_text(table(spark, sf, "documents").select("doc_id", "text"), "text", "form")
+    return formed.select("doc_id", F.md5("form").alias("form"))
 
 
 @query(
@@ -313,8 +315,8 @@ def basic_selection(spark, sf):
     """SELECT doc_id, lang FROM documents WHERE contains(' ' || trim(regexp_replace(regexp_replace(lower(text), '[\\p{P}\\p{S}]', ' ', 'g'), '\\s+', ' ', 'g')) || ' ', ' la un ')""",
 )
 def word_search(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.filter(text.word_match(F.col("text"), "La, un")).select("doc_id", "lang")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return folding.search_words(d, "text", "La, un").select("doc_id", "lang")
 
 
 @query(

@@ -1,17 +1,18 @@
 """Operators against pandas/numpy or against brute force on small in-line data."""
 
 import random
+import re
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from catalens.operators import quantiles
-from catalens.operators.dedup import deduplicate_ids, deduplicate_signatures, disambiguate_titles, first_per_key
+from catalens.operators import folding, oplog, quantiles
+from catalens.operators.dedup import deduplicate_ids, deduplicate_signatures, disambiguate_titles, first_per_key, with_signature
 from catalens.operators.quantiles import exact_medians, exact_quantiles
 from catalens.operators.selection import apply_filters, page, page_after, promote_sort, selection_change, top_titles
-from catalens.operators.sequence import latest_rows_flag, number_rows
+from catalens.operators.sequence import latest_rows_flag, number_rows, number_within, running_count
 from catalens.operators import summaries, trends
 from catalens.operators.quality import fingerprint, quality_report
 
@@ -87,6 +88,81 @@ def test_first_per_key_takes_the_smallest(spark):
     assert {r.v for r in first_per_key(df, ["k"], [F.col("o")]).collect()} == {"b", "d"}
 
 
+def test_first_per_key_with_nulls_ties_and_hot_keys(spark):
+    rows = [(None if i % 3 == 0 else i % 7, None if i % 5 == 0 else float(i % 4), f"v{i % 11}") for i in range(400)]
+    df = spark.createDataFrame(rows + rows, "k int, o double, v string")
+    got = first_per_key(df, ["k"], [F.col("o"), F.col("v")]).collect()
+    want = {}
+    for k, o, v in rows:
+        mine = (o is not None, o or 0.0, v)
+        if k not in want or mine < want[k]:
+            want[k] = mine
+    assert {r.k: (r.o is not None, r.o or 0.0, r.v) for r in got} == want and len(got) == len(want)
+    by_text = first_per_key(df, ["k"], [F.col("v"), F.col("o")])
+    assert by_text.count() == len(want) and {r.v for r in by_text.collect()} == {"v0"}
+
+
+def test_numbers_in_groups_and_running_counts(spark):
+    rows = [(None if i % 3 == 0 else i % 2, i * 37 % 101, i % 4 == 0 or None) for i in range(101)]
+    df = spark.createDataFrame(rows, "g int, t int, start boolean").repartition(7)
+    placed = number_within(df, ["g"], [F.col("t")]).collect()
+    for g in {r[0] for r in rows}:
+        mine = sorted((r.t, r.place) for r in placed if r.g == g)
+        assert [p for _, p in mine] == list(range(1, len(mine) + 1))
+    for by in ((), ("g",)):
+        counted = running_count(df, F.col("start"), [F.col("t")], "n", by).collect()
+        for g in {r[0] for r in rows} if by else {None}:
+            mine = sorted((r for r in counted if not by or r.g == g), key=lambda r: r.t)
+            total = 0
+            for r in mine:
+                total += bool(r.start)
+                assert r.n == total
+    assert running_count(df.limit(0), F.col("start"), [F.col("t")], "n").count() == 0
+
+
+def test_sessions_of_a_log(spark):
+    rows = [("view", 1, "a"), ("app_started", 2, "a"), ("view", 3, "b"), ("app_started", 3, "b"), ("app_started", 4, "b"), (None, 5, "a")]
+    log = spark.createDataFrame(rows, "event string, timestamp int, user string")
+    numbered = oplog.session_numbers(log, tie="event")
+    assert {(r.event, r.timestamp): r.session for r in numbered.collect()} == {
+        ("view", 1): 0, ("app_started", 2): 1, ("app_started", 3): 2, ("view", 3): 2, ("app_started", 4): 3, (None, 5): 3,
+    }
+    own = oplog.session_numbers(log, tie="event", by=["user"])
+    assert {(r.event, r.timestamp): r.session for r in own.collect()}[(None, 5)] == 1
+    assert [tuple(r) for r in oplog.session_summary(numbered).orderBy("session").collect()] == [(0, 1, 1, 1), (1, 1, 2, 2), (2, 2, 3, 3), (3, 2, 4, 5)]
+
+
+def test_one_title_on_a_third_of_all_rows_gets_numbers(spark):
+    rows = [(f"Other {i}" if i % 3 else "Ｓame", 2001, float(-i)) for i in range(90)]
+    df = spark.createDataFrame(rows, "title string, year int, vote_count double")
+    got = {int(-r.vote_count): r.title for r in disambiguate_titles(with_signature(df)).collect()}
+    same = [got[i] for i in range(0, 90, 3)]
+    assert same == ["Ｓame"] + [f"Ｓame #{n}" for n in range(2, 31)]
+    assert all(got[i] == f"Other {i}" for i in range(90) if i % 3)
+
+
+def test_folding_equals_python_and_settled_ranges_hold(spark):
+    import unicodedata
+
+    joins = {int(d.split()[1], 16) for c in range(0x110000) if (d := unicodedata.decomposition(chr(c))) and "<" not in d and " " in d}
+    joins |= set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for lo, hi in folding.SETTLED:
+        for c in range(lo, hi + 1):
+            assert unicodedata.normalize("NFKC", chr(c)) == chr(c) and not unicodedata.combining(chr(c)) and c not in joins, hex(c)
+    random.seed(3)
+    letters = ["a", " ", "é", "e\u0301", "ﬁ", "①", "Ａ", "漢", "\u1100\u1161", "\u00a0", "ｶ\uff9e", "\u0301", "™", "“", "Ω"]
+    texts = ["".join(random.choice(letters) for _ in range(random.randrange(12))) for _ in range(400)] + ["", None, "plain", "  two  blanks "]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, a string, b string")
+    got = folding.fold_unicode(df, ["a", "b"]).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = texts[r.i] and unicodedata.normalize("NFKC", texts[r.i])
+        assert (r.a, r.b) == (want, want)
+    found = {r.i for r in folding.search_words(df, "a", "①").collect()}
+    shown = {i: "".join(" " if unicodedata.category(c)[0] in "PS" else c for c in unicodedata.normalize("NFKC", t or "").lower()) for i, t in enumerate(texts)}
+    assert found == {i for i, t in shown.items() if re.search(r"(?<!\w)1(?!\w)", t)}
+
+
 def _serial_titles(rows):
     """The sequential rule, for comparison."""
     import unicodedata
