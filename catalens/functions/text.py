@@ -120,6 +120,13 @@ def _search_tokens(c: Column, unicode: bool) -> Column:
     return F.transform(F.split(_spaced(joined, unicode), "\x01"), lambda x: F.trim(x))
 
 
+def search_forms(title: Column, keyword: Column) -> Column:
+    """The texts of a row that a search looks in, in search form: its title and each token of its keywords. The
+    columns are folded already (``fold_unicode``)."""
+    both = F.concat(F.array(search_text(title, unicode=False)), F.coalesce(_search_tokens(keyword, unicode=False), F.array().cast("array<string>")))
+    return F.array_distinct(F.filter(both, lambda x: x != ""))
+
+
 def search_needle(needle: str) -> str:
     """The search form of a query string, computed once on the driver."""
     import unicodedata

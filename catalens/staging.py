@@ -29,6 +29,13 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own beside the staged tables, deleted with them."""
+    path = f"{shared_folder(spark)}/catalens-stage/{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables staged by this process; results that still read them must be written before."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from catalens.functions import casting, scalars, text
 from catalens.functions.features import BASE_FEATURES, base_features, category_features, grouped_category, profile_features
-from catalens.operators import dedup, folding, imputation, selection
+from catalens.operators import dedup, folding, imputation, search_index, selection
 from catalens.operators.modelling import eligible_rows, prepare_modelling
 from catalens.plans import cleaning
+from catalens.staging import new_folder
 from catalog_queries.registry import query
 from catalog_queries.views import CUTOFF, order_catalog, part_catalog, rounded, table, with_catalog
 
@@ -346,6 +347,23 @@ def search_selection(spark, sf):
     return selection.apply_filters(rows, {"min_rating": 10, "title_keyword": " Ring "}).select("id", "title")
 
 
+NEEDLES = ("Ring", "large ring", "SMALL", "ring, steel", "blue gear", "absent", "...", "g")
+
+
+@query(
+    "f9_indexed_searches",
+    f"""SELECT needle, p_partkey AS id FROM part, (SELECT unnest({list(NEEDLES)!r}) AS needle), LATERAL (SELECT
+    trim(regexp_replace(regexp_replace(lower(needle), '[\\p{{P}}\\p{{S}}]', ' ', 'g'), '\\s+', ' ', 'g')) AS form) WHERE form <> '' AND
+    (contains(' ' || regexp_replace(regexp_replace(lower(p_name), '[\\p{{P}}\\p{{S}}]', ' ', 'g'), '\\s+', ' ', 'g') || ' ', ' ' || form || ' ')
+     OR contains(' ' || regexp_replace(regexp_replace(lower(p_type), '[\\p{{P}}\\p{{S}}]', ' ', 'g'), '\\s+', ' ', 'g') || ' ', ' ' || form || ' '))""",
+)
+def indexed_searches(spark, sf):
+    rows = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_type").alias("keyword"))
+    folder = new_folder(spark)
+    search_index.write_index(search_index.build_index(rows, buckets=8), folder)
+    return search_index.search(search_index.read_index(spark, folder, buckets=8), NEEDLES)
+
+
 @query(
     "f11_f12_removal_counts",
     with_catalog("""SELECT CASE WHEN country = 'NATION_3' THEN 'missing_title' WHEN primary_genre = '5-LOW' THEN 'invalid_date'

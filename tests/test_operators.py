@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from catalens.operators import folding, oplog, quantiles
+from catalens.operators import folding, oplog, quantiles, search_index
 from catalens.operators.dedup import deduplicate_ids, deduplicate_signatures, disambiguate_titles, first_per_key, with_signature
 from catalens.operators.quantiles import exact_medians, exact_quantiles
 from catalens.operators.selection import apply_filters, page, page_after, promote_sort, selection_change, top_titles
@@ -163,6 +163,24 @@ def test_folding_equals_python_and_settled_ranges_hold(spark):
     assert found == {i for i, t in shown.items() if re.search(r"(?<!\w)1(?!\w)", t)}
 
 
+def test_index_finds_what_a_scan_finds(spark, tmp_path):
+    rng = random.Random(12)
+    words = ["Ring", "the", "ＲＩＮＧ", "e\u0301t", "ét", "10", "a'b", "\u0301", "x-y", "™", "漢字"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(5))), "|".join(rng.choice(words) for _ in range(rng.randrange(4)))) for i in range(200)]
+    rows += [(900, None, None), (901, "", "the ring"), (902, "the  ring", None)]
+    df = spark.createDataFrame(rows, "id long, title string, keyword string").withColumns({c: F.lit(1) for c in ("word", "form", "bucket", "forms")})
+    search_index.write_index(search_index.build_index(df, buckets=4), str(tmp_path))
+    index = search_index.read_index(spark, str(tmp_path), buckets=4)
+    needles = ["ring", "the ring", "THE", "ét", "a b", "y x", "tm", "漢字 10", "", "!", "\u0301", "absent", "ring"]
+    got = [tuple(r) for r in search_index.search(index, needles).collect()]
+    assert len(got) == len(set(got))
+    for n in needles:
+        assert {i for m, i in got if m == n} == ({r.id for r in apply_filters(df, {"title_keyword": n}).collect()} if n else set()), n
+    assert search_index.search(search_index.build_index(df.limit(0)), needles).count() == 0 == search_index.search(index, []).count()
+    only = search_index.build_index(df.select("id", "title"))
+    assert {r.id for r in search_index.search(only, ["the"]).collect()} == {r.id for r in apply_filters(df.drop("keyword"), {"keyword": "the"}).collect()}
+
+
 def _serial_titles(rows):
     """The sequential rule, for comparison."""
     import unicodedata
