@@ -1,58 +1,240 @@
-"""Random forest on the log target with Spark ML, one distributed fit per fold."""
+"""Random forests on the log target for all folds at once; the grown forest is a table.
+
+Rows are drawn into bags by a hash of their id, so a bag depends on the data alone. A bag holds about
+``bag_rows`` draws, or a whole bootstrap sample where a fold has fewer training rows. Trees grow in
+tasks of ten bags; predictions meet a fold's trees in parts of bounded size. Nothing passes the driver.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalens.functions.features import base_features
+from catalens.operators.linear import FILLS, fold_medians
+from catalens.staging import stage
+
+# Forest settings.
+TREES, MIN_LEAF = 300, 3
+#: Draws in a bag at most, in expectation; bags grown in one task; rows predicted in one task.
+BAG_ROWS, TREES_A_TASK, ROWS_A_TASK = 5_000, 10, 50_000
 
-# Forest settings. Spark limits the depth to 30.
-TREES, MIN_LEAF, SEED, MAX_DEPTH = 300, 3, 42, 30
+_FOREST = "validation_year int, tree int, feature array<int>, threshold array<double>, left array<int>, value array<double>"
 
 
-def _assembled(rows: DataFrame, fills: dict[str, float]) -> DataFrame:
-    """Features of a row that has ``_level``: a category is one number, the mean log target of its training rows.
+def _features() -> Column:
+    """Regressors as one array of floats, whose precision hides rounding; gaps take the fold's medians, a category is its mean log target (``_level``).
 
-    Splits on that number part the categories in the order of their means, which is where the best split of
-    a categorical feature lies; so any number of categories is one column.
+    Splits on that mean part the categories in its order, which is where the best split of a categorical
+    feature lies; so any number of categories is one column.
     """
-    from pyspark.ml.feature import VectorAssembler
+    columns = base_features()
+    filled = [F.coalesce(c, F.col(dict(zip(columns, FILLS)).get(n))) if n in list(columns)[:4] else c for n, c in columns.items()]
+    spend = F.coalesce(columns["log_budget"], F.lit(0.0))
+    values = F.array(*filled, F.col("_level"), spend * F.col("_level"))
+    return F.transform(values, lambda x: F.coalesce(x, F.lit(0.0)).cast("float"))
 
-    columns = {name: F.coalesce(c, F.lit(float(fills.get(name, 0.0)))) for name, c in base_features().items()}
-    columns["level"] = F.col("_level")
-    columns["log_budget_x_level"] = F.coalesce(base_features()["log_budget"], F.lit(0.0)) * F.col("_level")
-    named = {f"_f{i}": c for i, c in enumerate(columns.values())}
-    wide = rows.select("*", *[c.alias(n) for n, c in named.items()])
-    return VectorAssembler(inputCols=list(named), outputCol="_features").transform(wide).drop(*named)
 
+def fold_context(rows: DataFrame, folds: list[int], bag_rows: int = BAG_ROWS) -> DataFrame:
+    """Per fold and category: training rows, mean log target, median fills, share of rows a bag holds, parts to predict."""
+    met = F.filter(F.array(*[F.lit(int(f)) for f in folds]), lambda f: f >= F.col("year"))
+    yearly = rows.groupBy("year", "primary_genre").agg(F.count("*").alias("n"), F.sum(F.log1p("revenue")).alias("s"))
+    of_fold = yearly.withColumn("validation_year", F.explode(met))
+    before = F.col("year") < F.col("validation_year")
+    levels = of_fold.groupBy("validation_year", "primary_genre").agg(
+        F.sum(F.when(before, F.col("n"))).alias("train_samples"),
+        (F.sum(F.when(before, F.col("s"))) / F.sum(F.when(before, F.col("n")))).alias("_level"),
+    )
+    sizes = of_fold.groupBy("validation_year").agg(
+        F.least(F.lit(1.0), bag_rows / F.sum(F.when(before, F.col("n")))).alias("_share"),
+        F.ceil(F.sum("n") / ROWS_A_TASK).cast("int").alias("_parts"),
+    )
+    fills = fold_medians(rows.filter(F.col("year") < max(folds)), folds)
+    known = levels.filter("train_samples > 0").join(sizes, "validation_year").join(fills, "validation_year", "left")
+    return stage(known.fillna(0.0, list(FILLS)))  # a row per fold and category: its size is known when it is joined
 
-def forest_predictions(
-    rows: DataFrame, fold: int, fills: dict[str, float], trees: int = TREES, max_depth: int = MAX_DEPTH, min_leaf: int = MIN_LEAF,
-    max_train_rows: int | None = None,
-) -> DataFrame:
-    """Fit on rows before ``fold`` and predict rows up to and including it.
 
-    Adds validation_year, train_samples (of the category) and the uncalibrated prediction; validation
-    rows of categories without history drop out. A grown forest is held by the driver and grows with its
-    training rows: ``max_train_rows`` bounds them in expectation by a seeded sample (default: all rows).
-    """
-    from pyspark.ml.regression import RandomForestRegressor
+def _met(rows: DataFrame, context: DataFrame) -> DataFrame:
+    """Rows once per fold that trains on them or is validated by them, with features, a key and its hash."""
+    own = F.xxhash64(*[F.col(c) for c in rows.columns])
+    key = F.coalesce(F.col("id").cast("string"), own.cast("string")) if "id" in rows.columns else own.cast("string")
+    right = context.withColumnRenamed("primary_genre", "_genre")
+    keyed = rows.withColumns({"_key": key, "_row": own})
+    met = keyed.join(right, (F.col("primary_genre") == F.col("_genre")) & (F.col("year") <= F.col("validation_year")))
+    return met.withColumn("_features", _features()).drop("_genre", "_level", *FILLS)
+
+
+def _number(number: Column) -> Column:
+    """The first twelve hex digits of a digest of row, fold and ``number``, as a whole number."""
+    text = F.concat_ws("|", F.col("_key"), F.col("validation_year").cast("string"), number.cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
-    train = rows.filter(F.col("year") < fold).withColumn("_label", F.log1p("revenue"))
-    counts = train.groupBy("primary_genre").agg(F.count("*").alias("train_samples"), F.avg("_label").alias("_level"))
-    forest = RandomForestRegressor(
-        featuresCol="_features", labelCol="_label", predictionCol="_log", numTrees=trees, maxDepth=max_depth,
-        minInstancesPerNode=min_leaf, featureSubsetStrategy="all", seed=SEED, bootstrap=True,
+
+def draw_bags(met: DataFrame, trees: int) -> DataFrame:
+    """(validation_year, block, trees, features, label): training rows with the trees whose bags they are drawn into.
+
+    A row has ``trees * share`` draws, a fraction by chance, and each falls on any tree: the counts in
+    a bag are those of a bootstrap sample of that share. A row travels once per task that needs it.
+    """
+    expected = F.col("_share") * trees
+    extra = _number(F.lit(0)) / float(16**12) < expected - F.floor(expected)
+    drawn = met.filter(F.col("year") < F.col("validation_year")).withColumn("_draws", (F.floor(expected) + extra.cast("int")).cast("int"))
+    chosen = drawn.filter("_draws > 0").withColumn(
+        "_trees", F.transform(F.sequence(F.lit(1), F.col("_draws")), lambda i: F.pmod(_number(i), F.lit(trees)).cast("int"))
     )
-    fitting = train.join(counts, "primary_genre")
-    if max_train_rows is not None:
-        fitting = fitting.sample(min(1.0, max_train_rows / max(train.count(), 1)), seed=SEED)
-    fitted = forest.fit(_assembled(fitting, fills))
-    wanted = rows.filter(F.col("year") <= fold).join(counts, "primary_genre")
-    return (
-        fitted.transform(_assembled(wanted, fills))
-        .withColumn("validation_year", F.lit(fold))
-        .withColumn("base_prediction", F.greatest(F.expm1("_log"), F.lit(0.0)))
-        .drop("_features", "_log", "_level")
+    blocks = F.array_distinct(F.transform("_trees", lambda t: F.floor(t / TREES_A_TASK).cast("int")))
+    return chosen.withColumn("_block", F.explode(blocks)).select(
+        "validation_year", "_block", "_key", "_row", "_features", F.log1p("revenue").alias("_label"),
+        F.filter("_trees", lambda t: F.floor(t / TREES_A_TASK) == F.col("_block")).alias("_trees"),
     )
+
+
+def grow(bags: DataFrame, min_leaf: int = MIN_LEAF, max_depth: int | None = None) -> DataFrame:
+    """A row per fold and tree: feature, threshold (``<=`` goes to ``left``, else to the node after it), value per node.
+
+    A leaf points to itself. Splits lower the squared error most; of equal ones (up to rounding) the first feature and the
+    smallest threshold are taken. A leaf holds at least ``min_leaf`` different rows.
+    """
+    return bags.groupBy("validation_year", "_block").applyInArrow(_grower(min_leaf, max_depth), _FOREST)
+
+
+def _grower(min_leaf: int, max_depth: int | None):
+    def tree_of(x, y, w):
+        import numpy as np
+
+        n, width = x.shape
+        centre = np.average(y, weights=w)
+        y = y - centre
+        wy = w * y
+        tiny = 1e-12 * (wy @ y)
+        feature, threshold, left, value = [0], [np.inf], [0], [0.0 + centre]
+        order = np.argsort(x, axis=0, kind="stable")  # rows by node, then by the feature: one column each
+        sizes, nodes = np.array([n]), np.array([0])
+        columns, depth = np.arange(width), 0
+        while len(sizes) and (max_depth is None or depth < max_depth):
+            depth += 1
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            segment = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(order)) - starts[segment]
+            xs = x[order, columns]
+            cw, cs = np.cumsum(w[order], axis=0), np.cumsum(wy[order], axis=0)
+            ends = starts + sizes - 1
+            base_w = np.where(starts[:, None] > 0, cw[starts - 1], 0.0)
+            base_s = np.where(starts[:, None] > 0, cs[starts - 1], 0.0)
+            whole_w, whole_s = cw[ends] - base_w, cs[ends] - base_s
+            lw, ls = cw - base_w[segment], cs - base_s[segment]
+            rw, rs = whole_w[segment] - lw, whole_s[segment] - ls
+            fits = ((place + 1 >= min_leaf) & (sizes[segment] - place - 1 >= min_leaf))[:, None]
+            fits = fits & np.vstack([xs[:-1] < xs[1:], np.zeros((1, width), dtype=bool)])
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.where(fits, ls**2 / lw + rs**2 / rw - (whole_s**2 / whole_w)[segment], -np.inf)
+            best = np.maximum.reduceat(gain, starts, axis=0)
+            enough = best.max(axis=1) * (1 - 1e-9)
+            split = best.max(axis=1) > tiny
+            which = np.argmax(best >= enough[:, None], axis=1)
+            reached = gain[np.arange(len(order)), which[segment]] >= enough[segment]
+            cut = np.minimum.reduceat(np.where(reached, np.arange(len(order)), len(order)), starts)
+            chosen = np.flatnonzero(split)
+            if not len(chosen):
+                break
+            low, high = (xs[cut[chosen] + step, which[chosen]].astype(float) for step in (0, 1))
+            middle = low + (high - low) / 2
+            children = len(feature) + 2 * np.arange(len(chosen))
+            for node, f, t, child in zip(nodes[chosen].tolist(), which[chosen].tolist(), middle.tolist(), children.tolist()):
+                feature[node], threshold[node], left[node] = f, t, child
+            at = cut[chosen], which[chosen]
+            means = np.column_stack([ls[at] / lw[at], rs[at] / rw[at]]).ravel() + centre
+            count = len(feature)
+            feature += [0] * len(means)
+            threshold += [np.inf] * len(means)
+            left += range(count, count + len(means))
+            value += means.tolist()
+            # rows of split nodes go on, grouped by child, each column still in its order
+            rank = np.full(len(sizes), -1)
+            rank[chosen] = np.arange(len(chosen))
+            stays = split[segment]
+            rows, of = order[stays, 0], rank[segment[stays]]
+            child_of = np.zeros(n, dtype=np.uint16 if 2 * len(chosen) < 65536 else np.int64)
+            child_of[rows] = 2 * of + (x[rows, which[chosen][of]] > middle[of])
+            order = order[stays]
+            order = np.take_along_axis(order, np.argsort(child_of[order], axis=0, kind="stable"), axis=0)
+            sizes = np.bincount(child_of[rows], minlength=2 * len(chosen))
+            nodes = count + np.arange(2 * len(chosen))
+        return feature, threshold, left, value
+
+    def grow_block(table):
+        import numpy as np
+        import pyarrow as pa
+
+        table = table.sort_by([("_key", "ascending"), ("_row", "ascending")])  # sums run in one order whatever arrives first
+        x = table["_features"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        x = x.reshape(table.num_rows, -1)
+        y = table["_label"].to_numpy()
+        lists = table["_trees"].combine_chunks()
+        drawn = lists.flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(table.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+        grown = []
+        for tree in np.unique(drawn):
+            weights = np.bincount(row[drawn == tree], minlength=table.num_rows)
+            held = np.flatnonzero(weights)
+            grown.append((int(tree), *tree_of(x[held], y[held], weights[held].astype(float))))
+        year = table["validation_year"][0].as_py()
+        trees, features, thresholds, lefts, values = zip(*grown)
+        return pa.table(
+            {
+                "validation_year": pa.array([year] * len(trees), pa.int32()), "tree": pa.array(trees, pa.int32()),
+                "feature": pa.array(features, pa.list_(pa.int32())), "threshold": pa.array(thresholds, pa.list_(pa.float64())),
+                "left": pa.array(lefts, pa.list_(pa.int32())), "value": pa.array(values, pa.list_(pa.float64())),
+            }
+        )
+
+    return grow_block
+
+
+def _predictor(columns: list[str]):
+    """Mean over a fold's trees for the rows of one part; rows of a fold without trees drop out."""
+
+    def predict(rows, trees):
+        import numpy as np
+        import pyarrow as pa
+
+        if not trees.num_rows:
+            rows = rows.slice(0, 0)
+        x = rows["_features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1) if rows.num_rows else None
+        total = np.zeros(rows.num_rows)
+        if rows.num_rows:
+            trees = trees.sort_by("tree")
+            for i in range(trees.num_rows):
+                f, t, le, v = (trees[c][i].values.to_numpy(zero_copy_only=False) for c in ("feature", "threshold", "left", "value"))
+                at, moving = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+                while len(moving):
+                    node = at[moving]
+                    below = np.flatnonzero(le[node] != node)
+                    moving, node = moving[below], node[below]
+                    at[moving] = le[node] + (x[moving, f[node]] > t[node])
+                total += v[at]
+            total /= trees.num_rows
+        return rows.select(columns).append_column("_log", pa.array(total, pa.float64()))
+
+    return predict
+
+
+def forest_predictions(
+    rows: DataFrame, folds: list[int], trees: int = TREES, max_depth: int | None = None, min_leaf: int = MIN_LEAF, bag_rows: int = BAG_ROWS
+) -> DataFrame:
+    """Grow a forest per fold on the rows before it and predict the rows up to and including it.
+
+    Adds validation_year, train_samples (of the category) and the uncalibrated prediction; rows of categories
+    without history in a fold drop out.
+    """
+    context = fold_context(rows, folds, bag_rows)
+    met = _met(rows.filter(F.col("year") <= max(folds)), context)
+    forest = stage(grow(draw_bags(met, trees), min_leaf, max_depth))
+    parts = context.select("validation_year", "_parts").distinct()
+    spread = forest.join(parts, "validation_year").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    dealt = met.withColumn("_part", F.pmod(F.xxhash64("_row", "_key"), F.col("_parts")).cast("int"))
+    carried = [*rows.columns, "validation_year", "train_samples"]
+    dealt = dealt.select(*carried, "_features", "_part")
+    schema = ", ".join(f"`{c}` {dealt.schema[c].dataType.simpleString()}" for c in carried) + ", _log double"
+    scored = dealt.groupBy("validation_year", "_part").cogroup(spread.groupBy("validation_year", "_part")).applyInArrow(_predictor(carried), schema)
+    return scored.withColumn("base_prediction", F.greatest(F.expm1("_log"), F.lit(0.0))).drop("_log")

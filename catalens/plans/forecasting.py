@@ -92,17 +92,10 @@ def base_predictions(
             )
         )
     if "random_forest" in models:
-        fills = {
-            r.validation_year: {"log_budget": r.fill_lb, "log_budget_sq": r.fill_lb2, "runtime": r.fill_rt, "runtime_sq": r.fill_rt2}
-            for r in linear.fold_medians(rows.filter(F.col("year") < max(folds)), folds).collect()  # one row per fold
-        }
-        for fold in folds:
-            grown = forest.forest_predictions(rows, fold, fills.get(fold, {}), **(forest_options or {}))
-            parts.append(
-                grown.select(
-                    F.lit("random_forest").alias("model_name"), "validation_year", "train_samples", *carried, "base_prediction"
-                )
-            )
+        grown = forest.forest_predictions(rows, folds, **(forest_options or {}))
+        parts.append(
+            stage(grown.select(F.lit("random_forest").alias("model_name"), "validation_year", "train_samples", *carried, "base_prediction"))
+        )  # read twice, for the calibration and for the validation rows
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -194,8 +187,8 @@ def backtest(
 ) -> Forecast:
     """Rolling holdout validation of several models: every fold trains on all years before it.
 
-    All folds of the closed-form models come from one set of passes over the data; a forest is grown
-    per fold. The model summary compares models over the years, best first.
+    All folds come from one set of passes over the data, the forests of all folds from one job. The
+    model summary compares models over the years, best first.
     """
     models = checked_models(model_names)
     table = df if prepared else stage(prepare_modelling(df, cutoff, not unique_ids))

@@ -256,7 +256,7 @@ def actual_totals(spark, sf):
     return rounded(charts.actual_by_year(found.overview), 2, "actual_total_revenue")
 
 
-# model comparison over several models; a forest has no SQL counterpart --------------------------
+# model comparison over several models; of forests, one of stumps has an SQL counterpart --------------------------
 
 
 @query(
@@ -302,14 +302,44 @@ def saved_backtest_charts(spark, sf):
     return rounded(bars.unionByName(lines), -1, "total")
 
 
+_STUMPS = {"trees": solved.STUMPS, "max_depth": 1}
+
+
+@query(
+    "m9_m13_four_model_backtest",
+    solved.recursive("""SELECT model AS model_name, years AS years_evaluated, round(wape, 4) AS average_wape_percent, round(r2, 4) AS average_r_squared, round(mae, 0) AS average_mae, round(rmse, 0) AS average_rmse,
+    round(c, 6) AS yearly_revenue_correlation FROM bsum""", MODEL_SQL + "," + solved.FOUR_MODELS),
+)
+def four_model_backtest(spark, sf):
+    out = backtest(stage(model_table(spark, sf)), digits=False, prepared=True, cutoff=CUTOFF, forest_options=_STUMPS).model_summary
+    out = rounded(rounded(out, 4, "average_wape_percent", "average_r_squared"), 0, "average_mae", "average_rmse")
+    return rounded(out, 6, "yearly_revenue_correlation").select(
+        "model_name", "years_evaluated", "average_wape_percent", "average_r_squared", "average_mae", "average_rmse", "yearly_revenue_correlation"
+    )
+
+
+@query(
+    "m9_forest_of_stumps",
+    solved.recursive("SELECT id, primary_genre AS genre, round(p, 0) AS predicted_revenue FROM bpr WHERE fold = 2001 AND model = 'random_forest'", MODEL_SQL + "," + solved.FOUR_MODELS),
+)
+def forest_of_stumps(spark, sf):
+    rows = stage(model_table(spark, sf).withColumn("title", F.col("id").cast("string")))
+    found = evaluate_holdout(rows, 2001, model_name="random_forest", digits=False, prepared=True, cutoff=CUTOFF, forest_options=_STUMPS)
+    return rounded(found.predictions.select(F.col("title").cast("bigint").alias("id"), "genre", "predicted_revenue"), 0, "predicted_revenue")
+
+
 @query("m9_m10_random_forest_holdout")
 def random_forest_holdout(spark, sf):
-    found = evaluate_holdout(
-        stage(model_table(spark, sf)), 2001, model_name="random_forest", prepared=True, cutoff=CUTOFF, forest_options={"trees": 12, "max_depth": 6}
-    )
+    found = evaluate_holdout(stage(model_table(spark, sf)), 2001, model_name="random_forest", prepared=True, cutoff=CUTOFF)
     return found.summary_by_genre.select("genre", "model_type", "train_samples", "validation_samples", "wape_percent", "r_squared")
 
 
+@query("m9_m13_default_backtest")
+def default_backtest(spark, sf):
+    """All four models at their settings over all folds."""
+    return backtest(stage(model_table(spark, sf)), prepared=True, cutoff=CUTOFF).model_summary
+
+
 @query(
     "m14_s6_s7_s8_saved_forecast",
     with_catalog("""SELECT primary_genre AS genre, CASE WHEN train_samples >= 12 THEN 'genre_budget_ratio_calibrated' ELSE 'genre_budget_ratio_shared' END AS model_type,

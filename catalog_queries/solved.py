@@ -47,15 +47,41 @@ lx AS (SELECT lm.*, train_samples, k, ln(1 + revenue) AS y, {_REGRESSORS} AS v F
 lt AS (SELECT * FROM lx WHERE year < fold),
 {ridge('lin', 'lt', 11 + 2 * (LEVELS - 1), "('ridge', 8.0), ('ols', 0.0)", "model = 'ols' AND i = 11")}"""
 
-# uncalibrated predictions of three models, then calibration, predictions and errors per model and fold
-THREE_MODELS = LINEAR + """,
+# a forest of stumps: bags drawn by digests of row, fold and draw; the best cut of each bag over all regressors
+STUMPS = 8
+_DIGEST = "('0x' || substr(md5(id || '|' || fold || '|' || {}), 1, 12))::BIGINT"
+_STUMPS = f"""
+fs AS (SELECT fold, primary_genre, avg(y) AS level FROM lt GROUP BY fold, primary_genre),
+fx AS (SELECT lx.fold, id, lx.primary_genre, year, train_samples, revenue, y, {STUMPS} * (SELECT least(1.0, 5000.0 / count(*)) FROM lt WHERE lt.fold = lx.fold) AS expected,
+    [coalesce(lb, f1), coalesce(lb * lb, f2), coalesce(runtime, f3), coalesce(runtime * runtime, f4), year, sin(2 * pi() * month / 12), cos(2 * pi() * month / 12),
+    (language = 'en')::INT, (country = 'usa')::INT, budget_observed::INT, runtime_observed::INT, level, coalesce(lb, 0) * level]::FLOAT[] AS x
+  FROM lx JOIN lmed USING (fold) JOIN fs USING (fold, primary_genre)),
+fdraw AS (SELECT *, unnest(list_transform(range(1, floor(expected)::BIGINT + ({_DIGEST.format(0)} / pow(16, 12) < expected - floor(expected))::BIGINT + 1), lambda i: {_DIGEST.format('i')} % {STUMPS})) AS tree FROM fx WHERE year < fold),
+fbag AS (SELECT fold, tree, id, any_value(x) AS x, any_value(y) AS y, count(*) AS w FROM fdraw GROUP BY fold, tree, id),
+fmean AS (SELECT fold, tree, sum(w * y) / sum(w) AS centre FROM fbag GROUP BY fold, tree),
+fval AS (SELECT fold, tree, j, x[j] AS z, sum(w) AS w, sum(w * (y - centre)) AS s, count(*) AS c FROM fbag JOIN fmean USING (fold, tree), range(1, 14) r(j) GROUP BY fold, tree, j, x[j]),
+fcut AS (SELECT *, sum(w) OVER o AS lw, sum(s) OVER o AS ls, sum(c) OVER o AS lc, lead(z) OVER o AS next_z, sum(w) OVER g AS tw, sum(s) OVER g AS ts, sum(c) OVER g AS tc FROM fval
+  WINDOW o AS (PARTITION BY fold, tree, j ORDER BY z), g AS (PARTITION BY fold, tree, j)),
+fgain AS (SELECT *, ls * ls / lw + (ts - ls) * (ts - ls) / (tw - lw) - ts * ts / tw AS gain FROM fcut WHERE lc >= 3 AND tc - lc >= 3),
+fbest AS (SELECT fold, tree, j, (z::DOUBLE + next_z) / 2 AS threshold, centre + ls / lw AS below, centre + (ts - ls) / (tw - lw) AS above
+  FROM (SELECT *, max(gain) OVER (PARTITION BY fold, tree) AS top FROM fgain) JOIN fmean USING (fold, tree) WHERE gain >= top * (1 - 1e-9)
+  QUALIFY row_number() OVER (PARTITION BY fold, tree ORDER BY j, z) = 1),
+fp AS (SELECT fold, id, any_value(primary_genre) AS primary_genre, any_value(year) AS year, any_value(train_samples) AS train_samples, any_value(revenue) AS revenue,
+    greatest(exp(avg(CASE WHEN x[j] <= threshold THEN below ELSE above END)) - 1, 0) AS p FROM fx JOIN fbest USING (fold) GROUP BY fold, id),"""
+
+
+def _compared(forest: bool) -> str:
+    """Uncalibrated predictions of the models, then calibration, predictions and errors per model and fold."""
+    stumps = "UNION ALL SELECT 'random_forest', fold, id, primary_genre, year, train_samples, revenue, p FROM fp"
+    return LINEAR + f""",
 rt AS (SELECT *, CASE WHEN budget > 0 THEN revenue / budget END AS ratio FROM lx),
 rall AS (SELECT fold, median(ratio) AS all_ratio, median(revenue) AS all_usual FROM rt WHERE year < fold GROUP BY fold),
-rg AS (SELECT fold, primary_genre, coalesce(median(ratio), any_value(all_ratio), 1) AS ratio, coalesce(median(revenue), any_value(all_usual), 0) AS usual FROM rt JOIN rall USING (fold) WHERE year < fold GROUP BY fold, primary_genre),
+rg AS (SELECT fold, primary_genre, coalesce(median(ratio), any_value(all_ratio), 1) AS ratio, coalesce(median(revenue), any_value(all_usual), 0) AS usual FROM rt JOIN rall USING (fold) WHERE year < fold GROUP BY fold, primary_genre),{_STUMPS if forest else ''}
 base AS (
   SELECT model, fold, id, primary_genre, year, train_samples, revenue AS a, greatest(exp(start + list_dot_product(b, v)) - 1, 0) AS p FROM lx JOIN lin_fit USING (fold)
   UNION ALL
-  SELECT 'genre_budget_ratio', fold, id, primary_genre, year, train_samples, revenue, greatest(CASE WHEN budget > 0 THEN budget * rg.ratio ELSE usual END, 0) FROM lx JOIN rg USING (fold, primary_genre)),
+  SELECT 'genre_budget_ratio', fold, id, primary_genre, year, train_samples, revenue, greatest(CASE WHEN budget > 0 THEN budget * rg.ratio ELSE usual END, 0) FROM lx JOIN rg USING (fold, primary_genre)
+  {stumps if forest else ''}),
 bmom AS (SELECT model, fold, primary_genre, count(*) AS n, avg(p) AS mp, avg(a) AS ma, regr_slope(a, p) AS s, max(p) - min(p) AS span FROM base WHERE year < fold GROUP BY GROUPING SETS ((model, fold, primary_genre), (model, fold))),
 braw AS (SELECT *, CASE WHEN n < 2 OR span <= 1e-9 OR s <= 0 OR s IS NULL THEN 0 ELSE ma - s * mp END AS i0, CASE WHEN n < 2 OR span <= 1e-9 THEN greatest(ma / mp, 0) WHEN s <= 0 THEN least(greatest(ma / mp, 0.05), 10) ELSE least(greatest(s, 0.05), 10) END AS s0 FROM bmom),
 bcal AS (SELECT c.model, c.fold, c.primary_genre,
@@ -68,6 +94,9 @@ berr AS (SELECT model, fold, count(*) AS n, avg(abs(p - a)) AS mae, sqrt(avg((p
 bsum AS (SELECT model, count(*) AS years, avg(wape) AS wape, avg(r2) AS r2, avg(mae) AS mae, avg(rmse) AS rmse, corr(actual, predicted) AS c FROM berr GROUP BY model)
 """
 
+
+THREE_MODELS, FOUR_MODELS = _compared(False), _compared(True)
+
 # display names of the profile's regressors, in their order
 PROFILE_NAMES = [
     *(FEATURE_NAMES[n] for n in ("log_budget", "runtime", "is_english", "is_us_production")),
