@@ -198,3 +198,12 @@ def mix(df: DataFrame, sources: str, size: str, weights: Sequence[float] = (1, 2
 def words_in(text: str = "text"):
     """Number of runs of other characters than [\\x20\\x09-\\x0D]; null: 0."""
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def document_sizes(docs: DataFrame, row_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """(row_id, row_key, sources, size) of every row, written once, so that the passes of ``mix`` read no text.
+
+    ``row_key`` is a hash of id and text: rows with a null or repeated id are drawn apart unless they are equal.
+    """
+    key = F.xxhash64(F.col(row_id), F.col(text))
+    return stage(docs.select(row_id, key.alias("row_key"), F.array(source).alias("sources"), words_in(text).alias("size")))

@@ -50,8 +50,7 @@ def op5(spark, sf):
 
 @query("op4_source_mix")
 def op4(spark, sf):
-    docs = _table(spark, sf, "documents").select("doc_id", F.array("source").alias("sources"), mixing.words_in("text").alias("size"))
-    mixed = mixing.mix(docs, "sources", "size")
+    mixed = mixing.mix(mixing.document_sizes(_table(spark, sf, "documents")), "sources", "size", row_id="row_key")
     return mixed.select("doc_id", "size", F.col("source_size")[0].alias("source_size"), F.col("target")[0].alias("target"), "taken")
 
 

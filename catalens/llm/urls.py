@@ -8,6 +8,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalens.staging import stage
+
 #: Fixed values: (verdict, host and path) of the listed rules.
 RULES = (
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
@@ -37,26 +39,28 @@ def listed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] = R
 
 
 def tokens(host: Column, path: Column) -> Column:
-    """Distinct tokens of a url: its host's labels (``h:``), the two last together, and the path's words without digits (``p:``)."""
+    """Distinct tokens of a url: its host's labels (``h:``), the two last together, and the path's words but those of digits alone (``p:``)."""
     labels = F.filter(F.split(host, r"\."), lambda x: x != "")
     site = F.when(F.size(labels) > 1, F.concat(F.lit("s:"), F.array_join(F.slice(labels, -2, 2), ".")))
-    words = F.filter(F.split(F.translate(path, UPPER, LOWER), r"[^\p{L}\p{Nd}]+"), lambda x: (x != "") & ~x.rlike(r"\p{Nd}"))
+    words = F.filter(F.split(F.translate(path, UPPER, LOWER), r"[^\p{L}\p{Nd}]+"), lambda x: (x != "") & ~x.rlike(r"^\p{Nd}+$"))
     tagged = F.concat(F.transform(labels, lambda x: F.concat(F.lit("h:"), x)), F.transform(words, lambda x: F.concat(F.lit("p:"), x)), F.array(site))
     return F.array_distinct(F.filter(tagged, lambda x: x.isNotNull() & ~F.contains(x, F.lit("="))))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.001, min_confidence: float = 0.6, min_lift: float = 1.1) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = 0.001, min_confidence: float = 0.6, min_lift: float = 1.1, min_rows: int = 5) -> DataFrame:
     """(antecedent array, verdict, confidence, support): rules of token combinations for a class.
 
     ``labelled``: (tokens array, verdict) of every labelled url. FP-growth counts all of them. Rules for a
-    class stay above the confidence, the support and the lift; one that holds all tokens of a shorter rule
+    class stay above the confidence, the support and the lift, and rest on ``min_rows`` labelled urls at least; one that holds all tokens of a shorter rule
     for the same class without being surer says nothing new and goes.
     """
-    items = labelled.select(F.array_union("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+    items = stage(labelled.select(F.array_union("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items")))
+    n = items.count()
+    floor = (min_rows - 0.5) / max(n, 1)
     # tokens rarer than the support can be in no rule: transactions shrink before they are shuffled
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, floor)), minConfidence=min_confidence).fit(items)
     rules = model.associationRules.filter(
-        F.col("consequent")[0].isin(ALLOW, BLOCK) & (F.col("lift") >= min_lift) & ~F.arrays_overlap("antecedent", F.array(F.lit(ALLOW), F.lit(BLOCK)))
+        F.col("consequent")[0].isin(ALLOW, BLOCK) & (F.col("lift") >= min_lift) & (F.col("support") > floor) & ~F.arrays_overlap("antecedent", F.array(F.lit(ALLOW), F.lit(BLOCK)))
     ).select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 2, 9).alias("verdict"), "confidence", "support")
     short = rules.select(F.col("antecedent").alias("short"), F.col("verdict").alias("short_verdict"), F.col("confidence").alias("short_confidence"))
     # an antecedent's subsets are among the rules that share its first or another token: an inverted index again

@@ -197,7 +197,7 @@ def test_mined_rules_and_matches_equal_brute_force(spark):
         bad = ("a" in ts and "b" in ts and rng.random() < 0.9) or rng.random() < 0.1
         rows.append((ts, "block" if bad else "allow"))
     frame = spark.createDataFrame(rows, "tokens array<string>, verdict string")
-    rules = urls.mine(frame, 0.01, 0.6, 1.1)
+    rules = urls.mine(frame, 0.01, 0.6, 1.1, min_rows=1)
     got = rules.collect()
     want = {x for x in rules_by_hand(rows, 0.01, 0.6, 1.1) if len(x[0]) <= 3}
     assert {(tuple(r.antecedent), r.verdict) for r in got} == want and want
@@ -208,8 +208,59 @@ def test_mined_rules_and_matches_equal_brute_force(spark):
         assert found.get(i) == (max(fit)[2:] if fit else None)
 
 
+def test_rules_rest_on_several_urls_and_keep_words_with_digits(spark):
+    rows = [(["p:bet365"], "block")] * 5 + [(["p:win88"], "block")] * 4 + [(["p:blog"], "allow")] * 40
+    found = {(tuple(r.antecedent), r.verdict) for r in urls.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()}
+    assert found == {(("p:bet365",), "block"), (("p:blog",), "allow")}
+    few = spark.createDataFrame(rows[:4], "tokens array<string>, verdict string")
+    assert urls.mine(few).count() == 0 and urls.mine(few.limit(0)).count() == 0
+    asked = spark.createDataFrame([("a.net", "/BET365/7/x-2024.html")], "host string, path string")
+    assert set(asked.select(urls.tokens(F.col("host"), F.col("path")).alias("t")).first().t) == {"h:a", "h:net", "s:a.net", "p:bet365", "p:x", "p:html"}
+
+
 # --- mixing
 
+def least_cost(capacity, quota, epochs):
+    """(tokens left short, cost) of the best plan, by trying them all."""
+    patterns, best = list(capacity), None
+    shares = [list(product(*[range(quota[s] + 1) for s in p])) for p in patterns]
+    for plan in product(*shares):
+        if any(sum(a) > epochs * capacity[p] for p, a in zip(patterns, plan)):
+            continue
+        got = Counter()
+        for p, a in zip(patterns, plan):
+            got.update(dict(zip(p, a)))
+        if any(got[s] > quota[s] for s in quota):
+            continue
+        cost = sum(max(0, min(sum(a) - level * capacity[p], capacity[p])) * level for p, a in zip(patterns, plan) for level in range(epochs))
+        found = sum(quota.values()) - sum(got.values()), cost
+        best = found if best is None else min(best, found)
+    return best
+
+
+def test_flow_equals_the_best_of_all_plans():
+    rng = random.Random(8)
+    for _ in range(60):
+        patterns = rng.sample([("a",), ("b",), ("a", "b"), ("a", "c"), ("c",)], 3)
+        capacity = {p: rng.randrange(0, 3) for p in patterns}
+        quota = {s: rng.randrange(0, 5) for s in sorted({s for p in patterns for s in p})}
+        flow = mixing.min_cost_flow(capacity, quota, 3)
+        got = sum(quota.values()) - sum(flow.values()), sum(level * v for (_, level, _), v in flow.items())
+        assert got == least_cost(capacity, quota, 3)
+
+
+def test_null_and_repeated_ids_are_drawn_apart(spark):
+    rows = [(None, "x", f"{i} " + "w " * 9) for i in range(300)] + [(7, "y", f"{i} " + "w " * 9) for i in range(300)]
+    rows += [(i, "z", "") for i in range(5)] + [(8, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(mixing.document_sizes(docs), "sources", "size", row_id="row_key").collect()
+    taken = Counter()
+    for r in got:
+        taken[r.sources[0]] += r.taken
+        assert r.taken <= 3 * r["size"]
+    assert len(got) == len(rows) and abs(taken["x"] - 2000) <= 10 and abs(taken["y"] - 4000) <= 10 and taken["z"] == taken[None] == 0
+
+
 def test_targets_share_the_excess_until_none_is_above():
     sizes = {"a": 10, "b": 100, "c": 1000}
     t = mixing.targets(sizes, {"a": 3, "b": 2, "c": 1})
