@@ -40,25 +40,40 @@ def _long(row: DataFrame, entries: list[tuple[str, str, Column]]) -> DataFrame:
     )
 
 
-def quality_report(cleaned: DataFrame, source: DataFrame | None = None, cutoff: str | None = None) -> DataFrame:
+def table_figures(cleaned: DataFrame) -> dict[str, Column]:
+    """The report's counts and extremes of a cleaned table: aggregates of one pass, which a write can observe."""
+    parts = {"rows": F.count("*")} | {f"null_{c}": F.count_if(F.col(c).isNull()) for c in cleaned.columns}
+    for c in MEASURES:
+        if c in cleaned.columns:
+            parts |= {f"min_{c}": F.min(number_column(cleaned, c)), f"max_{c}": F.max(number_column(cleaned, c))}
+    if "release_date" in cleaned.columns:
+        day = day_column(cleaned, "release_date")
+        parts |= {"first_day": F.min(day), "last_day": F.max(day)}
+    return parts
+
+
+def _known_row(cleaned: DataFrame, figures: dict[str, object]) -> DataFrame:
+    """Figures at hand as a one-row frame of the types that the aggregates have."""
+    kinds = cleaned.agg(*[c.alias(n) for n, c in table_figures(cleaned).items()]).schema
+    return cleaned.sparkSession.range(1).select(*[F.lit(figures[f.name]).cast(f.dataType).alias(f.name) for f in kinds])
+
+
+def quality_report(
+    cleaned: DataFrame, source: DataFrame | None = None, cutoff: str | None = None, figures: dict[str, object] | None = None
+) -> DataFrame:
     """Long table (column, metric, value as text): rows, nulls per column, distinct categories, date
     ranges of source and cleaned table, min/median/max of the measures.
 
-    One wide aggregate per table, one pass for the medians."""
+    One wide aggregate per table, one pass for the medians. ``figures``: the values of ``table_figures`` where
+    the write of the table observed them; the wide aggregate is then spared."""
     measures = [c for c in MEASURES if c in cleaned.columns]
-    parts = [F.count("*").alias("rows")]
-    for c in cleaned.columns:
-        parts.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
-    for c in measures:
-        parts += [F.min(number_column(cleaned, c)).alias(f"min_{c}"), F.max(number_column(cleaned, c)).alias(f"max_{c}")]
     entries: list[tuple[str, str, Column]] = [("*", "clean_rows", F.col("rows"))]
     entries += [(c, "missing", F.col(f"null_{c}")) for c in cleaned.columns]
     entries += [(c, m, F.bround(F.col(f"{m}_{c}"), 2)) for c in measures for m in ("min", "max")]
     if "release_date" in cleaned.columns:
-        day = day_column(cleaned, "release_date")
-        parts += [F.min(day).alias("first_day"), F.max(day).alias("last_day")]
         entries += [("release_date", "cleaned_start", F.col("first_day")), ("release_date", "cleaned_end", F.col("last_day"))]
-    report = _long(cleaned.agg(*parts), entries)
+    counted = _known_row(cleaned, figures) if figures else cleaned.agg(*[c.alias(n) for n, c in table_figures(cleaned).items()])
+    report = _long(counted, entries)
     if "primary_genre" in cleaned.columns:
         kinds = cleaned.select("primary_genre").distinct().agg(F.count("primary_genre").alias("n"))
         report = report.unionByName(_long(kinds, [("primary_genre", "distinct", F.col("n"))]))
@@ -85,6 +100,16 @@ def quality_report(cleaned: DataFrame, source: DataFrame | None = None, cutoff:
     return report
 
 
+def part_fingerprints(df: DataFrame, part: str) -> DataFrame:
+    """(part, rows, fingerprint): what the rows of each part hold in all columns, whatever their order.
+
+    A null cell differs from an empty one by its place in the hashed text of the row."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in sorted(df.columns) if c != part]
+    return df.groupBy(F.col(part).cast("string").alias("part")).agg(
+        F.count("*").alias("rows"), F.sum(F.xxhash64(*cells).cast("decimal(20,0)")).cast("string").alias("fingerprint")
+    )
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row (row_count, columns, fingerprint): independent of row order and partitioning.
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from catalens.operators import dedup, imputation, quality
 from catalens.operators.sequence import reindex_ids
 from catalens.roles import CLEANED_COLUMNS, DEFAULT_CUTOFF, OBSERVED, TEXT_DEFAULTS, TEXTS
 from catalens.sources import tables
-from catalens.staging import stage
+from catalens.staging import observed_write, stage_counted
 
 # Sources a text column is completed from.
 COALESCED = {
@@ -109,26 +109,43 @@ def _long(row: DataFrame, names: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*pairs)))
 
 
-def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source: bool, unicode: bool) -> Cleaned:
+REMOVED = {
+    "rows_removed_missing_title": "missing_title", "rows_removed_invalid_release_date": "invalid_date",
+    "rows_removed_after_dataset_cutoff": "after_cutoff",
+}
+
+
+def loaded_figures() -> dict[str, Column]:
+    """Counts of tagged rows by the reason they go."""
+    figures = {"rows_loaded": F.count("*"), "kept": F.count_if(F.col("_gone").isNull())}
+    return figures | {name: F.count_if(F.col("_gone") == reason) for name, reason in REMOVED.items()}
+
+
+def tag_rows(parsed: DataFrame, cutoff: str, preserve_flags: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Typed rows, each by itself: day, why it goes (``_gone``), observed flags, invalid measures as null."""
     if "release_date" not in parsed.columns:
         raise KeyError("a 'release_date' column is needed")
     tagged = parsed.withColumn("release_date", day_column(parsed, "release_date"))
     tagged = tagged.withColumn("_gone", _removal_reason(tagged, cutoff))
     tagged = imputation.invalid_to_null(imputation.observed_flags(tagged, preserve_flags))
     kept_columns = [c for c in CLEANED_COLUMNS if c in tagged.columns and c != "year"]
-    tagged = stage(tagged.select(*kept_columns, "_gone"))  # parsing happens once; later passes read columns
-    loaded = tagged.agg(
-        F.count("*").alias("rows_loaded"),
-        F.count_if(F.col("_gone") == "missing_title").alias("rows_removed_missing_title"),
-        F.count_if(F.col("_gone") == "invalid_date").alias("rows_removed_invalid_release_date"),
-        F.count_if(F.col("_gone") == "after_cutoff").alias("rows_removed_after_dataset_cutoff"),
-        F.count_if(F.col("_gone").isNull()).alias("kept"),
-    )
+    return tagged.select(*carried, *kept_columns, "_gone")
+
+
+def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source: bool, unicode: bool) -> Cleaned:
+    # parsing happens once; later passes read columns, and the counts come with the write
+    tagged, loaded = stage_counted(tag_rows(parsed, cutoff, preserve_flags), loaded_figures())
+    return clean_tagged(tagged, loaded, keep_source, unicode)
+
+
+def clean_tagged(tagged: DataFrame, loaded: dict[str, int], keep_source: bool = False, unicode: bool = True) -> Cleaned:
+    """What depends on all rows: imputation, duplicates, titles, numbers. ``loaded``: ``loaded_figures`` of the rows."""
     dated = tagged.filter(F.col("_gone").isNull()).drop("_gone").withColumn("year", F.year("release_date"))
     measured = imputation.impute_measures(dated)
     ranked = dedup.rank_rows(dedup.with_signature(measured, unicode))  # one ranking for all that follows
     by_id = dedup.deduplicate_ids(ranked) if "id" in ranked.columns else ranked
-    signed = stage(dedup.deduplicate_signatures(by_id))
+    unique = dedup.deduplicate_signatures(by_id)
+    signed, final = stage_counted(unique, {"rows": F.count("*"), "gaps": _text_gaps(unique)})
     ids = dated.select("id").distinct() if "id" in dated.columns else dated.select(F.lit(1))
 
     def numbered() -> DataFrame:
@@ -142,16 +159,15 @@ def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source:
         order = [F.col("release_date"), F.col("title"), F.col("source_id"), dedup.row_hash(output)]
         return reindex_ids(output, order)
 
-    first = loaded.withColumn("id_rows", ids.agg(F.count("*")).scalar()).withColumn(
-        "final", signed.agg(F.struct(F.count("*").alias("rows"), _text_gaps(signed).alias("gaps"))).scalar()
-    ).withColumn("title_collisions_disambiguated", dedup.collision_groups(signed).agg(F.count("*")).scalar())
-    counted = first.withColumns(
+    counts = ids.agg(F.count("*").alias("id_rows")).withColumn(
+        "title_collisions_disambiguated", dedup.collision_groups(signed).agg(F.count("*")).scalar()
+    )
+    known = {**loaded, "rows_after_cleaning": final["rows"], "text_fields_filled": final["gaps"]}
+    counted = counts.withColumns({n: F.lit(v) for n, v in known.items()}).withColumns(
         {
-            "rows_after_cleaning": F.col("final.rows"),
-            "text_fields_filled": F.col("final.gaps"),
             "source_duplicates_removed": F.col("kept") - F.col("id_rows"),
-            "title_duplicates_removed": F.col("id_rows") - F.col("final.rows"),
-            "duplicates_removed": F.col("kept") - F.col("final.rows"),
+            "title_duplicates_removed": F.col("id_rows") - F.col("rows_after_cleaning"),
+            "duplicates_removed": F.col("kept") - F.col("rows_after_cleaning"),
         }
     )
     metrics = _long(
@@ -167,10 +183,15 @@ def _pipeline(parsed: DataFrame, cutoff: str, preserve_flags: bool, keep_source:
 
 def clean_catalog(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, unicode: bool = True) -> Cleaned:
     """Clean a raw or partly cleaned table."""
+    return _pipeline(parse_raw(df), cutoff, preserve_flags=False, keep_source=False, unicode=unicode)
+
+
+def parse_raw(df: DataFrame) -> DataFrame:
+    """Lists, texts and ids of raw rows, each row by itself."""
     parsed = title_identity(prepare_texts(df))
     if "id" in parsed.columns:
         parsed = parsed.withColumn("id", identifier_column(parsed))
-    return _pipeline(parsed.drop("source_id"), cutoff, preserve_flags=False, keep_source=False, unicode=unicode)
+    return parsed.drop("source_id")
 
 
 def reclean_catalog(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, unicode: bool = True) -> Cleaned:
@@ -251,9 +272,20 @@ def prepare_catalog(
         result = clean_catalog(source, cutoff, unicode)
     if merge is not None:
         result.metrics = result.metrics.unionByName(merge)
-    result.report = quality.quality_report(result.table, source, cutoff)
-    if export_path:
-        tables.write_cleaned(result.table, export_path, export_format)
+    if not export_path:
+        result.report = quality.quality_report(result.table, source, cutoff)
+        return result
+    # the report's counts come with the export, its medians from the columns that it wrote
+    made, figures = result.table, quality.table_figures(result.table)
+    if export_format == "parquet":
+        got = observed_write(made, figures, lambda rows: tables.write_cleaned(rows, export_path))
+        result.make_table = lambda: spark.read.schema(made.schema).parquet(export_path)
+    else:
+        staged, got = stage_counted(made, figures)
+        tables.write_cleaned(staged, export_path, export_format)
+        result.make_table = lambda: staged
+    del result.table  # the cached one; the next look reads what was written
+    result.report = quality.quality_report(result.table, source, cutoff, got)
     return result
 
 

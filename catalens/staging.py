@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +30,28 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed_write(df: DataFrame, figures: dict[str, Column], write: Callable[[DataFrame], None]) -> dict[str, object] | None:
+    """Aggregates of the rows that ``write`` writes, taken in the same pass; None where Spark reported none.
+
+    The observation is the last step before the write, so it lies in the stage that writes: rows of a task that
+    is tried again count once. Counts, sums, minima and maxima, but no distinct aggregates.
+    """
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(n) for n, c in figures.items()]))
+    got = seen.get
+    return got if got and set(figures) <= set(got) else None
+
+
+def stage_counted(df: DataFrame, figures: dict[str, Column]) -> tuple[DataFrame, dict[str, object]]:
+    """``stage(df)`` and aggregates of its rows from the pass that writes it.
+
+    An input that Spark finds empty while it runs may report nothing; the figures are then read from the staged table.
+    """
+    made: list[DataFrame] = []
+    got = observed_write(df, figures, lambda rows: made.append(stage(rows)))
+    return made[0], got if got is not None else made[0].agg(*[c.alias(n) for n, c in figures.items()]).first().asDict()
+
+
 def new_folder(spark: SparkSession) -> str:
     """A folder of its own beside the staged tables, deleted with them."""
     path = f"{shared_folder(spark)}/catalens-stage/{uuid.uuid4().hex}"
