@@ -15,7 +15,7 @@ from catalens.plans.forecasting import (
 )
 from catalens.roles import DEFAULT_CUTOFF
 from catalens.sources.events import read_events
-from catalens.sources.results import matches, read_forecast, read_frames, run_key, write_forecast, write_frames
+from catalens.sources.results import read_forecast, read_frames, run_key, write_forecast, write_frames
 
 CHART_YEARS = (2003, 2017)  # fixed value: validation years of the forecast charts
 
@@ -78,14 +78,14 @@ def run_forecast(
         {"cutoff": cutoff, "year": validation_year, "min_train_rows": min_train_rows, "alpha": alpha, "model": model_name,
          "forest": sorted((forest_options or {}).items())},
     )
-    saved = read_forecast(catalog.sparkSession, folder, validation_year)
-    if saved.error is None and matches(saved.overview, key):
+    saved = read_forecast(catalog.sparkSession, folder, validation_year, key)
+    if saved.error is None:
         return saved
     result = evaluate_holdout(catalog, validation_year, min_train_rows, alpha, model_name, cutoff, forest_options=forest_options, unique_ids=unique_ids)
     if result.error:
         return result
     write_forecast(result, folder, validation_year, key)
-    return read_forecast(catalog.sparkSession, folder, validation_year)
+    return read_forecast(catalog.sparkSession, folder, validation_year, key)
 
 
 def run_report(

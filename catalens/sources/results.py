@@ -1,4 +1,4 @@
-"""Saved forecast results, and their reuse when data and parameters are unchanged."""
+"""Saved forecast results in versions, and their reuse when data and parameters are unchanged."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalens.operators.quality import fingerprint
-from catalens.sources.tables import delete, exists
+from catalens.sources.tables import exists
+from catalens.sources.versions import find_version, read_version, write_version
 
 _PARTS = ("overview", "summary_by_genre", "predictions")
 
@@ -19,32 +20,24 @@ def run_key(df: DataFrame, parameters: dict[str, object]) -> dict[str, str]:
 
 
 def write_forecast(result, folder: str, validation_year: int, key: dict[str, str] | None = None) -> dict[str, str]:
-    """Write summary and predictions as Parquet and the one-row overview as JSON, one folder per year.
-
-    The overview, which holds the key, goes first when a folder is written anew and comes last: a run that
-    breaks off in between leaves no overview, so what it left is not taken for a saved result.
-    """
+    """Write overview (with the key), summary and predictions as a new version of their year; paths by table."""
     root = f"{folder}/validation_year={validation_year}"
     overview = result.overview.withColumns({k: F.lit(v) for k, v in (key or {}).items()})
-    delete(overview.sparkSession, f"{root}/overview")
-    result.summary_by_genre.write.mode("overwrite").parquet(f"{root}/summary_by_genre")
-    result.predictions.write.mode("overwrite").parquet(f"{root}/predictions")
-    overview.write.mode("overwrite").json(f"{root}/overview")
-    return {p: f"{root}/{p}" for p in _PARTS}
+    tables = dict(zip(_PARTS, (overview, result.summary_by_genre, result.predictions)))
+    made = write_version(overview.sparkSession, root, tables, key)
+    return {p: f"{root}/version={made.name}/{p}" for p in _PARTS}
 
 
-def read_forecast(spark: SparkSession, folder: str, validation_year: int):
-    """The three saved tables, or a result whose error names the missing ones."""
+def read_forecast(spark: SparkSession, folder: str, validation_year: int, key: dict[str, str] | None = None):
+    """The three tables of the latest version (of those saved with ``key``, if given), or a result that holds an error."""
     from catalens.plans.forecasting import Forecast
 
     root = f"{folder}/validation_year={validation_year}"
-    missing = [p for p in _PARTS if not exists(spark, f"{root}/{p}/_SUCCESS")]
-    if missing:
-        return Forecast(error=f"not saved or missing: {', '.join(missing)}")
-    return Forecast(
-        spark.read.json(f"{root}/overview"), spark.read.parquet(f"{root}/summary_by_genre"),
-        spark.read.parquet(f"{root}/predictions"), years=[validation_year],
-    )
+    found = find_version(spark, root, key)
+    if found is None:
+        return Forecast(error=f"not saved or missing: validation year {validation_year}")
+    saved = read_version(spark, root, found)
+    return Forecast(*[saved[p] for p in _PARTS], years=[validation_year])
 
 
 def matches(overview: DataFrame, key: dict[str, str]) -> bool:

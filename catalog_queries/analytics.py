@@ -10,13 +10,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from catalens.functions import scalars
-from catalens.operators import charts, dedup, imputation, levels, oplog, quality, selection, sequence, summaries, trends
+from catalens.operators import charts, dedup, imputation, levels, oplog, quality, selection, sequence, sketches, summaries, trends
 from catalens.operators.quantiles import exact_quantiles
 from catalens.plans import profile as profiles
-from catalens.plans import cleaning, exploration, reports
-from catalens.sources import tables
+from catalens.plans import cleaning, exploration, incremental, reports
+from catalens.sources import tables, versions
 from catalens.sources.events import parse_events
-from catalens.staging import shared_folder, stage
+from catalens.staging import new_folder, shared_folder, stage
 from catalog_queries.registry import query
 from catalog_queries.views import CUTOFF, PARTS_SQL, event_log, order_catalog, part_catalog, rounded, table, with_catalog
 
@@ -228,6 +228,36 @@ def quantiles(spark, sf):
     return rounded(out, 4, "value").select("primary_genre", "measure", "probability", "n", "value")
 
 
+_SKETCH_YEARS = (1994, 1996, 1998, 2000, 2001)
+
+
+@query(
+    "g20_quantile_sketches",
+    with_catalog("""SELECT primary_genre, f.fold, measure, p.probability, CAST(count(v) AS BIGINT) AS n, TRUE AS within_bound
+    FROM (SELECT primary_genre, year, 'budget' AS measure, budget AS v FROM catalog UNION ALL SELECT primary_genre, year, 'revenue', revenue FROM catalog) AS x
+    JOIN (SELECT CAST(unnest([1994, 1996, 1998, 2000, 2001]) AS INTEGER) AS fold) AS f ON x.year < f.fold
+    CROSS JOIN (SELECT CAST(unnest([0.1, 0.5, 0.9]) AS DOUBLE) AS probability) AS p GROUP BY ALL HAVING count(v) > 0"""),
+)
+def quantile_sketches_of_folds(spark, sf):
+    """Quantiles of all rows before each fold from one sketch per category and year; whether their ranks keep three times the stated error."""
+    rows = stage(order_catalog(spark, sf, "primary_genre", "year", "budget", "revenue"))
+    yearly = stage(sketches.quantile_sketches(rows, ["primary_genre", "year"], {"budget": "budget", "revenue": "revenue"}))
+    grown = sketches.growing_sketches(yearly, ["primary_genre"], "year", "fold", _SKETCH_YEARS)
+    asked = stage(sketches.sketched_quantiles(grown, (0.1, 0.5, 0.9)))
+    long = rows.select(
+        F.col("primary_genre").alias("g"), F.col("year").alias("y"),
+        F.inline(F.array(F.struct(F.lit("budget").alias("m"), F.col("budget").alias("v")), F.struct(F.lit("revenue").alias("m"), F.col("revenue").alias("v")))),
+    ).filter("v is not null")
+    met = long.join(asked, F.col("g").eqNullSafe(F.col("primary_genre")) & (F.col("m") == F.col("measure")) & (F.col("y") < F.col("fold")))
+    placed = met.groupBy("primary_genre", "fold", "measure", "probability", "n").agg(
+        F.count_if(F.col("v") < F.col("value")).alias("below"), F.count_if(F.col("v") <= F.col("value")).alias("upto"), F.count("*").alias("counted")
+    )
+    slack = F.lit(3 * sketches.rank_error()) * F.col("n") + 1
+    wanted = F.col("probability") * F.col("n")
+    good = (F.col("below") - slack <= wanted) & (wanted <= F.col("upto") + slack) & (F.col("counted") == F.col("n"))
+    return placed.select("primary_genre", "fold", "measure", "probability", "n", good.alias("within_bound"))
+
+
 @query(
     "g21_conditional_shares",
     with_catalog("""SELECT round(median(budget), 2) AS median_budget, round(median(runtime), 2) AS median_runtime, (SELECT list(primary_genre ORDER BY n DESC, primary_genre)[1:3] FROM (SELECT primary_genre, count(*) AS n FROM catalog WHERE revenue >= 200000 GROUP BY 1)) AS top_genres,
@@ -433,6 +463,68 @@ def reclean(spark, sf):
     )
 
 
+def _deliveries(spark, sf):
+    # the raw parts with the brand as the delivery that a row came with
+    brand = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_brand").alias("delivery"))
+    return _part_source(spark, sf).join(brand, "id")
+
+
+def _earlier(rows):
+    """The source some time ago: a delivery was not there yet, another one was corrected since, a third one is gone today."""
+    before = rows.filter("delivery <> 'Brand#3'").withColumn(
+        "vote_count", F.when(F.col("delivery") == "Brand#4", F.lit("1")).otherwise(F.col("vote_count"))
+    )
+    gone = rows.filter("delivery = 'Brand#5'").withColumns({"delivery": F.lit("Brand#0"), "title": F.concat("title", F.lit(" old"))})
+    return before.unionByName(gone)
+
+
+_CLEANED = (
+    "id", "source_id", "title", "original_title", "primary_genre", "revenue", "revenue_observed", "release_date", "year", "vote_count",
+    "popularity", "country", "language", "keyword",
+)
+
+
+@query(
+    "q2_incremental_clean",
+    f"""WITH {_SOURCE_SQL} SELECT row_number() OVER (ORDER BY release_date, new_title, id) AS id, id AS source_id, new_title AS title, original_title, genre AS primary_genre,
+    coalesce(revenue, m) AS revenue, revenue_observed, release_date, CAST(2000 AS INTEGER) AS year, vote_count, popularity, 'Unknown' AS country, original_language AS language, 'Unknown' AS keyword
+    FROM named JOIN med USING (genre)""",
+)
+def incremental_clean(spark, sf):
+    """An earlier state of the source is cleaned first; the second run parses what changed and equals a full one."""
+    rows, folder = _deliveries(spark, sf), new_folder(spark)
+    incremental.clean_changed(_earlier(rows), folder, "delivery", "2000-02-15")
+    return incremental.clean_changed(rows, folder, "delivery", "2000-02-15").cleaned.table.select(*_CLEANED)
+
+
+@query(
+    "q3_changed_parts",
+    """SELECT p_brand AS part, count(*) AS rows, CASE p_brand WHEN 'Brand#3' THEN 'new' WHEN 'Brand#4' THEN 'changed' ELSE 'same' END AS state FROM part GROUP BY p_brand
+    UNION ALL SELECT 'Brand#0', count(*), 'removed' FROM part WHERE p_brand = 'Brand#5'""",
+)
+def changed_parts(spark, sf):
+    rows, folder = _deliveries(spark, sf), new_folder(spark)
+    incremental.clean_changed(_earlier(rows), folder, "delivery", "2000-02-15")
+    return incremental.clean_changed(rows, folder, "delivery", "2000-02-15").parts
+
+
+@query(
+    "s6_s8_result_versions",
+    with_catalog("""SELECT 2 AS versions, 1 AS removed, year, count(title) AS movie_count, round(avg(vote_average), 4) AS avg_rating FROM catalog GROUP BY year"""),
+)
+def result_versions(spark, sf):
+    """Two runs save the yearly summary, the older one is removed; what a reader finds then is the newer one, whole."""
+    rows, folder = order_catalog(spark, sf, "title", "year", "vote_average", "revenue"), new_folder(spark)
+    for cutoff in (1995, 3000):
+        summary = summaries.yearly_summary(rows.filter(F.col("year") < cutoff), None, ordered=False)
+        versions.write_version(spark, folder, {"yearly": summary}, {"cutoff": str(cutoff)})
+    found = versions.versions(spark, folder).count()
+    removed = versions.remove_versions(spark, folder, keep=1)
+    latest = versions.find_version(spark, folder, {"cutoff": "3000"})
+    saved = versions.read_version(spark, folder, latest)["yearly"].select("year", "movie_count", F.round("avg_rating", 4).alias("avg_rating"))
+    return saved.select(F.lit(found).alias("versions"), F.lit(removed).alias("removed"), "*")
+
+
 @query("q4_filtered_exploration", with_catalog("""SELECT genre, movie_count, round(r, 4) AS avg_rating FROM (SELECT primary_genre AS genre, count(vote_average) AS movie_count, avg(vote_average) AS r FROM catalog
     WHERE year >= 1997 AND vote_average >= 5 AND contains(' ' || lower(replace(title, '#', ' ')) || ' ', ' customer ') GROUP BY primary_genre)"""))
 def filtered_exploration(spark, sf):
