@@ -52,19 +52,27 @@ def cosines_above(unit: np.ndarray, left: np.ndarray, right: np.ndarray, thresho
             yield int(rows[i]), right[near[i]]
 
 
-def _norm(v: Column) -> Column:
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+_EXTREME = 1e100  # beyond it, or below its inverse, squares may overflow or vanish
+
+
+def _cells(df: DataFrame, embedding: str) -> Column:
+    """The components in the type they are stored in if that is float, else as doubles; -0.0 counts as 0.0."""
+    kind = "float" if df.schema[embedding].dataType.elementType.typeName() == "float" else "double"
+    return F.transform(F.col(embedding), lambda x: F.when(x == 0, F.lit(0).cast(kind)).otherwise(x.cast(kind)))
 
 
 def _copies(df: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
-    """Distinct usable vectors of a label: (group, node, copies, embedding); -0.0 counts as 0.0."""
-    v = F.transform(F.col(embedding), lambda x: F.when(x == 0, 0.0).otherwise(x.cast("double")))
+    """Distinct usable vectors of a label: (label, v, node, copies, shrink, norm); the unit vector is v / shrink / norm."""
     usable = F.col(embedding).isNotNull() & F.col(label).isNotNull() & ~F.exists(
         F.col(embedding), lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
     )
-    rows = df.select(F.col(vec_id).alias("id"), F.col(label).alias("label"), v.alias("v"), usable.alias("ok")).filter("ok and id is not null")
-    rows = rows.withColumn("norm", _norm(F.col("v"))).filter("norm > 0 and norm < double('Infinity')")
-    return rows.groupBy("label", "v", "norm").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
+    rows = df.select(F.col(vec_id).alias("id"), F.col(label).alias("label"), _cells(df, embedding).alias("v"), usable.alias("ok")).filter("ok and id is not null")
+    rows = rows.groupBy("label", "v").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
+    top = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    rows = rows.withColumn("top", top).filter("top > 0")
+    rows = rows.withColumn("shrink", F.when((F.col("top") > _EXTREME) | (F.col("top") < 1 / _EXTREME), F.col("top")).otherwise(1.0)).drop("top")
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x.cast("double") / F.col("shrink")) * (x.cast("double") / F.col("shrink")))
+    return rows.withColumn("norm", F.sqrt(square))
 
 
 def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = 0.98, block_rows: int = 2048) -> DataFrame:
@@ -75,11 +83,14 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     zero, or hold a null or non-finite component, vectors without label, and rows without id link with
     nothing (component_id is their own id). Vectors of different length don't link. Equal vectors meet in a
     partial aggregate and are one node with a count; the rest of a label is compared in tiles of at most
-    two blocks, whatever its size. A tile returns link counts per vector and a spanning forest of its
-    links, never all pairs. Ids are taken as unique.
+    two blocks, whatever its size. Components travel as they are stored, floats as four bytes; a tile makes
+    unit vectors and codes of them. It returns link counts per vector and a spanning forest of its
+    links, never all pairs. Ids are taken as unique. Components may be as large or small as doubles are: where squares
+    would overflow or vanish, a vector is divided by its largest component first. Labels of another type than
+    integers raise a TypeError.
     """
     nodes = stage(_copies(df, vec_id, embedding, label).withColumn("size", F.size("v")))
-    tiles = tiled(nodes.select("label", "size", "node", "copies", F.transform("v", lambda x: x / F.col("norm")).alias("unit")), ["label", "size"], "node", block_rows)
+    tiles = tiled(nodes.select("label", "size", "node", "copies", "v", "shrink", "norm"), ["label", "size"], "node", block_rows)
     kinds = nodes.schema["label"].dataType.typeName()
     if kinds not in ("byte", "short", "integer", "long"):
         raise TypeError("labels are integers")
@@ -87,11 +98,13 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     def work(table: pa.Table, at: np.ndarray) -> pa.RecordBatch:
         ids, copies = table.column("node").to_numpy(), table.column("copies").to_numpy()
         block, ti, tj = (table.column(c).to_numpy() for c in ("block", "tile_i", "tile_j"))
-        lists = table.column("unit").combine_chunks()
+        lists = table.column("v").combine_chunks()
         values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        shrink, norm = table.column("shrink").to_numpy(), table.column("norm").to_numpy()
         out = []  # node, links counted here, other node of a forest link
         for lo, hi in zip(at[:-1], at[1:]):
-            unit = values[ends[lo] : ends[hi]].reshape(hi - lo, -1)
+            unit = values[ends[lo] : ends[hi]].reshape(hi - lo, -1).astype(np.float64)
+            unit = unit / shrink[lo:hi, None] / norm[lo:hi, None]
             one, two = sides(block[lo:hi], ti[lo], tj[lo])
             forest, links = Forest(hi - lo), np.zeros(hi - lo, dtype=np.int64)
             own = copies[lo:hi]
@@ -116,8 +129,7 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
         .select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
         .filter("n_links > 0")
     )
-    v = F.transform(F.col(embedding), lambda x: F.when(x == 0, 0.0).otherwise(x.cast("double")))
-    own = df.select(F.col(vec_id).alias("_id"), F.when(F.col(vec_id).isNotNull(), F.col(label)).alias("label"), v.alias("v"))
+    own = df.select(F.col(vec_id).alias("_id"), F.when(F.col(vec_id).isNotNull(), F.col(label)).alias("label"), _cells(df, embedding).alias("v"))
     joined = own.withColumn("_digest", F.xxhash64("v")).join(placed.withColumn("_digest", F.xxhash64("v")), ["_digest", "label", "v"], "left")
     component = F.coalesce("component_id", "_id")
     return joined.select(

@@ -165,3 +165,14 @@ def test_near_vectors_equal_brute_force(spark, block_rows):
     got = [tuple(r) for r in embeddings.near_vectors(df, block_rows=block_rows).collect()]
     assert len(got) == len(ids) and set(got) == want
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_near_vectors_of_extreme_components(spark, kind):
+    big, small = (1e200, 1e-200) if kind == "double" else (3e38, 1e-44)
+    rows = [(1, [big, big], 1), (2, [big, big], 1), (3, [1.0, 1.0], 1), (4, [small, small], 1), (5, [big, -big], 1), (6, [small, 0.0], 1), (7, [-0.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (0, 6), 7: (0, 7)}
+    with pytest.raises(TypeError):
+        embeddings.near_vectors(df.withColumn("label", df.label.cast("string")))
