@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalens.llm.ranges import id_cuts
 from catalens.staging import shared_folder, stage
 
 #: The white space that does not count at the ends of a line, and the letters without case.
@@ -88,7 +89,7 @@ def dropped_lines(df: DataFrame, row_id: str = "doc_id", text: str = "text", bat
     points or more is kept where the smallest row id holds it and lost elsewhere. Rows of a null id count
     as larger than all others and lose every key another row id holds, the same as one row; rows that
     repeat an id are one holder. ``batches``: the table is added to the runs in that many steps of
-    ascending row id (a corpus that grows would add each delivery as one).
+    ascending row id (a corpus that grows would add each delivery as one). Ids may be of any type that Spark can order.
     """
     spark = df.sparkSession
     keys = F.transform(_lines(F.col(text)), lambda line: _hash(line_key(line)))
@@ -98,7 +99,7 @@ def dropped_lines(df: DataFrame, row_id: str = "doc_id", text: str = "text", bat
         .select("row", "k.h1", "k.h2")
     )
     shares = [i / batches for i in range(1, batches)]
-    cuts = sorted({int(c) for c in held.filter("row is not null").approxQuantile("row", shares, 0.01)}) if shares else []
+    cuts = id_cuts(held, "row", shares, 0.01)
     runs, row = LineRuns(spark, fan_in), F.col("row")
     if not cuts:
         runs.add(held.filter(row.isNotNull()))

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.ranges import id_cuts
 from catalens.llm.tasks import map_batches
 
 K, TUPLE, SKETCHES = 8, 2, 64
@@ -116,8 +117,8 @@ def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next
     row's text, or all of it, in ascending ``row_id`` (after the last row: the first one's). Ids are taken
-    as unique; rows that repeat an id are put in the order of their text's hash, null ids come first. An
-    empty table gives an empty result.
+    as unique, of any type that Spark can order; rows that repeat an id are put in the order of their text's hash,
+    null ids come first. An empty table gives an empty result.
 
     Each part of the id order is one sorted group of ``part_rows`` rows or more that a task reads as a stream;
     the first row of a part is copied to the end of the part before it, so a text is shuffled once.
@@ -129,8 +130,7 @@ def fingerprints_with_edits(df: DataFrame, row_id: str = "doc_id", text: str = "
     ids = own.select("_id").filter("_id is not null")
     # a part is read as a stream, so its size is free: no more parts than the cluster's partitions can use
     parts = max(1, min(-(-rows // part_rows), 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    cuts = sorted(set(ids.stat.approxQuantile("_id", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
-    cuts = [int(c) for c in cuts]
+    cuts = id_cuts(ids, "_id", [i / parts for i in range(1, parts)], 0.1 / parts)
     part = F.lit(0)
     if cuts:  # how many cuts lie below the id: first among every 64th, then among the next 64
         def below(some) -> F.Column:

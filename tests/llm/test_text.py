@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from catalens.llm import licenses, lines, orderminhash, pieces
 
@@ -250,3 +251,14 @@ def test_long_chunks_are_drawn_as_short_ones(monkeypatch):
     assert np.array_equal(cut, ends) and np.array_equal(got, ids)
     for t, a, b in zip(texts, ends[:-1], ends[1:]):
         assert pieces.decode(model, ids[a:b].tolist()) == t
+
+
+def test_ids_of_text_give_the_result_of_numbers(spark):
+    base = ["a line that repeats itself", "short", "another line of this text"]
+    rows = [(i, "\n".join([base[i % 3], f"own line of row {i % 7}", base[0]]) if i else None) for i in range(40)]
+    numbers = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = numbers.withColumn("doc_id", F.format_string("%04d", "doc_id"))
+    for made in (lines.dedup_lines, lambda df: orderminhash.fingerprints_with_edits(df, part_rows=8)):
+        want = {f"{r.doc_id:04d}": tuple(r[1:]) for r in made(numbers).collect()}
+        assert {r.doc_id: tuple(r[1:]) for r in made(texts).collect()} == want and len(want) == 40
+        assert made(texts.filter("doc_id < '0'")).count() == 0
