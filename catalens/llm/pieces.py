@@ -16,6 +16,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,9 +109,10 @@ def _bounds(to: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Segmenter:
     """Samples segmentations of many texts at a time; one per task, with the lattices of frequent chunks."""
 
-    def __init__(self, pieces: Pieces):
+    def __init__(self, pieces: Pieces, cache_bytes: int | None = None):
         import ahocorasick
 
+        self.cache_bytes = cache_bytes
         self.pieces, self.n = pieces, len(pieces.text)
         self.automaton = ahocorasick.Automaton()
         for i in np.flatnonzero(pieces.usable):
@@ -143,6 +145,9 @@ class Segmenter:
         arrays = (self.first, self.cum, self.piece, self.begin, self.end, self.edge_end, self.hits)
         return sum(a.nbytes for a in arrays) + _CHUNK_BYTES * len(self.known)
 
+    def _bound(self) -> int:
+        return _CACHE_BYTES if self.cache_bytes is None else self.cache_bytes
+
     def _trim(self) -> None:
         """Keep the chunks met most often, up to a third of the bound."""
         n = len(self.known)
@@ -151,7 +156,7 @@ class Segmenter:
         edges = self.edge_end[:n] - lo
         order = np.argsort(-self.hits[:n], kind="stable")
         size = np.cumsum(_CHUNK_BYTES + 16 + 4 * nodes[order].astype(np.int64) + 8 * edges[order])
-        kept = np.sort(order[size <= _CACHE_BYTES // 3])
+        kept = np.sort(order[size <= self._bound() // 3])
         nodes, edges, lo = nodes[kept].astype(np.int64), edges[kept].astype(np.int64), lo[kept].astype(np.int64)
         new_begin, new_lo = np.cumsum(nodes) - nodes, np.cumsum(edges) - edges
         node_at = np.repeat(self.begin[kept] - new_begin, nodes) + np.arange(nodes.sum())
@@ -239,7 +244,7 @@ class Segmenter:
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets). A text's ids depend on the text, its seed and the model alone."""
-        if self.cached_bytes() > _CACHE_BYTES:
+        if self.cached_bytes() > self._bound():
             self._trim()
         split = [
             self.chunks.findall(SPACE + t.replace(SPACE, _OWN_SPACE).replace(" ", SPACE)) if t else [] for t in texts
@@ -376,16 +381,16 @@ def decode(pieces: Pieces, ids) -> str:
     return b"".join([raw[i] for i in ids]).decode()[1:]
 
 
-def _blocks(texts: list[str]):
+def _blocks(sizes: list[int]):
     """Runs of texts of about ``_BLOCK_CHARS`` characters."""
     lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, n in enumerate(sizes):
+        size += n
         if size >= _BLOCK_CHARS:
             yield lo, i + 1
             lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
 def load(path: str, alpha: float = 0.5) -> Pieces:
@@ -393,14 +398,15 @@ def load(path: str, alpha: float = 0.5) -> Pieces:
         return Pieces.load(f.read(), alpha)
 
 
-def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "text", alpha: float = 0.5, seed: int = 0, with_decoded: bool = False) -> DataFrame:
+def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "text", alpha: float = 0.5, seed: int = 0, with_decoded: bool = False, cache_bytes: int | None = None) -> DataFrame:
     """(row_id, ids array<int>): a sampled segmentation of each row, seeded by its id.
 
     ``with_decoded`` adds ``decoded``, the text that the ids give, for a check of the round trip.
 
     Equal ids and texts give equal segmentations, wherever and whenever they run. A null text has null ids,
     an empty one none; a null id has a seed of its own. Rows that repeat repeat their result. Long texts
-    are whole; their chunks are segmented about half a million characters at a time.
+    are whole; their chunks are segmented about half a million characters at a time, and no more texts are unpacked
+    at once. ``cache_bytes`` bounds the lattices a worker keeps (120 MB unless given); results do not depend on it.
     """
     spark = df.sparkSession
     model = spark.sparkContext.broadcast((load(model_path, alpha), uuid.uuid4().hex))  # a vocabulary, read on the driver
@@ -412,14 +418,13 @@ def encode(df: DataFrame, model_path: str, row_id: str = "doc_id", text: str = "
         segment = _SEGMENTERS.get(name)
         if segment is None:
             _SEGMENTERS.clear()
-            segment = _SEGMENTERS[name] = Segmenter(loaded)
+            segment = _SEGMENTERS[name] = Segmenter(loaded, cache_bytes)
         for b in batches:
-            texts = b.column(2).to_pylist()
-            whole = [t or "" for t in texts]
             seeds = b.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi in _blocks(whole):
-                ids, ends = segment.encode(whole[lo:hi], seeds[lo:hi])
-                none = np.array([t is None for t in texts[lo:hi]] + [False])
+            for lo, hi in _blocks(pc.fill_null(pc.utf8_length(b.column(2)), 0).to_pylist()):
+                texts = b.column(2).slice(lo, hi - lo).to_pylist()
+                ids, ends = segment.encode([t or "" for t in texts], seeds[lo:hi])
+                none = np.array([t is None for t in texts] + [False])
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=none), pa.array(ids, pa.int32()))
                 made = [b.column(0).slice(lo, hi - lo), made]
                 if with_decoded:

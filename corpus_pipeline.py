@@ -17,6 +17,7 @@ from catalens.staging import shared_folder
 from catalog_queries.registry import query
 
 PIECE_MODEL = pieces.PIECE_MODEL
+PIECE_CACHE_BYTES = 50 << 20  # fixed value: lattices a worker keeps in the last stage
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +49,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, ids): a segmentation into pieces sampled with the document's id as seed."""
-    return pieces.encode(docs, PIECE_MODEL)
+    """(doc_id, ids): a segmentation into pieces sampled with the document's id as seed.
+
+    An executor still holds what the stages before took, so its workers keep fewer lattices.
+    """
+    return pieces.encode(docs, PIECE_MODEL, cache_bytes=PIECE_CACHE_BYTES)
 
 
 STAGES = [

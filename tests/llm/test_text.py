@@ -262,3 +262,11 @@ def test_ids_of_text_give_the_result_of_numbers(spark):
         want = {f"{r.doc_id:04d}": tuple(r[1:]) for r in made(numbers).collect()}
         assert {r.doc_id: tuple(r[1:]) for r in made(texts).collect()} == want and len(want) == 40
         assert made(texts.filter("doc_id < '0'")).count() == 0
+
+
+def test_the_bound_of_the_cache_changes_no_ids(spark, monkeypatch):
+    texts = [" ".join(str(i * j) for j in range(40)) for i in range(60)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(pieces, "_BLOCK_CHARS", 700)
+    small = pieces.encode(df, MODEL, cache_bytes=1 << 18).orderBy("doc_id").collect()
+    assert small == pieces.encode(df, MODEL).orderBy("doc_id").collect() and small[-2].ids is None and small[-1].ids == []
