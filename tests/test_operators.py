@@ -409,3 +409,16 @@ def test_quality_report(spark):
     got = {(r.column, r.metric): r.value for r in quality_report(df, df, "2017-07-31").collect()}
     assert got[("title", "missing")] == "1" and got[("revenue", "median")] == "6.25"
     assert got[("release_date", "source_start")] == "2001-01-01" and got[("primary_genre", "distinct")] == "1"
+
+
+def test_brackets_of_a_sample_hold_their_ranks(spark, monkeypatch):
+    rng = np.random.default_rng(23)
+    frame = pd.DataFrame({"g": rng.choice(["a", "b"], 40_000), "year": rng.integers(2000, 2006, 40_000), "x": rng.normal(size=40_000)})
+    monkeypatch.setattr(quantiles, "SAMPLE_ROWS", 8_000)
+    opened, counted = [], quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda long, group, brackets: opened.append(brackets.count()) or counted(long, group, brackets))
+    grown = quantiles.Cumulative("year", "until", (2003, 2006))
+    got = exact_quantiles(spark.createDataFrame(frame), ["g"], {"x": "x"}, cumulative=grown).toPandas()
+    for r in got.itertuples():
+        assert r.value == frame[(frame.g == r.g) & (frame.year < r.until)].x.median()
+    assert len(got) == 4 and sum(opened) == 0  # no bracket is opened, which would multiply the rows by the thresholds
