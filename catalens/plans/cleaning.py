@@ -22,7 +22,7 @@ from catalens.operators import dedup, imputation, quality
 from catalens.operators.sequence import reindex_ids
 from catalens.roles import CLEANED_COLUMNS, DEFAULT_CUTOFF, OBSERVED, TEXT_DEFAULTS, TEXTS
 from catalens.sources import tables
-from catalens.staging import observed_write, stage_counted
+from catalens.staging import observed_write, spread, stage_counted
 
 # Sources a text column is completed from.
 COALESCED = {
@@ -183,7 +183,7 @@ def clean_tagged(tagged: DataFrame, loaded: dict[str, int], keep_source: bool =
 
 def clean_catalog(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, unicode: bool = True) -> Cleaned:
     """Clean a raw or partly cleaned table."""
-    return _pipeline(parse_raw(df), cutoff, preserve_flags=False, keep_source=False, unicode=unicode)
+    return _pipeline(parse_raw(spread(df, len(df.inputFiles()))), cutoff, preserve_flags=False, keep_source=False, unicode=unicode)
 
 
 def parse_raw(df: DataFrame) -> DataFrame:
@@ -197,7 +197,7 @@ def parse_raw(df: DataFrame) -> DataFrame:
 def reclean_catalog(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, unicode: bool = True) -> Cleaned:
     """Re-validate a cleaned table: no list parsing, observed flags and source ids kept. Repeating it
     changes nothing."""
-    rows = df
+    rows = spread(df, len(df.inputFiles()))
     for c in ("id", "source_id"):
         if c in rows.columns:
             rows = rows.withColumn(c, identifier_column(rows, c))

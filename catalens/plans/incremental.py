@@ -22,7 +22,7 @@ from catalens.plans.cleaning import Cleaned, clean_tagged, loaded_figures, parse
 from catalens.roles import DEFAULT_CUTOFF
 from catalens.sources.tables import delete
 from catalens.sources.versions import find_version, folders, read_version, remove_versions, write_version
-from catalens.staging import stage, stage_counted
+from catalens.staging import spread, stage, stage_counted
 
 MAX_RUNS = 20  # folders that parsed parts may be spread over before they are put together
 
@@ -63,10 +63,13 @@ def clean_changed(
     parts = stage(met.select(name.alias("part"), F.coalesce("rows", "_rows").alias("rows"), state.alias("state"), "fingerprint", "run"))
 
     current = parts.filter("state <> 'removed'")
-    if found is None or parts.filter("state <> 'same'").limit(1).count():
+    moving = F.col("state").isin("new", "changed")
+    differ, fresh_rows = parts.agg(F.count_if(F.col("state") != "same"), F.coalesce(F.sum(F.when(moving, F.col("rows"))), F.lit(0))).first()
+    if found is None or differ:
         run = f"r{uuid.uuid4().hex}"
-        moved = parts.filter("state in ('new', 'changed')").select(F.col("part").alias("_moved"))
+        moved = parts.filter(moving).select(F.col("part").alias("_moved"))
         changed = source.withColumn("_part", F.col(part).cast("string")).drop(part).join(moved, _same("_part", "_moved"), "left_semi")
+        changed = spread(changed, len(source.inputFiles()), fresh_rows)
         fresh = tag_rows(parse_raw(changed), cutoff, carried=("_part",))
         home = F.when(F.col("state") == "same", F.col("run")).otherwise(F.lit(run))
         if len(_runs(current)) >= max_runs:  # parsed rows are put together, not parsed again

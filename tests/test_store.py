@@ -3,12 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from catalens import staging
 from catalens.operators.quality import part_fingerprints
 from catalens.operators.sketches import growing_sketches, merge_sketches, quantile_sketches, rank_error, sketched_quantiles
 from catalens.plans import incremental
 from catalens.plans.cleaning import clean_catalog
 from catalens.sources import versions
-from catalens.staging import stage_counted
+from catalens.staging import spread, stage_counted
 
 
 def test_versions_are_whole_or_not_there(spark, tmp_path):
@@ -120,3 +121,17 @@ def test_quantile_sketches_keep_their_rank_error(spark):
     few = spark.createDataFrame([(x,) for x in (5.0, 1.0, 3.0, float("nan"), None)], "v double")
     got = sketched_quantiles(quantile_sketches(few, [], {"v": "v"}), (0.0, 0.5, 1.0)).collect()
     assert [(r.n, r.value) for r in got] == [(3, 1.0), (3, 3.0), (3, 5.0)]
+
+
+def test_one_file_is_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "ROWS_A_TASK", 10)
+    rows = [("ab"[i % 2], str(i), f"t{i}", "Drama", "2000-01-01", str(i)) for i in range(60)]
+    source(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/source")
+    raw = spark.read.parquet(f"{tmp_path}/source")
+    folder = f"{tmp_path}/state"
+    made = incremental.clean_changed(raw, folder, "part")
+    (run,) = versions.folders(spark, f"{folder}/parsed", "run=")
+    assert len(spark.read.parquet(f"{folder}/parsed/run={run}").inputFiles()) == 7
+    assert all_rows(made.cleaned.table) == all_rows(clean_catalog(raw.drop("part")).table) and made.cleaned.table.count() == 60
+    # few rows, many files and tables of no file stay as they are
+    assert [spread(raw, files, n).rdd.getNumPartitions() for files, n in ((1, 9), (8, 60), (0, 60))] == [1, 1, 1]
