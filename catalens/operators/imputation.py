@@ -40,27 +40,41 @@ def invalid_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: valid_measure(c, number_column(df, c)) for c in MEASURES if c in df.columns})
 
 
+def _with_gaps(df: DataFrame, columns: list[str]) -> list[str]:
+    """Those of the columns that hold a null."""
+    if not columns:
+        return []
+    found = df.agg(*[F.coalesce(F.max(F.col(c).isNull()), F.lit(False)).alias(c) for c in columns]).first()
+    return [c for c in columns if found[c]]
+
+
 def impute_medians(df: DataFrame, columns: tuple[str, ...] = MEASURES) -> DataFrame:
     """Fill nulls with the category median, then with the median of the column as filled so far, then 0.
 
-    ``df`` is read several times: pass a staged table. The global medians are looked up as one-row
+    ``df`` is read several times: pass a staged table. Medians are worked out only of columns that have a null to
+    fill, the global ones only where the category medians left some. The global medians are looked up as one-row
     scalar subqueries, the category medians by a join whose side Spark sizes itself.
     """
     present = [c for c in columns if c in df.columns]
-    grouped = [c for c in present if c in BY_CATEGORY and "primary_genre" in df.columns]
-    filled = df
+    gaps = _with_gaps(df, present)
+    grouped = [c for c in gaps if c in BY_CATEGORY and "primary_genre" in df.columns]
+    filled = df.withColumns({c: F.col(c).cast("double") for c in present})
     if grouped:
         narrow = df.select("primary_genre", *grouped).filter(F.col("primary_genre").isNotNull())
         medians = exact_medians(narrow, ["primary_genre"], {c: c for c in grouped})
         medians = stage(medians.select("primary_genre", F.struct(*grouped).alias("_category_median")))
         filled = (
-            df.join(medians, "primary_genre", "left")
+            filled.join(medians, "primary_genre", "left")
             .withColumns({c: F.coalesce(F.col(c), F.col("_category_median")[c]) for c in grouped})
             .select(*df.columns)
         )
-    overall = exact_medians(filled.select(*present), [], {c: c for c in present})
-    fill = overall.select(F.struct(*present)).scalar()
-    return filled.withColumns({c: F.coalesce(F.col(c), fill.getField(c), F.lit(FALLBACK)) for c in present})
+        left = _with_gaps(filled, grouped)
+        gaps = [c for c in gaps if c in left or c not in grouped]
+    if not gaps:
+        return filled
+    overall = exact_medians(filled.select(*gaps), [], {c: c for c in gaps})
+    fill = overall.select(F.struct(*gaps)).scalar()
+    return filled.withColumns({c: F.coalesce(F.col(c), fill.getField(c), F.lit(FALLBACK)) for c in gaps})
 
 
 def impute_measures(df: DataFrame) -> DataFrame:

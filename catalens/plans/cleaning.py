@@ -143,10 +143,9 @@ def clean_tagged(tagged: DataFrame, loaded: dict[str, int], keep_source: bool =
     dated = tagged.filter(F.col("_gone").isNull()).drop("_gone").withColumn("year", F.year("release_date"))
     measured = imputation.impute_measures(dated)
     ranked = dedup.rank_rows(dedup.with_signature(measured, unicode))  # one ranking for all that follows
-    by_id = dedup.deduplicate_ids(ranked) if "id" in ranked.columns else ranked
-    unique = dedup.deduplicate_signatures(by_id)
+    id_rows = dated.select("id").distinct().count() if "id" in dated.columns else loaded["kept"]
+    unique = dedup.deduplicate_ranked(ranked, unique_ids=id_rows == loaded["kept"])
     signed, final = stage_counted(unique, {"rows": F.count("*"), "gaps": _text_gaps(unique)})
-    ids = dated.select("id").distinct() if "id" in dated.columns else dated.select(F.lit(1))
 
     def numbered() -> DataFrame:
         named = dedup.disambiguate_titles(signed).drop(dedup.RANK, *dedup.SIGNATURE)
@@ -159,10 +158,8 @@ def clean_tagged(tagged: DataFrame, loaded: dict[str, int], keep_source: bool =
         order = [F.col("release_date"), F.col("title"), F.col("source_id"), dedup.row_hash(output)]
         return reindex_ids(output, order)
 
-    counts = ids.agg(F.count("*").alias("id_rows")).withColumn(
-        "title_collisions_disambiguated", dedup.collision_groups(signed).agg(F.count("*")).scalar()
-    )
-    known = {**loaded, "rows_after_cleaning": final["rows"], "text_fields_filled": final["gaps"]}
+    counts = dedup.collision_groups(signed).agg(F.count("*").alias("title_collisions_disambiguated"))
+    known = {**loaded, "id_rows": id_rows, "rows_after_cleaning": final["rows"], "text_fields_filled": final["gaps"]}
     counted = counts.withColumns({n: F.lit(v) for n, v in known.items()}).withColumns(
         {
             "source_duplicates_removed": F.col("kept") - F.col("id_rows"),

@@ -65,8 +65,12 @@ class Comprehensive:
     high_revenue_profile: Profile
 
 
-def comprehensive_analysis(df: DataFrame, unique_ids: bool = False) -> Comprehensive:
-    rows = stage(typed_catalog(df))
+def comprehensive_analysis(
+    df: DataFrame, unique_ids: bool = False, stored: bool = False, modelling: DataFrame | None = None
+) -> Comprehensive:
+    """``stored``: ``df`` lies in files with typed columns, so it needs no copy to be read several times.
+    ``modelling``: its modelling table, staged, where there is one."""
+    rows = typed_catalog(df) if stored else stage(typed_catalog(df))
     series = trends.yearly_series(rows)
     decades = summaries.decade_summary(rows)
     return Comprehensive(
@@ -78,7 +82,7 @@ def comprehensive_analysis(df: DataFrame, unique_ids: bool = False) -> Comprehen
         decades,
         summaries.decade_leaders(decades),
         summaries.category_performance(rows),
-        high_revenue_profile(rows, unique_ids=unique_ids),
+        high_revenue_profile(rows, unique_ids=unique_ids) if modelling is None else high_revenue_profile(modelling, prepared=True, stored=True),
     )
 
 

@@ -141,10 +141,13 @@ def top_features(coefficients: DataFrame, positive: bool, limit: int = 4) -> Dat
 def high_revenue_profile(
     df: DataFrame, min_rows: int = MIN_ROWS, holdout_fraction: float = HOLDOUT_FRACTION, min_train_rows: int = MIN_TRAIN_ROWS,
     min_holdout_rows: int = MIN_HOLDOUT_ROWS, threshold_quantile: float = THRESHOLD_QUANTILE, alpha: float = ALPHA,
-    cutoff: str = DEFAULT_CUTOFF, prepared: bool = False, unique_ids: bool = False,
+    cutoff: str = DEFAULT_CUTOFF, prepared: bool = False, unique_ids: bool = False, stored: bool = False,
 ) -> Profile:
-    """Evaluate the model on the latest rows, refit on all, and describe the rows predicted high."""
-    rows = stage(eligible_rows(df if prepared else prepare_modelling(df, cutoff, not unique_ids)))
+    """Evaluate the model on the latest rows, refit on all, and describe the rows predicted high.
+
+    ``prepared``: ``df`` is a modelling table already; ``stored``: it lies in files and needs no copy."""
+    rows = eligible_rows(df if prepared else prepare_modelling(df, cutoff, not unique_ids))
+    rows = rows if stored else stage(rows)
     spark, n = rows.sparkSession, rows.count()
     if n < min_rows:
         return Profile(error=f"fewer than {min_rows} rows have a category and a revenue")

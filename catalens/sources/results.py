@@ -12,11 +12,15 @@ from catalens.sources.versions import find_version, read_version, write_version
 _PARTS = ("overview", "summary_by_genre", "predictions")
 
 
-def run_key(df: DataFrame, parameters: dict[str, object]) -> dict[str, str]:
-    """Content fingerprint of the input and the parameters, as text: what a saved result stands for."""
+def content_key(df: DataFrame) -> dict[str, str]:
     row = fingerprint(df).first()
-    key = {"row_count": str(row.row_count), "fingerprint": row.fingerprint}
-    return {**key, **{f"param_{k}": str(v) for k, v in sorted(parameters.items())}}
+    return {"row_count": str(row.row_count), "fingerprint": row.fingerprint}
+
+
+def run_key(df: DataFrame, parameters: dict[str, object], content: dict[str, str] | None = None) -> dict[str, str]:
+    """Content fingerprint of the input and the parameters, as text: what a saved result stands for. ``content``: the
+    ``content_key`` of the input, where it is at hand."""
+    return {**(content or content_key(df)), **{f"param_{k}": str(v) for k, v in sorted(parameters.items())}}
 
 
 def write_forecast(result, folder: str, validation_year: int, key: dict[str, str] | None = None) -> dict[str, str]:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalens.functions import casting, scalars, text
+from catalens.operators import imputation
 from catalens.operators.imputation import clean_measures
 from catalens.plans.cleaning import (
     backfill_observed, clean_catalog, cleaned_schema, merge_raw, prepare_catalog, reclean_catalog,
@@ -163,6 +164,25 @@ def test_imputation_order(spark):
     assert clean_measures(empty).first().budget == 0.0 and clean_measures(empty).first().budget_observed is False
 
 
+def test_medians_only_of_columns_with_gaps(spark, monkeypatch):
+    asked = []
+    known = imputation.exact_medians
+    monkeypatch.setattr(imputation, "exact_medians", lambda df, keys, measures, **o: asked.append((list(keys), sorted(measures))) or known(df, keys, measures, **o))
+    rows = [("A", 10.0, 1.0, 5), ("A", None, 2.0, 6), ("B", 3.0, 4.0, 7)]
+    kinds = "primary_genre string, budget double, revenue double, vote_count int"
+    got = imputation.impute_medians(spark.createDataFrame(rows, kinds))
+    assert sorted(r.budget for r in got.collect()) == [3.0, 10.0, 10.0] and asked == [(["primary_genre"], ["budget"])]
+    assert dict(got.dtypes)["vote_count"] == "double"  # as where there are gaps
+    asked.clear()
+    # a category without a value leaves gaps to the global median, of the column as filled so far
+    more = imputation.impute_medians(spark.createDataFrame([*rows, ("C", None, 8.0, None)], kinds))
+    assert sorted(r.budget for r in more.collect()) == [3.0, 10.0, 10.0, 10.0]
+    assert sorted(r.vote_count for r in more.collect()) == [5.0, 6.0, 6.0, 7.0]
+    assert asked == [(["primary_genre"], ["budget"]), ([], ["budget", "vote_count"])]
+    asked.clear()
+    assert imputation.impute_medians(spark.createDataFrame(rows[:1], kinds)).first().budget == 10.0 and not asked
+
+
 def cleaned_input():
     n = 3
     days = ["2003-05-06", "2010-10-10", "2010-12-01"]

@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalens.operators import folding, oplog, quantiles, search_index
-from catalens.operators.dedup import deduplicate_ids, deduplicate_signatures, disambiguate_titles, first_per_key, with_signature
+from catalens.operators.dedup import (
+    deduplicate_ids, deduplicate_ranked, deduplicate_signatures, disambiguate_titles, first_per_key, rank_rows, with_signature,
+)
 from catalens.operators.quantiles import exact_medians, exact_quantiles
 from catalens.operators.selection import apply_filters, page, page_after, promote_sort, selection_change, top_titles
 from catalens.operators.sequence import latest_rows_flag, number_rows, number_within, running_count
@@ -244,6 +246,34 @@ def test_disambiguation_equals_sequential_rule(spark):
     assert got == want
 
 
+def test_rows_do_not_travel_to_meet_offsets_and_travel_once_to_be_chosen(spark, capsys):
+    df = spark.range(40_000).select(
+        (F.col("id") % 30_011).alias("id"), F.concat(F.lit("T "), (F.hash("id") % 9_000).cast("string")).alias("title"),
+        F.lit("en").alias("language"), F.lit(2009).alias("year"), (F.col("id") * 7919 % 40_009).cast("double").alias("vote_count"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        ranked = rank_rows(with_signature(df))
+        ranked.explain()
+        assert "Exchange hashpartitioning" not in capsys.readouterr().out
+        chosen = deduplicate_ranked(ranked)
+        chosen.explain("simple")
+        plan = capsys.readouterr().out
+        assert plan.count("vote_count") and plan.count("LeftSemi") == 2
+        got = {(r.id, r.title, r.vote_count) for r in chosen.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    frame = df.toPandas().sort_values("vote_count", ascending=False)
+    frame = frame.drop_duplicates("id").drop_duplicates("title")
+    assert got == set(zip(frame.id, frame.title, frame.vote_count))
+    single = rank_rows(with_signature(df.dropDuplicates(["id"])))
+    once = deduplicate_ranked(single, unique_ids=True)
+    once.explain()
+    assert capsys.readouterr().out.count("LeftSemi") == 1
+    assert {r._rank for r in once.collect()} == {r._rank for r in deduplicate_ranked(single).collect()}
+
+
 def test_number_rows_and_latest_flag(spark):
     df = spark.range(1000).select(
         F.date_add(F.lit("2010-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("release_date"),

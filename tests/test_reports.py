@@ -7,7 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import catalens.plans.forecasting as forecasting
+import catalens.plans.profile as profile
 import catalens.plans.reports as reports
+import catalens.sources.results as results
 from catalens.operators.oplog import CAUSES, NO_CAUSE
 from catalens.plans.profile import fit_log_ridge, high_revenue_profile, top_features
 from catalens.plans.exploration import comprehensive_analysis, explore
@@ -63,6 +66,22 @@ def test_forecast_is_saved_and_reused(spark, tmp_path, monkeypatch):
     assert "missing" in reports.read_forecast(spark, str(tmp_path), 1999).error
 
 
+def test_report_steps_share_one_modelling_table(spark, tmp_path, monkeypatch):
+    frame = panel()
+    frame.to_csv(tmp_path / "in.csv", index=False)
+    steps = [(reports, "prepare_modelling"), (forecasting, "prepare_modelling"), (profile, "prepare_modelling"), (results, "fingerprint")]
+    calls = []
+    for module, name in steps:
+        known = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _known=known, _name=name, **k: calls.append(_name) or _known(*a, **k))
+    made = reports.run_report(spark, str(tmp_path / "out"), str(tmp_path / "in.csv"), models=("genre_budget_ratio",), years=(2015, 2017))
+    assert sorted(calls) == ["fingerprint", "prepare_modelling"] and "forecast" in made
+    # the same forecast as from the catalog itself
+    alone = reports.run_forecast(spark.read.parquet(made["cleaned"]), str(tmp_path / "alone"), unique_ids=True)
+    shared = reports.read_forecast(spark, str(tmp_path / "out"), 2017)
+    assert alone.overview.collect() == shared.overview.collect()
+
+
 def test_chart_tables_and_reuse(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame(panel())
     models = ("ridge", "ols", "genre_budget_ratio")
